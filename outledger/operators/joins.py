@@ -13,6 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _keys(sub: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """Distinct keys of a tested side. Duplicates fold on the map side, so a key that
+    fills the tested table reaches its task as a few rows instead of all of them."""
+    return sub.select(*([on] if isinstance(on, str) else on)).distinct()
+
+
 def inner(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Inner equi-join."""
     return left.join(right, on, "inner")
@@ -38,31 +44,33 @@ def with_dimension(df: DataFrame, rows: Sequence[Mapping[str, object]]) -> DataF
 
 def where_exists(df: DataFrame, sub: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows with at least one match."""
-    return df.join(sub, on, "left_semi")
+    return df.join(_keys(sub, on), on, "left_semi")
 
 
 def where_exists_any(
     df: DataFrame, branches: Sequence[tuple[DataFrame, Sequence[str]]]
 ) -> DataFrame:
-    """EXISTS (a) OR EXISTS (b): one existence join per branch, rows never multiply."""
-    hits = F.lit(False)
-    for sub, on in branches:
-        keys = sub.select(*on)
-        match = F.lit(True)
-        for c in on:
-            match = match & (F.col(c).outer() == keys[c])
-        hits = hits | keys.where(match).exists()
-    return df.where(hits)
+    """EXISTS (a) OR EXISTS (b) OR ...: rows never multiply.
+
+    Each branch is a left join to its distinct keys. Unlike an existence join, a
+    left join can be split by AQE where the keys of ``df`` are skewed.
+    """
+    tested = df
+    for i, (sub, on) in enumerate(branches):
+        hit = _keys(sub, on).withColumn(f"_hit{i}", F.lit(True))
+        tested = tested.join(hit, list(on), "left")
+    hits = F.coalesce(*[F.col(f"_hit{i}") for i in range(len(branches))])
+    return tested.filter(hits).select(*df.columns)
 
 
 def where_in(df: DataFrame, column: str, sub: DataFrame, sub_column: str) -> DataFrame:
     """column IN (SELECT sub_column ...)."""
-    return df.join(sub.select(F.col(sub_column).alias(column)), column, "left_semi")
+    return where_exists(df, sub.select(F.col(sub_column).alias(column)), column)
 
 
 def anti(new: DataFrame, existing: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Rows without a match: the insert half of insert-if-absent."""
-    return new.join(existing, key, "left_anti")
+    return new.join(_keys(existing, key), key, "left_anti")
 
 
 def latest_per_key(
@@ -126,4 +134,4 @@ def key_trimmed(col: Column) -> Column:
 
 def keys_minus(requested: DataFrame, failed: DataFrame, key: str) -> DataFrame:
     """Distinct requested keys that are not among the failed ones."""
-    return requested.select(key).distinct().join(failed.select(key), key, "left_anti")
+    return anti(requested.select(key).distinct(), failed, key)

@@ -1,4 +1,9 @@
-"""Splitting hot keys, with a provable bound on what is broadcast."""
+"""Splitting hot join keys, with a fixed bound on how many are treated.
+
+AQE already splits a skewed partition of a single join. It cannot do so in a
+chain of joins on one key, where the next join needs the partitioning that the
+split would break. Such chains spread their fact table with ``HotKeys``.
+"""
 
 from __future__ import annotations
 
@@ -9,53 +14,69 @@ from operator import or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key that holds at least one in HOT_SHARE rows is hot. At most HOT_SHARE keys
-# can do so, however large the table is, which bounds the broadcast below.
-HOT_SHARE = 1000
+# Only the most frequent keys are spread. A key outside the first 1000 holds less
+# than a thousandth of the rows, which is no more than an ordinary partition.
+TOP_KEYS = 1000
+MAX_PARTS = 512
 
+SALT = "_salt"
 
-def hot_keys(
-    df: DataFrame, on: Sequence[str], floor: int, per_part: int, max_parts: int
-) -> DataFrame:
-    """Hot keys with the number of parts each is to be split into; at most HOT_SHARE rows."""
-    counts = df.groupBy(*on).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    parts = F.least(F.ceil(F.col("_n") / per_part), F.lit(max_parts)).cast("int")
-    return counts.filter(
-        (F.col("_n") >= floor) & (F.col("_n") * HOT_SHARE >= total)
-    ).select(*on, parts.alias("_parts"))
 
+class HotKeys:
+    """The hot keys of a fact table, and the two sides of a join that spreads them.
 
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    floor: int = 1_000_000,
-    per_part: int = 1_000_000,
-    max_parts: int = 512,
-) -> DataFrame:
-    """Equi-join in which the left rows of a hot key spread over many tasks.
-
-    Only the right rows of hot keys are repeated, once per part. Left rows pick
-    their part by a hash of the whole row, so a retried task picks the same one.
-    Rows without a key match nothing and simply spread.
-    ``how`` is inner, left, left_semi or left_anti.
+    One counting pass over the key columns brings at most ``TOP_KEYS`` keys to the
+    driver. Without hot keys the join stays as it is. Otherwise ``spread`` gives
+    the fact rows of a hot key a salt and ``repeat`` repeats the matching rows of
+    another table once per salt; both then join on ``join_on``. The salt is a
+    hash of the row, so a retried task chooses the same one.
     """
-    hot = F.broadcast(hot_keys(left, on, floor, per_part, max_parts))
-    row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
-    keyless = reduce(or_, [F.col(c).isNull() for c in on])
-    parts = F.when(keyless, max_parts).otherwise(F.coalesce("_parts", F.lit(1)))
-    salted_left = (
-        left.join(hot, list(on), "left")
-        .withColumn("_salt", F.pmod(row_hash, parts).cast("int"))
-        .drop("_parts")
-    )
-    salted_right = (
-        right.join(hot, list(on), "left")
-        .withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+
+    def __init__(
+        self, fact: DataFrame, on: Sequence[str], floor: int = 1_000_000, per_part: int = 1_000_000
+    ):
+        self.on = list(on)
+        parts = F.least(F.ceil(F.col("_n") / per_part), F.lit(MAX_PARTS)).cast("int")
+        hot = (
+            fact.groupBy(*on)
+            .agg(F.count("*").alias("_n"))
+            .filter(F.col("_n") >= floor)
+            .orderBy(F.desc("_n"))
+            .limit(TOP_KEYS)
+            .select(*on, parts.alias("_parts"))
+        )
+        rows = hot.collect()
+        self.rows = fact.sparkSession.createDataFrame(rows, hot.schema) if rows else None
+        self.join_on = [*self.on, SALT] if rows else self.on
+
+    def spread(self, fact: DataFrame) -> DataFrame:
+        """Fact rows with their salt. Rows without a key match nothing and simply spread."""
+        if self.rows is None:
+            return fact
+        keyless = reduce(or_, [F.col(c).isNull() for c in self.on])
+        parts = F.when(keyless, MAX_PARTS).otherwise(F.coalesce("_parts", F.lit(1)))
+        row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
+        return (
+            fact.join(F.broadcast(self.rows), self.on, "left")
+            .withColumn(SALT, F.pmod(row_hash, parts).cast("int"))
+            .drop("_parts")
+        )
+
+    def repeat(self, other: DataFrame) -> DataFrame:
+        """Rows of another table, those of hot keys once per salt."""
+        if self.rows is None:
+            return other
+        last = F.coalesce("_parts", F.lit(1)) - 1
+        return (
+            other.join(F.broadcast(self.rows), self.on, "left")
+            .withColumn(SALT, F.explode(F.sequence(F.lit(0), last)))
+            .drop("_parts")
         )
-        .drop("_parts")
-    )
-    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+
+
+def salted_join(
+    fact: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner", **limits: int
+) -> DataFrame:
+    """Equi-join (inner, left, left_semi or left_anti) that spreads hot fact keys."""
+    hot = HotKeys(fact, on, **limits)
+    return hot.spread(fact).join(hot.repeat(other), hot.join_on, how).drop(SALT)

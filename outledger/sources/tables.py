@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outledger.functions.dates import moment
+from outledger.operators.joins import where_exists
 
 
 def scan(spark: SparkSession, folder: str, name: str, schemas: Mapping[str, str]) -> DataFrame:
@@ -55,7 +56,7 @@ def inline_lookup(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Da
 
 def by_keys(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Full rows of the wanted keys; no keys, no rows."""
-    return df.join(keys, on, "left_semi")
+    return where_exists(df, keys, on)
 
 
 def by_id(df: DataFrame, column: str, value: object) -> DataFrame:
