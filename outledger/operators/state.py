@@ -195,9 +195,10 @@ def job_status(failed: Column) -> Column:
 
 
 def pending_queue(log: DataFrame, kind: str, *order: str) -> DataFrame:
-    """Rows of one kind that still have to be sent, oldest first."""
+    """Rows of one kind that still have to be sent, sorted only when an order is given."""
     waiting = (F.col("punch_type") == kind) & F.col("push_status").isin(PENDING, FAILED)
-    return log.filter(waiting).orderBy(*order)
+    queue = log.filter(waiting)
+    return queue.orderBy(*order) if order else queue
 
 
 def unprocessed_to_failed(
@@ -208,6 +209,16 @@ def unprocessed_to_failed(
     return update_by_ids(log, left_over, key, FAILED)
 
 
+def changed_records(current: DataFrame, previous: DataFrame, key: str) -> DataFrame:
+    """Records that are new or differ from the previous snapshot in any column."""
+    renamed = previous.select(*[F.col(c).alias(f"_p_{c}") for c in current.columns])
+    same = current[key] == renamed[f"_p_{key}"]
+    for c in current.columns:
+        if c != key:
+            same = same & current[c].eqNullSafe(renamed[f"_p_{c}"])
+    return current.join(renamed, same, "left_anti")
+
+
 class Snapshots:
     """Versioned Parquet snapshots of one state table, for a single writer.
 

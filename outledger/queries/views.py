@@ -150,6 +150,24 @@ VIEWS: dict[str, tuple[str, str]] = {
         max(ts) as updated_at
         from {si_status_event} group by record_key""",
     ),
+    "si_punch_log": (
+        "events",
+        """select event_id as id, cast(event_id as string) as ref_id,
+        cast(user_id as string) as employee_id,
+        case event_type when 'click' then 'I' else 'O' end as punch_type, ts as punch_time,
+        ts + interval 1 hour as capture_time,
+        case when value<30 then 'Pending' when value<60 then 'Failed' else 'Pushed' end
+        as push_status from {events} where event_type in ('click','view')""",
+    ),
+    # Delivery batches of five datasets, one per reply.
+    "si_batch": (
+        "events",
+        """select case event_type when 'click' then 'products' when 'view' then 'pricelists'
+        when 'purchase' then 'schemes' when 'signup' then 'businesspartners'
+        else 'outstanding' end as sync_type, event_id as batch_no,
+        value<70 and event_type<>'error' as ok, cast(event_id%50+1 as bigint) as size
+        from {events}""",
+    ),
     # ---- ERP-shaped tables, for the dataset plans -------------------------------
     "erp_items": (
         "part",
