@@ -28,12 +28,17 @@ class ChildList:
 
 
 def nest_lists(
-    lists: Mapping[str, ChildList], key: str, part_rows: int | None = PART_ROWS
+    lists: Mapping[str, ChildList],
+    key: str,
+    part_rows: int | None = PART_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """All lists of a document in one grouping; a list without rows is null.
 
     ``part_rows=None`` states that the children of a parent are bounded by a
-    constant (a fixed dimension) and skips the counting pass.
+    constant (a fixed dimension) and skips the counting pass. ``sizes`` (key, n)
+    gives an upper bound of children per parent where that is cheaper to get
+    than by counting the lists themselves.
     """
     tall = reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True),
@@ -51,11 +56,10 @@ def nest_lists(
     if part_rows is None:
         tall = tall.withColumn("parts", F.lit(1))
     else:
-        large = (
-            tall.groupBy(key)
-            .agg(F.count("*").alias("_n"))
-            .filter(F.col("_n") > part_rows)
-            .select(key, F.ceil(F.col("_n") / part_rows).cast("int").alias("parts"))
+        if sizes is None:
+            sizes = tall.groupBy(key).agg(F.count("*").alias("n"))
+        large = sizes.filter(F.col("n") > part_rows).select(
+            key, F.ceil(F.col("n") / part_rows).cast("int").alias("parts")
         )
         tall = tall.join(large, key, "left").withColumn(
             "parts", F.coalesce("parts", F.lit(1))

@@ -209,6 +209,7 @@ def partner_documents(
         },
         "BPCode",
         part_rows,
+        sizes=_child_counts(t, rules),
     )
     heads = partners.withColumnRenamed("CardCode", "BPCode")
     docs = heads.join(lists, "BPCode", "left")
@@ -269,6 +270,18 @@ def partner_documents(
     )
 
 
+def _child_counts(t: Tables, rules: Rules) -> DataFrame:
+    """Upper bound of contacts and addresses per partner, from the key columns alone."""
+    divisions = len({d for d, _, _ in rules.sub_brands})
+    contacts = t["contacts"].select("CardCode", F.lit(divisions).alias("weight"))
+    addresses = t["addresses"].select("CardCode", F.lit(1).alias("weight"))
+    return (
+        contacts.unionByName(addresses)
+        .groupBy(_c("CardCode").alias("BPCode"))
+        .agg(F.sum("weight").alias("n"))
+    )
+
+
 def _division_list(rules: Rules) -> Column:
     """Per division settings of a partner; amounts are texts with two decimals."""
     zero = fixed2(F.lit(0))

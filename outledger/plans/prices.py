@@ -153,9 +153,13 @@ def price_rows_by_key(t: Tables, rules: Rules, keys: DataFrame) -> DataFrame:
 
 
 def price_documents(
-    rows: DataFrame, rules: Rules, now: Column, part_rows: int = 10_000
+    rows: DataFrame, rules: Rules, now: Column, part_rows: int | None = 10_000
 ) -> DataFrame:
-    """Item -> price lists -> prices, as two successive groupings."""
+    """Item -> price lists -> prices, as two successive groupings.
+
+    ``part_rows=None`` suits the full extract: one price per item and state. Rows
+    are read more than once, so an expensive extract is pinned first.
+    """
     entry = F.struct(
         _c("ProductCode").alias("product"),
         _c("PriceListID").alias("id"),

@@ -33,6 +33,7 @@ from outledger.queries.q_nesting import (
 from outledger.queries.registry import query
 from outledger.queries.sample_rules import AS_OF, RULES
 from outledger.queries.views import erp, views
+from outledger.session import pin
 from outledger.sources.schemas import BOARD, PUNCH_LOG
 
 _c = F.col
@@ -61,7 +62,9 @@ _BOOK_VIEWS = "erp_size_books erp_size_book_lines erp_size_book_prices erp_size_
 )
 def pipe_items(spark, folder):
     t = erp(spark, folder)
-    docs = items.item_documents(items.item_rows(t, RULES, AS_OF), RULES)
+    # The extract is stored once; the document step reads it several times.
+    rows = pin(items.item_rows(t, RULES, AS_OF))
+    docs = items.item_documents(rows, RULES)
     return docs.select("*", F.explode("ProductColors").alias("c")).select(
         _c("ProductCode").alias("code"),
         _c("Product.ProductName").alias("product_name"),
@@ -93,8 +96,10 @@ def pipe_items(spark, folder):
 )
 def pipe_prices(spark, folder):
     t = erp(spark, folder)
-    rows = prices.price_rows(t, RULES, AS_OF)
-    return flat_prices(prices.price_documents(rows, RULES, moment(AS_OF)))
+    # Stored once, read twice. An item has one price per state, so its lists are
+    # bounded by the state dimension and need no parts.
+    rows = pin(prices.price_rows(t, RULES, AS_OF))
+    return flat_prices(prices.price_documents(rows, RULES, moment(AS_OF), part_rows=None))
 
 
 @query(
@@ -154,7 +159,7 @@ def scheme_reach(spark, folder):
         F.lit("B").alias("AdresType"),
         _c("state_id").cast("string").alias("State"),
     )
-    t = {**erp(spark, folder), "addresses": billing}
+    t = erp(spark, folder, addresses=billing)
     counts = schemes.scheme_partner_counts(t, schemes.valid_schemes(t, AS_OF))
     return counts.select(_c("DocEntry").alias("policy_id"), "partners")
 

@@ -6,7 +6,8 @@ database; names in braces are the tables and views it reads.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import ChainMap
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -340,17 +341,40 @@ ERP_TABLES = [name.removeprefix("erp_") for name in VIEWS if name.startswith("er
 
 def views(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
     """Access by name to the test tables and the views over them."""
+    known: dict[str, DataFrame] = {}
 
-    def get(name: str) -> DataFrame:
+    def build(name: str) -> DataFrame:
         if name in TEST:
             return scan(spark, folder, name, TEST)
         uses, body = VIEWS[name]
         return spark.sql(body, **{u: get(u) for u in uses.split()})
 
+    def get(name: str) -> DataFrame:
+        if name not in known:
+            known[name] = build(name)
+        return known[name]
+
     return get
 
 
-def erp(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All ERP-shaped tables by role."""
-    get = views(spark, folder)
-    return {name: get(f"erp_{name}") for name in ERP_TABLES}
+class ErpTables(Mapping):
+    """The ERP-shaped tables by role, each defined when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._get = views(spark, folder)
+
+    def __getitem__(self, role: str) -> DataFrame:
+        if role not in ERP_TABLES:
+            raise KeyError(role)
+        return self._get(f"erp_{role}")
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(ERP_TABLES)
+
+    def __len__(self) -> int:
+        return len(ERP_TABLES)
+
+
+def erp(spark: SparkSession, folder: str, **instead: DataFrame) -> Mapping[str, DataFrame]:
+    """All ERP-shaped tables by role, some of them replaced."""
+    return ChainMap(instead, ErpTables(spark, folder))

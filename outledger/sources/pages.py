@@ -12,9 +12,11 @@ PAGE = (
 )
 
 
-def read_pages(spark: SparkSession, path: str, schema: str = PAGE) -> DataFrame:
-    """One row per page of every extract below ``path``."""
-    return spark.read.schema(schema).option("multiLine", "true").json(path)
+def read_pages(
+    spark: SparkSession, path: str, schema: str = PAGE, page_per_file: bool = True
+) -> DataFrame:
+    """One row per page; a page is a file, or a line of one if landed as JSON lines."""
+    return spark.read.schema(schema).option("multiLine", str(page_per_file)).json(path)
 
 
 def page_records(pages: DataFrame) -> DataFrame:
