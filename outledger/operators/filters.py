@@ -47,12 +47,22 @@ def date_between(
 ) -> DataFrame:
     """Inclusive range of days, written on the raw timestamp so that it is pushed down."""
     if first is not None:
-        df = df.filter(F.col(ts) >= moment(f"{first} 00:00:00"))
+        df = df.filter(F.col(ts) >= day_start(first))
     if last is not None:
-        df = df.filter(F.col(ts) < moment(f"{last} 00:00:00") + F.expr("interval 1 day"))
+        df = df.filter(F.col(ts) < day_end(last))
     return df
 
 
+def day_start(day: str) -> Column:
+    """First instant of a day."""
+    return moment(f"{day} 00:00:00")
+
+
+def day_end(day: str) -> Column:
+    """First instant after a day."""
+    return day_start(day) + F.expr("interval 1 day")
+
+
 def above(df: DataFrame, column: str, floor: int, cast: str | None = None) -> DataFrame:
     """Rows above a floor, optionally compared after a truncating cast."""
     value = F.col(column) if cast is None else F.col(column).cast(cast)
@@ -101,20 +111,30 @@ class FilterSpec:
     divisions: Mapping[str, str] | None = None
 
 
-def apply_filters(df: DataFrame, spec: FilterSpec) -> DataFrame:
-    """Only the filters that are set, so Catalyst can prune and push each of them."""
+def conditions(spec: FilterSpec) -> list[Column]:
+    """The predicates of the filters that are set."""
+    found = []
     if spec.search:
-        df = search(df, spec.search_in, spec.search)
+        found.append(contains_any([F.col(c) for c in spec.search_in], spec.search))
     if spec.division and spec.divisions is not None:
         pattern = spec.divisions.get(spec.division)
         brand = F.col(spec.columns["division"])
-        df = df.filter(brand.like(pattern) if pattern else F.lit(False))
+        found.append(brand.like(pattern) if pattern else F.lit(False))
     elif spec.division:
-        df = df.filter(F.col(spec.columns["division"]) == spec.division)
+        found.append(F.col(spec.columns["division"]) == spec.division)
     for name in ("status", "group", "kind"):
         wanted = getattr(spec, name)
         if wanted:
-            df = df.filter(F.col(spec.columns[name]) == wanted)
-    if spec.date_from or spec.date_to:
-        df = date_between(df, spec.columns["date"], spec.date_from, spec.date_to)
+            found.append(F.col(spec.columns[name]) == wanted)
+    if spec.date_from:
+        found.append(F.col(spec.columns["date"]) >= day_start(spec.date_from))
+    if spec.date_to:
+        found.append(F.col(spec.columns["date"]) < day_end(spec.date_to))
+    return found
+
+
+def apply_filters(df: DataFrame, spec: FilterSpec) -> DataFrame:
+    """Only the filters that are set, so Catalyst can prune and push each of them."""
+    for condition in conditions(spec):
+        df = df.filter(condition)
     return df

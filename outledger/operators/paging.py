@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from outledger.fixed_values import PAGE_DEFAULT, PAGE_MAX, PAGE_MIN, PENDING, RECORD_STATUSES
 from outledger.operators.aggregates import rollup_columns
 from outledger.operators.batching import with_position
-from outledger.operators.filters import FilterSpec, apply_filters
+from outledger.operators.filters import FilterSpec, apply_filters, conditions
 
 # Up to this depth a page is a top-n; each task then keeps at most that many rows.
 TOP_N_DEPTH = 20_000
@@ -75,26 +77,35 @@ def overlay_status(
 def worklist(
     base: DataFrame,
     spec: FilterSpec,
-    order: Sequence[str],
+    order: Sequence,
     page: int | None = 1,
     limit: int | None = None,
     statuses: Sequence[str] = RECORD_STATUSES,
+    tracked: DataFrame | None = None,
 ) -> DataFrame:
     """A page of filtered records, each with total, pages and the unfiltered status counts.
 
-    The counts are scalar subqueries; only the page itself is sorted, as a top-n.
+    Total and status counts come from one aggregate over the base, as a scalar
+    subquery; only the page itself is sorted, as a top-n. ``tracked`` replaces the
+    rows whose states are counted where they are not the rows of the list.
     """
     page, limit = clamp(page, limit)
-    rows = apply_filters(base, spec)
-    total = rows.agg(F.count("*")).scalar()
-    counts = base.agg(F.struct(*rollup_columns("push_status", statuses))).scalar()
-    shown = page_of(rows, order, page, limit)
+    wanted = reduce(and_, conditions(spec), F.lit(True))
+    total = F.count_if(wanted).alias("total")
+    rollup = rollup_columns("push_status", statuses)
+    if tracked is None:
+        figures = base.agg(total, *rollup)
+    else:
+        figures = base.agg(total, tracked.agg(F.struct(*rollup)).scalar().alias("n")).select(
+            "total", "n.*"
+        )
+    names = [f"n_{s.lower()}" for s in statuses]
+    packed = figures.select(F.struct("total", *names)).scalar()
+    shown = page_of(apply_filters(base, spec), order, page, limit)
     return (
-        shown.withColumn("total_count", total)
+        shown.withColumn("_f", packed)
+        .withColumn("total_count", F.col("_f.total"))
         .withColumn("total_pages", F.ceil(F.col("total_count") / limit))
-        .withColumn("_counts", counts)
-        .select(
-            "*", *[F.col(f"_counts.n_{s.lower()}").alias(f"n_{s.lower()}") for s in statuses]
-        )
-        .drop("_counts")
+        .select("*", *[F.col(f"_f.{n}").alias(n) for n in names])
+        .drop("_f")
     )

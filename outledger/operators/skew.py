@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 # Only the most frequent keys are spread. A key outside the first 1000 holds less
 # than a thousandth of the rows, which is no more than an ordinary partition.
 TOP_KEYS = 1000
-MAX_PARTS = 512
+MAX_PARTS = 4096
 
 SALT = "_salt"
 

@@ -35,7 +35,8 @@ def size_prices(t: Tables, rules: Rules, as_of: str) -> DataFrame:
     books = valid_at(t["size_books"], "U_ValidFrom", "U_ValidTo", moment(as_of)).select("DocEntry")
     states = t["size_book_states"].filter("U_Selected = 'Y'").select("DocEntry", "U_Code")
     lines = exclude_values(t["size_book_lines"], "U_SubGroup1", rules.excluded_brands)
-    hot = HotKeys(prices, ["DocEntry"])
+    # Counted on the raw table: a plain scan of one column, and an upper bound.
+    hot = HotKeys(t["size_book_prices"], ["DocEntry"])
     on = hot.join_on
     rows = (
         hot.spread(prices)
@@ -115,15 +116,16 @@ def price_rows(t: Tables, rules: Rules, as_of: str) -> DataFrame:
 def book_entries(t: Tables, rules: Rules) -> DataFrame:
     """Item-book prices per brand line of their document.
 
-    Prices meet lines on the document alone, as worklist and by-key extract want it;
-    a document with several lines repeats its prices.
+    Prices meet lines on the document alone, as the by-key extract wants it. Lines
+    with the same brand and lock would only repeat equal rows, which the documents
+    fold again, so lines are made distinct before they meet the prices.
     """
     lines = exclude_values(t["item_book_lines"], "U_Brand", rules.excluded_brands)
     prices = t["item_book_prices"].filter("U_SelPrice > 0").select(
         "DocEntry", "LineId", "U_State", "U_SelPrice", "U_MRP"
     )
     return prices.join(
-        lines.select("DocEntry", "U_Brand", "U_Lock"), "DocEntry"
+        lines.select("DocEntry", "U_Brand", "U_Lock").distinct(), "DocEntry"
     ).join(t["item_books"], "DocEntry")
 
 

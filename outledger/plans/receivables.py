@@ -46,7 +46,8 @@ def open_lines(t: Tables, rules: Rules, keys: DataFrame | None = None) -> DataFr
         lines = where_exists(
             lines, keys.select(_c("record_key").alias("ShortName")), "ShortName"
         )
-    hot = HotKeys(lines, ["TransId"])
+    # Counted on the raw table: a plain scan of one column, and an upper bound.
+    hot = HotKeys(t["journal_lines"], ["TransId"])
     booking = t["journal"].select("TransId", "RefDate", "memo", "TransType")
     invoices = t["invoices"].select(
         "TransId",

@@ -11,13 +11,12 @@ from outledger.fixed_values import PUNCH_STATUSES
 from outledger.functions.choose import classify_like, flag, null_default
 from outledger.functions.dates import date_text, moment
 from outledger.functions.text import clean_grade, first_phone
-from outledger.operators.aggregates import price_summary, sum_whole
-from outledger.operators.filters import FilterSpec, contained
+from outledger.operators.aggregates import sum_whole
+from outledger.operators.filters import FilterSpec, contained, exclude_values
 from outledger.operators.joins import first_per_key, where_exists
 from outledger.operators.paging import overlay_status, worklist
 from outledger.plans.items import Tables, priced_items, sellable_items
 from outledger.plans.partners import active_partners, category
-from outledger.plans.prices import book_entries
 from outledger.plans.receivables import receivable_summary
 from outledger.plans.stock import warehouse_stock
 from outledger.rules import Rules
@@ -48,15 +47,45 @@ def item_base(t: Tables, rules: Rules) -> DataFrame:
 
 
 def price_base(t: Tables, rules: Rules) -> DataFrame:
-    """Price summary per item and brand, prices met with lines on the document alone."""
-    entries = book_entries(t, rules).withColumnRenamed("U_ItemCode", "ProductCode")
-    summary = price_summary(entries, ["ProductCode", "U_Brand"], "U_State", "U_SelPrice")
+    """Price summary per item and brand, prices met with lines on the document alone.
+
+    Every price counts once per line of its document. Prices are reduced to states
+    and lines to brands before they meet, and the counts are multiplied, so a
+    document with many of both never forms the pairs.
+    """
+    prices = (
+        t["item_book_prices"]
+        .filter("U_SelPrice > 0")
+        .groupBy("DocEntry", "U_State")
+        .agg(
+            F.count("*").alias("prices"),
+            F.min("U_SelPrice").alias("low"),
+            F.max("U_SelPrice").alias("high"),
+        )
+    )
+    lines = (
+        exclude_values(t["item_book_lines"], "U_Brand", rules.excluded_brands)
+        .groupBy("DocEntry", _c("U_Brand").alias("Brand"))
+        .agg(F.count("*").alias("lines"))
+    )
+    books = t["item_books"].select("DocEntry", _c("U_ItemCode").alias("ProductCode"))
+    summary = (
+        prices.join(lines, "DocEntry")
+        .join(books, "DocEntry")
+        .groupBy("ProductCode", "Brand")
+        .agg(
+            F.sum(_c("prices") * _c("lines")).alias("price_entries"),
+            F.count_distinct("U_State").alias("state_count"),
+            F.min("low").alias("min_price"),
+            F.max("high").alias("max_price"),
+        )
+    )
     items = t["items"].select(
         _c("ItemCode").alias("ProductCode"),
         _c("ItemName").alias("ProductName"),
         _c("U_SubGrp7").alias("ProductGroupCode"),
     )
-    return items.join(summary, "ProductCode").withColumnRenamed("U_Brand", "Brand")
+    return items.join(summary, "ProductCode")
 
 
 def partner_base(t: Tables, rules: Rules) -> DataFrame:
@@ -80,15 +109,15 @@ def partner_base(t: Tables, rules: Rules) -> DataFrame:
     )
 
 
+def listed_schemes(t: Tables, rules: Rules) -> DataFrame:
+    """Schemes whose validity lies inside the listed window."""
+    low, high = moment(rules.scheme_list_from), moment(rules.scheme_list_to)
+    return contained(t["schemes"], "U_FrmDt", "U_ToDt", low, high)
+
+
 def scheme_base(t: Tables, rules: Rules) -> DataFrame:
     """Schemes inside the listed window with what their lines say."""
-    listed = contained(
-        t["schemes"],
-        "U_FrmDt",
-        "U_ToDt",
-        moment(rules.scheme_list_from),
-        moment(rules.scheme_list_to),
-    )
+    listed = listed_schemes(t, rules)
     lines = where_exists(t["scheme_lines"], listed, "DocEntry").groupBy("DocEntry").agg(
         F.max(classify_like(_c("U_bran"), rules.division_patterns)).alias("DivisionCode"),
         F.max("U_Discunt").alias("DiscountBasis"),
@@ -169,6 +198,23 @@ def list_order(dataset: str) -> list[str]:
     return [key, "Brand"] if dataset == "pricelists" else [key]
 
 
+def tracked_records(
+    dataset: str, t: Tables, rules: Rules, status: DataFrame, records: DataFrame
+) -> DataFrame | None:
+    """The rows whose states a worklist counts, where they differ from its records.
+
+    Price lists count each item once, whatever its brands; schemes also count those
+    without lines.
+    """
+    if dataset == "pricelists":
+        return records.select("ProductCode", "push_status").distinct()
+    if dataset == "schemes":
+        return overlay_status(
+            listed_schemes(t, rules).select("DocEntry").distinct(), status, "DocEntry", dataset
+        )
+    return None
+
+
 def dataset_worklist(
     dataset: str,
     t: Tables,
@@ -180,8 +226,15 @@ def dataset_worklist(
     limit: int | None = None,
 ) -> DataFrame:
     """One page of a dataset with totals and unfiltered status counts."""
-    base = records_with_status(dataset, t, rules, status, as_of)
-    return worklist(base, spec_for(dataset, spec, rules), list_order(dataset), page, limit)
+    records = records_with_status(dataset, t, rules, status, as_of)
+    return worklist(
+        records,
+        spec_for(dataset, spec, rules),
+        list_order(dataset),
+        page,
+        limit,
+        tracked=tracked_records(dataset, t, rules, status, records),
+    )
 
 
 def attendance_worklist(

@@ -27,6 +27,7 @@ from outledger.queries.q_nesting import (
     OPEN_SQL,
     OPEN_VIEWS,
     flat_prices,
+    flat_receivables,
 
     flat_stock,
 )
@@ -308,20 +309,126 @@ def pipe_dashboard(spark, folder):
     )
 
 
+# ---- the same datasets for wanted keys -------------------------------------------
+
+_WANTED = "(select record_key from si_status where push_status='Failed')"
+
+
+def _failed_keys(spark, folder):
+    return views(spark, folder)("si_status").filter("push_status = 'Failed'").select("record_key")
+
+
+@query(
+    "by_key_items",
+    f"""select ItemCode as code, ItemName as product_name, rtrim(U_SubGrp6) as color_code,
+    case when validFor='Y' then 1 else 0 end as is_active, U_SubGrp1 as brand from erp_items
+    where ItemCode in {_WANTED}""",
+    "erp_items si_status",
+)
+def by_key_items(spark, folder):
+    keys = _failed_keys(spark, folder)
+    docs = items.item_documents(items.item_rows_by_key(erp(spark, folder), RULES, keys), RULES)
+    return docs.select("*", F.explode("ProductColors").alias("c")).select(
+        _c("ProductCode").alias("code"),
+        _c("Product.ProductName").alias("product_name"),
+        _c("c.ColorCode").alias("color_code"),
+        _c("Product.IsActive").alias("is_active"),
+        _c("Product.Brand").alias("brand"),
+    )
+
+
+@query(
+    "by_key_prices",
+    f"""select U_ItemCode as code, p.DocEntry as price_list_id, U_State as list_code,
+    min(U_Brand) as sub_brand, p.LineId as price_id, cast(min(U_SelPrice) as double) as price
+    from erp_item_books b join erp_item_book_prices p on p.DocEntry=b.DocEntry
+    join erp_item_book_lines l on l.DocEntry=b.DocEntry where U_SelPrice>0
+    and U_Brand not in ('Brand#3','Brand#7') and U_ItemCode in {_WANTED} group by 1,2,3,5""",
+    "erp_item_books erp_item_book_prices erp_item_book_lines si_status",
+)
+def by_key_prices(spark, folder):
+    keys = _failed_keys(spark, folder)
+    rows = prices.price_rows_by_key(erp(spark, folder), RULES, keys)
+    docs = prices.price_documents(rows, RULES, moment(AS_OF))
+    return (
+        docs.select("ProductCode", F.explode("PriceList").alias("l"))
+        .select("ProductCode", "l", F.explode("l.Prices").alias("p"))
+        .select(
+            _c("ProductCode").alias("code"),
+            _c("l.PriceListID").alias("price_list_id"),
+            _c("l.PriceLisCode").alias("list_code"),
+            _c("l.SubBrandCode").alias("sub_brand"),
+            _c("p.PriceID").alias("price_id"),
+            _c("p.Price").alias("price"),
+        )
+    )
+
+
+@query(
+    "by_key_partners",
+    f"""select CardCode as bp_code, CardName as name, U_AreaCode as area from erp_partners
+    where {_ACTIVE_SQL} and CardCode in {_WANTED}""",
+    "erp_partners si_status",
+)
+def by_key_partners(spark, folder):
+    docs = partners.partner_documents(
+        erp(spark, folder), RULES, keys=_failed_keys(spark, folder)
+    )
+    return docs.filter("part_no = 0").select(
+        _c("BPCode").alias("bp_code"), _c("BPName").alias("name"), _c("AreaCode").alias("area")
+    )
+
+
+@query(
+    "by_key_stock",
+    f"""select ItemCode as code, U_SubGrp13 as color_code, U_Size as size,
+    cast(trunc(OnHand) as int) as quantity from erp_items join erp_stock using (ItemCode)
+    where WhsCode='W0' and validFor='Y' and ItemCode in {_WANTED}""",
+    "erp_items erp_stock si_status",
+)
+def by_key_stock(spark, folder):
+    keys = _failed_keys(spark, folder)
+    return stock.stock_rows_by_key(erp(spark, folder), RULES, keys).select(
+        _c("ProductCode").alias("code"),
+        _c("ColorCode").alias("color_code"),
+        _c("Size").alias("size"),
+        _c("StockQuantity").alias("quantity"),
+    )
+
+
+@query(
+    "by_key_receivables",
+    f"""with {OPEN_SQL} select card_code, card_name, state, doc_type, invoice_no, balance
+    from open_rows where card_code in {_WANTED}""",
+    f"{OPEN_VIEWS} si_status",
+)
+def by_key_receivables(spark, folder):
+    keys = _failed_keys(spark, folder)
+    rows = receivables.receivable_rows(erp(spark, folder), RULES, AS_OF, keys)
+    return flat_receivables(receivables.receivable_records(rows)).select(
+        "card_code", "card_name", "state", "doc_type", "invoice_no", "balance"
+    )
+
+
 # ---- worklists -------------------------------------------------------------------
 
 
-def _worklist_sql(base: str, key: str, columns: str, where: str, order: str, page=1, limit=50):
+def _worklist_sql(
+    base: str, key: str, columns: str, where: str, order: str, page=1, limit=50, tracked=None
+):
     """Page, totals and unfiltered status counts over a base relation."""
+    tracked = tracked or f"select distinct {key} from base"
     return f"""with base as ({base}), st as (select base.*, coalesce(s.push_status,'Pending')
     as push_status from base left join si_status s on cast({key} as varchar)=s.record_key),
-    hit as (select * from st where {where})
+    hit as (select * from st where {where}),
+    tr as (select coalesce(s.push_status,'Pending') as push_status from ({tracked}) k
+    left join si_status s on cast(k.{key} as varchar)=s.record_key)
     select {columns}, push_status, (select count(*) from hit) as total_count,
     (select cast(ceil(count(*)/{limit}.0) as bigint) from hit) as total_pages,
-    (select count(*) from st where push_status='Pending') as n_pending,
-    (select count(*) from st where push_status='Pushing') as n_pushing,
-    (select count(*) from st where push_status='Pushed') as n_pushed,
-    (select count(*) from st where push_status='Failed') as n_failed
+    (select count(*) from tr where push_status='Pending') as n_pending,
+    (select count(*) from tr where push_status='Pushing') as n_pushing,
+    (select count(*) from tr where push_status='Pushed') as n_pushed,
+    (select count(*) from tr where push_status='Failed') as n_failed
     from hit order by {order} limit {limit} offset {(page - 1) * limit}"""
 
 
@@ -446,6 +553,8 @@ def worklist_partners(spark, folder):
         "policy_id, policy_number, division, basis, from_day, line_count",
         "policy_number ilike '%7000%'",
         "policy_id",
+        tracked="""select DocEntry as policy_id from erp_schemes
+        where U_FrmDt>=timestamp '1997-01-01' and U_ToDt<=timestamp '1998-12-31'""",
     ),
     "erp_schemes erp_scheme_lines si_status",
 )
