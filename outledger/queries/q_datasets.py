@@ -28,7 +28,6 @@ from outledger.queries.q_nesting import (
     OPEN_VIEWS,
     flat_prices,
     flat_receivables,
-
     flat_stock,
 )
 from outledger.queries.registry import query

@@ -51,7 +51,6 @@ def difference(spark_df, con, sql: str) -> str:
     if not a:
         return "no rows"
     if a != b:
-        only_a = [r for r in a if r not in set(b)][:2]
-        only_b = [r for r in b if r not in set(a)][:2]
+        only_a, only_b = sorted(set(a) - set(b))[:2], sorted(set(b) - set(a))[:2]
         return f"values differ, spark {only_a} check {only_b}"
     return ""
