@@ -116,7 +116,7 @@ def pipe_images(spark, folder):
     "pipe_schemes",
     f"""with {_FIRST_LINE_SQL}, valid as (select * from erp_schemes where timestamp '{AS_OF}'
     between U_FrmDt and U_ToDt), per_group as (select * from (select l.*, row_number() over
-    (partition by DocEntry, U_Qual order by LineId, U_Qual, U_bran, U_Discunt, U_Stat, U_BillsQty,
+    (partition by DocEntry, U_Qual order by LineId, U_Qual, U_bran, U_Discunt, U_Stat nulls first, U_BillsQty,
     U_OffersQty) as rn from erp_scheme_lines l) where rn=1)
     select v.DocEntry as policy_id, Object||v.DocEntry as policy_number, case f.U_Discunt
     when 'Quantity' then 'SC' else 'DIS' end as saving_type,

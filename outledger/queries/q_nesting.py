@@ -230,7 +230,7 @@ def flat_prices(docs):
 
 
 _FIRST_LINE_SQL = """first_line as (select * from (select *, row_number() over
- (partition by DocEntry order by LineId, U_Qual, U_bran, U_Discunt, U_Stat, U_BillsQty,
+ (partition by DocEntry order by LineId, U_Qual, U_bran, U_Discunt, U_Stat nulls first, U_BillsQty,
  U_OffersQty) as rn from erp_scheme_lines) where rn=1)"""
 
 
