@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,18 +29,24 @@ def tuned(builder: SparkSession.Builder) -> SparkSession.Builder:
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for cut-lineage tables: ``spark.checkpoint.dir`` of the session.
 
-    Only a local master may fall back to a folder of this machine; a cluster
-    without the setting is refused, since its executors would not see the folder.
+    Where it is unset, a folder below an explicit ``spark.sql.warehouse.dir`` (also shared) or,
+    for a local master only, below its default; a cluster with neither is refused.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not sc.master.startswith("local"):
+    local = re.fullmatch(r"local(\[.*\])?", sc.master) is not None
+    if not local and not sc.getConf().contains("spark.sql.warehouse.dir"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="outledger-")
+    own = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     sc.setCheckpointDir(own)
-    return sc.getCheckpointDir().rstrip("/")
+    return own
+
+
+def run_dir(spark: SparkSession) -> str:
+    """Folder of this application's pinned tables."""
+    return f"{scratch_dir(spark)}/run-{spark.sparkContext.applicationId}"
 
 
 def pin(df: DataFrame) -> DataFrame:
@@ -50,6 +56,12 @@ def pin(df: DataFrame) -> DataFrame:
     columns they need, and do not recompute what led to ``df``.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/pinned-{uuid.uuid4().hex}"
+    path = f"{run_dir(spark)}/pinned-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_pins(spark: SparkSession) -> None:
+    """Delete every table this application has pinned; frames built on them end to be readable."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

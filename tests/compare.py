@@ -6,7 +6,7 @@ import math
 
 import duckdb
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 def database(folder: str) -> duckdb.DuckDBPyConnection:
