@@ -13,7 +13,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outledger.llm import license_scan, piece_codec, quality_rules, token_counts, warc
+from outledger.llm import (
+    decontamination,
+    license_scan,
+    pii,
+    piece_codec,
+    quality_rules,
+    token_counts,
+    warc,
+)
 from outledger.llm.common import table
 from outledger.session import run_dir
 
@@ -37,6 +45,36 @@ def query(name: str, sql: str | None = None):
 PIECES = "piece_bpe_32k.model"
 
 
+@query(
+    "op1_decontamination",
+    r"""
+    with d as (
+        select distinct doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 1)),
+            lambda i: array_to_string(w[i:i + 4], ' '))) as s
+        from (select doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'),
+            lambda x: x <> '') as w from documents where text is not null)
+        where len(w) >= 5
+    ), b as (
+        select distinct item_id, unnest(list_transform(range(1, greatest(len(w) - 3, 1)),
+            lambda i: array_to_string(w[i:i + 4], ' '))) as s
+        from (select item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'),
+            lambda x: x <> '') as w from benchmark where text is not null)
+    ), n as (
+        select item_id, count(*) as n_shingles from b group by item_id
+    )
+    select doc_id, item_id, n_shingles, count(*) as n_found, count(*) / n_shingles as containment
+    from d join b using (s) join n using (item_id)
+    group by doc_id, item_id, n_shingles
+    having count(*) * 100 >= n_shingles * 75
+    """,
+)
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items inside all documents."""
+    return decontamination.contaminated(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
 @query("op5_quality_rules")
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Quality rules over all documents."""
@@ -102,3 +140,19 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_archives(spark, uri, with_payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query("op10_pii")
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of all documents."""
+    rows = pii.personal_data(table(spark, folder, "documents"))
+
+    def count(number: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long")
+
+    return rows.select(
+        "doc_id",
+        *(count(i).alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)),
+        F.sha2(F.encode(pii.listed(F.col("base")), "UTF-8"), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
