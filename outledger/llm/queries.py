@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from outledger.llm import (
     decontamination,
     license_scan,
+    ngram_join,
     pii,
     piece_codec,
+    quality_model,
     quality_rules,
     token_counts,
     warc,
@@ -75,6 +77,53 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op2_quality_classifier")
+def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of all documents; labels of held-out documents are never learned from."""
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    rows = quality_model.quality_scores(
+        table(spark, folder, "documents"), table(spark, folder, "labels"), ~held_out
+    )
+    return rows.select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@query(
+    "op4_ngram_jaccard",
+    r"""
+    with recursive w as (
+        select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+    ), s as (
+        select distinct doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)),
+            lambda i: array_to_string(w[i:i + 4], ' '))) as s from w where len(w) > 0
+    ), n as (
+        select doc_id, count(*) as n from s group by doc_id
+    ), l as (
+        select a.doc_id as a, b.doc_id as b
+        from s a join s b on a.s = b.s and a.doc_id <> b.doc_id
+            join n x on x.doc_id = a.doc_id join n y on y.doc_id = b.doc_id
+        group by a.doc_id, b.doc_id, x.n, y.n
+        having 100 * count(*) >= 75 * (x.n + y.n - count(*))
+    ), r as (
+        select doc_id as a, doc_id as b from documents
+        union
+        select r.a, l.b from r join l on l.a = r.b
+    )
+    select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, r.c as component_id
+    from documents d left join n using (doc_id)
+        join (select a, min(b) as c from r group by a) r on r.a = d.doc_id
+    """,
+)
+def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes of near-equal documents."""
+    return ngram_join.jaccard_components(table(spark, folder, "documents"))
+
+
 @query("op5_quality_rules")
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Quality rules over all documents."""
