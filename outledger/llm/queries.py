@@ -21,6 +21,7 @@ from outledger.llm import (
     piece_codec,
     quality_model,
     quality_rules,
+    substring_dedup,
     token_counts,
     warc,
 )
@@ -92,6 +93,40 @@ def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "op3_substring_dedup",
+    """
+    with h as (
+        select doc_id, hex(encode(coalesce(text, ''))) as h from documents
+    ), w as (
+        select doc_id, i, md5(substr(h, 2 * i + 1, 400)) as k
+        from (select doc_id, h, unnest(range(0, len(h) // 2 - 199)) as i from h)
+    ), s as (
+        select doc_id, i from (select *, count(*) over (partition by k) as n from w) where n > 1
+    ), m as (
+        select *, i > coalesce(lag(i) over (partition by doc_id order by i) + 200, -1) as fresh
+        from s
+    ), r as (
+        select *, sum(fresh::int) over (partition by doc_id order by i) as run from m
+    ), p as (
+        select doc_id, min(i) as a, max(i) + 200 as b from r group by doc_id, run
+    ), g as (
+        select *, coalesce(lag(b) over (partition by doc_id order by a), 0) as before from p
+    ), t as (
+        select h.doc_id, count(g.a) as n_spans, coalesce(sum(g.b - g.a), 0)::bigint as n_removed,
+            coalesce(string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' order by a), '')
+                || substr(h, 2 * coalesce(max(b), 0) + 1) as kept,
+            len(h) // 2 as n_bytes
+        from h left join g on h.doc_id = g.doc_id group by h.doc_id, h
+    )
+    select doc_id, n_bytes, n_removed, n_spans, sha256(unhex(kept)) as kept_sha256 from t
+    """,
+)
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the bytes of repeated 200-byte strings."""
+    return substring_dedup.without_repeats(table(spark, folder, "documents")).drop("kept")
+
+
 @query(
     "op4_ngram_jaccard",
     r"""
