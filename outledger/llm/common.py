@@ -29,6 +29,30 @@ def texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **more: str
     return df.select(*(col.alias(name) for name, col in named.items()))
 
 
+def text_key() -> Column:
+    """Hash of the column ``text``: with the id it names a document even where ids repeat."""
+    return F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull())
+
+
+def filtered(
+    df: DataFrame, keys: DataFrame, how: str, doc_id: str, text: str, also: str | None = None
+) -> DataFrame:
+    """Rows of ``df``, all columns, with (left_semi) or without (left_anti) a match in ``keys``.
+
+    ``keys`` holds ``doc_id, text_key``; null ids match null ids. The column ``also`` of ``df``, if
+    named, is hashed into the text key. Returns the rows as the struct ``row`` beside the keys.
+    """
+    whole = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"))
+    keyed = whole.select(
+        "row", F.col("row")[doc_id].cast("long").alias("doc_id"), F.col("row")[text].cast("string").alias("text")
+    ).withColumn("text_key", text_key())
+    if also is not None:
+        keyed = keyed.withColumn("text_key", F.xxhash64("text_key", F.col("row")[also]))
+    other = keys.select(F.col("doc_id").alias("of_doc"), F.col("text_key").alias("of_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_key") == F.col("of_key"))
+    return keyed.drop("text").join(other, same, how)
+
+
 def map_rows(
     df: DataFrame, fn: Callable[[dict[str, list]], dict[str, Iterable]], schema: str
 ) -> DataFrame:

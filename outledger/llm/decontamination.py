@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from outledger.llm.common import texts
+from outledger.llm.common import filtered, text_key, texts
 from outledger.session import pin
 
 SHINGLE_WORDS = 5
@@ -91,7 +91,7 @@ def contaminated(
     item_text: str = "text",
     percent: int = PERCENT,
 ) -> DataFrame:
-    """``doc_id, item_id, n_shingles, n_found, containment`` of every pair that reaches ``percent``.
+    """``doc_id, text_key, item_id, n_shingles, n_found, containment`` of the pairs that reach ``percent``.
 
     The corpus is read once for candidates; candidate documents are read again by key. No key of a
     shuffle is shared by documents: candidates are grouped by document and item.
@@ -106,7 +106,7 @@ def contaminated(
     widths = [r["width"] for r in items.select("width").distinct().collect()]
 
     docs = texts(documents, doc_id, text).where(F.col("text").isNotNull())
-    docs = docs.withColumn("text_key", F.xxhash64("text"))
+    docs = docs.withColumn("text_key", text_key())
     worded = docs.select("doc_id", "text_key", words(F.col("text")).alias("w"))
     found = None
     for width in sorted(widths):
@@ -131,10 +131,23 @@ def contaminated(
     ).join(shingled, "item_id")
     own = shingle_texts(F.col("w"), F.col("width"))
     counted = paired.withColumn("w", words(F.col("text"))).select(
-        "doc_id", "item_id",
+        "doc_id", "text_key", "item_id",
         F.size("item_shingles").cast("long").alias("n_shingles"),
         F.size(F.array_intersect(own, "item_shingles")).cast("long").alias("n_found"),
     )
     return counted.where(F.col("n_found") * 100 >= F.col("n_shingles") * percent).withColumn(
         "containment", F.col("n_found") / F.col("n_shingles")
     )
+
+
+def clean_documents(
+    documents: DataFrame,
+    benchmark: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    percent: int = PERCENT,
+) -> DataFrame:
+    """The rows of ``documents``, all columns, that hold no item."""
+    hits = contaminated(documents, benchmark, doc_id, text, percent=percent)
+    keys = pin(hits.select("doc_id", "text_key").distinct())
+    return filtered(documents, keys, "left_anti", doc_id, text).select("row.*")

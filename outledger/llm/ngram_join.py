@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outledger.llm.common import BLANKS, arrow_schema, encoded, texts
+from outledger.llm.common import BLANKS, arrow_schema, encoded, filtered, text_key, texts
 from outledger.llm.components import components
 from outledger.session import pin
 
@@ -51,7 +51,7 @@ BASE, WORD_BASE = U64(0x9E3779B97F4A7C15), U64(0xD6E8FEB86659FD93)
 IS_BLANK = np.zeros(256, bool)
 IS_BLANK[list(BLANKS)] = True
 
-SETS = "kind int, doc_id long, set_id long, size int, signature binary, n long"
+SETS = "kind int, doc_id long, text_key long, set_id long, size int, signature binary, n long"
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -142,8 +142,9 @@ def chunks(batches: Iterator[pa.RecordBatch], n_bytes: int) -> Iterator[tuple[li
     """Ids and lower-cased texts of a few megabytes at a time, whatever the batches."""
     ids, found, held = [], [], 0
     for batch in batches:
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            ids.append(doc)
+        first = batch.column(0).to_pylist()
+        for doc, text in zip(first, batch.column(1), strict=True):
+            ids.append(tuple(doc.values()) if isinstance(doc, dict) else doc)
             found.append(encoded(text.as_py()).translate(LOWER))
             held += len(found[-1])
             if held >= n_bytes:
@@ -160,23 +161,24 @@ def document_sets(docs: DataFrame) -> DataFrame:
     def run(batches):
         for ids, found in chunks(batches, CHUNK_BYTES):
             rows, everything = [], []
-            for doc, hashes in zip(ids, shingle_sets(found), strict=True):
+            for (doc, key), hashes in zip(ids, shingle_sets(found), strict=True):
                 if len(hashes):
                     everything.append(hashes)
-                    rows.append((0, doc, set_name(hashes), len(hashes), signature(hashes), None))
+                    rows.append((0, doc, key, set_name(hashes), len(hashes), signature(hashes), None))
                 else:
-                    rows.append((0, doc, None, 0, None, None))
+                    rows.append((0, doc, key, None, 0, None, None))
             if everything:
                 keys, n = np.unique(np.concatenate(everything), return_counts=True)
                 often = n >= HOT_IN_CHUNK
                 pairs = zip(keys[often].view(np.int64).tolist(), n[often].tolist(), strict=True)
-                rows += [(1, None, key, None, None, count) for key, count in pairs]
+                rows += [(1, None, None, key, None, None, count) for key, count in pairs]
             columns = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
             )
 
-    return docs.mapInArrow(run, SETS)
+    keyed = docs.select(F.struct("doc_id", text_key().alias("text_key")).alias("id"), "text")
+    return keyed.mapInArrow(run, SETS)
 
 
 def frequent(noted: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -388,11 +390,15 @@ def jaccard_components(
     percent: int = PERCENT,
     block: int = 1024,
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` per row of ``df``; see the module's description."""
+    """``doc_id, text_key, class_id, n_shingles, component_id`` per row of ``df``.
+
+    ``component_id`` is the smallest id of the component; ``class_id`` names the component by its
+    smallest set (null for empty sets).
+    """
     docs = texts(df, doc_id, text)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     noted = pin(document_sets(docs))
-    own = noted.where("kind = 0").select("doc_id", "set_id", "size", "signature")
+    own = noted.where("kind = 0").select("doc_id", "text_key", "set_id", "size", "signature")
     hot = frequent(noted.where("kind = 1"), HOT)
     sets = pin(
         own.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(
@@ -423,8 +429,26 @@ def jaccard_components(
         .withColumn("component", F.coalesce("component", "set_id"))
     )
     least = smallest.groupBy("component").agg(F.min("first_doc").alias("component_id"))
-    classes = smallest.join(least, "component").select(F.col("set_id").alias("of_set"), "component_id")
-    rows = own.select("doc_id", "set_id", F.col("size").cast("long").alias("n_shingles"))
+    classes = smallest.join(least, "component").select(
+        F.col("set_id").alias("of_set"), F.col("component").alias("class_id"), "component_id"
+    )
+    rows = own.select("doc_id", "text_key", "set_id", F.col("size").cast("long").alias("n_shingles"))
     joined = rows.join(classes, F.col("set_id") == F.col("of_set"), "left")
     alone = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", "n_shingles", alone.alias("component_id"))
+    return joined.select("doc_id", "text_key", "class_id", "n_shingles", alone.alias("component_id"))
+
+
+def one_per_component(
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT
+) -> DataFrame:
+    """One row of ``df``, all columns, per component: that of the smallest id (and text hash).
+
+    Documents with an empty set stay. Repeated rows of one id and text are one document.
+    """
+    rows = pin(jaccard_components(df, doc_id, text, percent))
+    key = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
+    linked = rows.where(F.col("class_id").isNotNull()).groupBy("class_id").agg(F.min(key).alias("k"))
+    alone = rows.where(F.col("class_id").isNull()).select("doc_id", "text_key")
+    keys = linked.select("k.doc_id", "k.text_key").union(alone).distinct()
+    found = filtered(df, keys, "left_semi", doc_id, text)
+    return found.dropDuplicates(["doc_id", "text_key"]).select("row.*")

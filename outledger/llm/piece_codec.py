@@ -29,6 +29,7 @@ MARK = "▁"
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 ENCODED = "doc_id long, ids array<int>"
 DECODED = "doc_id long, text string"
+BOTH = "doc_id long, n_tokens long, ids array<int>, text string"
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -232,3 +233,26 @@ def round_trip(
         }
 
     return map_rows(texts(df, doc_id, text), run, DIGESTS)
+
+
+def encoded_and_decoded(
+    df: DataFrame,
+    model_path: str,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    remembered: int = 200_000,
+) -> DataFrame:
+    """``BOTH``: the ids of each row's text and the text that they decode to."""
+    get = _table(df, model_path, remembered)
+
+    def run(rows):
+        n, ids, back = [], [], []
+        for text in rows["text"]:
+            found = get().look_up(text)
+            ids.append([i for row in found for i in row[0]])
+            n.append(len(ids[-1]))
+            restored = "".join([row[2] for row in found])
+            back.append(restored[1:] if restored.startswith(" ") else restored)
+        return {"doc_id": rows["doc_id"], "n_tokens": n, "ids": ids, "text": back}
+
+    return map_rows(texts(df, doc_id, text), run, BOTH)

@@ -138,10 +138,19 @@ def feature_bits(text: Column, span: Column, kind: str, strict: bool) -> Column:
     return sum((F.when(x, 1 << i).otherwise(0) for i, x in enumerate(found)), F.lit(0))
 
 
-def candidates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id`` and ``spans``: every candidate with kind, strictness, label and feature bits."""
-    rows = texts(df, doc_id, text)
-    rows = rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+def candidates(
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", whole: bool = False
+) -> DataFrame:
+    """``doc_id`` and ``spans``: every candidate with kind, strictness, label and feature bits.
+
+    With ``whole``, also all columns of ``df`` as the struct ``row``.
+    """
+    if whole:
+        kept = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
+        rows = df.select(kept, F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    else:
+        rows = texts(df, doc_id, text)
+    rows = rows.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
     parts = [
         F.transform(guarded(F.col("text"), pattern, guard), described(F.col("text"), kind, strict))
         for kind in KINDS
@@ -150,7 +159,8 @@ def candidates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
             (False, LOOSE[kind], LOOSE_GUARDS[kind]),
         )
     ]
-    return rows.select("doc_id", F.array_sort(F.concat(*parts)).alias("spans"))
+    spans = F.array_sort(F.concat(*parts)).alias("spans")
+    return rows.select("doc_id", spans, *(["row"] if whole else []))
 
 
 def described(text: Column, kind: str, strict: bool):
@@ -311,13 +321,15 @@ def select(found: DataFrame, models: list[Boosted]) -> DataFrame:
         F.transform(F.filter("spans", lambda s: ~(s["strict"] & s["label"])), scored),
         lambda s: s["over"] >= 0,
     )
-    rows = found.select("doc_id", base.alias("base"), extra.alias("extra"))
+    more = [c for c in found.columns if c == "row"]
+    rows = found.select("doc_id", *more, base.alias("base"), extra.alias("extra"))
     free = F.filter("extra", lambda s: ~F.exists("base", lambda b: over(s, b)))
-    rows = rows.select("doc_id", "base", free.alias("extra"))
+    rows = rows.select("doc_id", *more, "base", free.alias("extra"))
     best = F.filter("extra", lambda s: ~F.exists("extra", lambda o: over(s, o) & better(o, s)))
     plain = lambda s: F.struct(s["start"], s["kind"], s["end"])
     merged = F.array_sort(F.concat(F.transform("base", plain), F.transform(best, plain)))
-    return rows.select("doc_id", F.transform("base", plain).alias("base"), merged.alias("spans"))
+    bare = F.transform("base", plain).alias("base")
+    return rows.select("doc_id", *more, bare, merged.alias("spans"))
 
 
 def personal_data(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -346,3 +358,19 @@ def redacted(text: Column, spans: Column) -> Column:
 
     tail = lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text)))
     return F.aggregate(spans, start, step, tail)
+
+
+def redacted_documents(
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: str | None = None
+) -> DataFrame:
+    """The rows of ``df`` with redacted texts, and their new lengths in the column ``length``.
+
+    The texts are read twice, for the models and for the redaction, and never shuffled.
+    """
+    models = trained(candidates(df, doc_id, text))
+    rows = select(candidates(df, doc_id, text, whole=True), models)
+    clean = redacted(F.col("row")[text], F.col("spans"))
+    out = rows.select("row.*", clean.alias("clean text")).withColumn(text, F.col("clean text"))
+    if length is not None:
+        out = out.withColumn(length, F.length("clean text").cast(df.schema[length].dataType))
+    return out.select(*(F.col(f"`{c}`") for c in df.columns))

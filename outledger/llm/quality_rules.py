@@ -22,14 +22,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outledger.llm.common import BLANKS, byte_words, map_rows, texts
+from outledger.llm.common import BLANKS, byte_words, filtered, map_rows, text_key, texts
 from outledger.session import pin
 
 # Fixed value: the characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
 
 MEASURES = (
-    "doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+    "doc_id long, text_key long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
     "n_repeat_words long, n_lines long, n_letters long, n_capitals long"
 )
 
@@ -50,7 +50,7 @@ class Limits:
 
 
 def measure(text: str | None) -> tuple[int, ...]:
-    """The measures of one text, in the order of ``MEASURES`` without id and host."""
+    """The measures of one text, in the order of ``MEASURES`` without keys."""
     text = text or ""
     words = byte_words(text)
     found = Counter(zip(words, words[1:], words[2:], strict=False))
@@ -81,9 +81,11 @@ def measured(df: DataFrame, doc_id: str = "doc_id", text: str = "text", host: st
 
     def run(rows):
         columns = zip(*map(measure, rows["text"]), strict=True)
-        return dict(zip(names, [rows["doc_id"], rows["host"], *columns], strict=True))
+        known = [rows["doc_id"], rows["text_key"], rows["host"]]
+        return dict(zip(names, [*known, *columns], strict=True))
 
     chosen = texts(df, doc_id, text, host=host).withColumn("host", F.col("host").cast("string"))
+    chosen = chosen.withColumn("text_key", text_key())
     return map_rows(chosen, run, MEASURES)
 
 
@@ -160,3 +162,18 @@ def quality(
     allowed = F.when(F.col("strict"), 0).otherwise(1)
     kept = ~F.col("base_failed") & (F.col("strong") == 0) & (F.col("weak") <= allowed)
     return joined.drop("of_host").withColumn("kept", kept)
+
+
+def kept_documents(
+    df: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    host: str = "source",
+    limits: Limits = Limits(),
+) -> DataFrame:
+    """The rows of ``df`` that the rules keep, with all columns."""
+    rows = quality(df, doc_id, text, host, limits)
+    hosted = rows.where("kept").select("doc_id", F.xxhash64("text_key", "host").alias("text_key"))
+    whole = df.withColumn("row host", F.col(f"`{host}`").cast("string"))
+    found = filtered(whole, hosted, "left_semi", doc_id, text, "row host")
+    return found.select("row.*").drop("row host")

@@ -13,6 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from outledger.llm import (
     decontamination,
     license_scan,
@@ -75,7 +76,7 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark items inside all documents."""
     return decontamination.contaminated(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
-    )
+    ).drop("text_key")
 
 
 @query("op2_quality_classifier")
@@ -156,7 +157,8 @@ def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     """Classes of near-equal documents."""
-    return ngram_join.jaccard_components(table(spark, folder, "documents"))
+    rows = ngram_join.jaccard_components(table(spark, folder, "documents"))
+    return rows.select("doc_id", "n_shingles", "component_id")
 
 
 @query("op5_quality_rules")
@@ -240,3 +242,9 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.encode(pii.listed(F.col("base")), "UTF-8"), 256).alias("base_sha256"),
         pii.listed(F.col("spans")).alias("spans"),
     )
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """All stages of the corpus pipeline over all documents."""
+    return corpus_pipeline.run(spark, folder)
