@@ -12,8 +12,12 @@ a tile group, in which the join runs twice:
 1. Stars: each group's smallest set against the others. Verified links give first components.
 2. Tiles: groups that still hold several components are cut by size band (a band spans a factor of
    100 / percent, so only equal and adjacent bands can link) and into blocks of ``block`` sets; each
-   pair of blocks is a tile, compared by signatures as a matrix. Pairs within one component are
-   never formed, so a large group of near copies costs its number of members, not its square.
+   pair of blocks is a tile. Pairs within one component are never formed, so a large group of near
+   copies costs its number of members, not its square.
+
+In both, a pair counts only if the sizes and the positions of the shared shingle leave room for the
+overlap it needs (at its first common shingle a linked pair always has that room), and goes on only
+if the signatures allow it.
 
 A signature is a parity bitmap: every shingle flips the bit its hash names. Bits that differ bound
 the symmetric difference from below, hence the overlap from above: overlap <= (|x| + |y| - bits)/2.
@@ -205,58 +209,92 @@ def prefix(hashes: np.ndarray, hot: tuple[np.ndarray, np.ndarray], percent: int)
     return hashes[np.argsort(weight, kind="stable")[:length]]
 
 
+PREFIXES = "key long, set_id long, size int, pos int"
+GROUPS = "group_id long, a long, b long, size int, pos int, n int"
+
+
 def prefix_rows(docs: DataFrame, hot, percent: int) -> DataFrame:
-    """``key, set_id`` for the prefix shingles of every set; a task emits each of its sets once."""
+    """``PREFIXES``: the prefix shingles of every set by position; a task emits a set once."""
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches):
         seen: set[int] = set()
         for _, found in chunks(batches, CHUNK_BYTES):
-            keys, names = [], []
+            keys, names, sizes = [], [], []
             for hashes in shingle_sets(found):
                 if len(hashes) and (name := set_name(hashes)) not in seen:
                     seen.add(name)
                     keys.append(prefix(hashes, shared.value, percent))
-                    names.append(np.full(len(keys[-1]), name, np.int64))
+                    names.append(name)
+                    sizes.append(len(hashes))
             if keys:
-                both = [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(names))]
-                yield pa.RecordBatch.from_arrays(both, names=["key", "set_id"])
-
-    return docs.mapInArrow(run, "key long, set_id long")
-
-
-def group_rows(rows: DataFrame, parts: int) -> DataFrame:
-    """``group_id, set_id, leader``: the members of every prefix shingle that several sets share.
-
-    Groups with the same members (within a partition of keys) are one group.
+                n = np.array([len(k) for k in keys])
+                pos = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                columns = [
+                    np.concatenate(keys).view(np.int64), np.repeat(np.array(names, np.int64), n),
+                    np.repeat(np.array(sizes, np.int32), n), pos.astype(np.int32),
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in columns], names=["key", "set_id", "size", "pos"]
+                )
+
+    return docs.mapInArrow(run, PREFIXES)
+
+
+def may_share(size, pos, other_size, other_pos, percent: int):
+    """Whether two sets whose first common shingle stands at these positions can link."""
+    both = size + other_size
+    least = -(-percent * both // (100 + percent))
+    small, large = np.minimum(size, other_size), np.maximum(size, other_size)
+    rest = np.minimum(size - pos, other_size - other_pos)
+    return (100 * small >= percent * large) & (rest >= least)
+
+
+def group_rows(rows: DataFrame, parts: int, percent: int) -> DataFrame:
+    """``GROUPS`` of two kinds from the prefix shingles that several sets share.
+
+    Stars (n = 0): the group's smallest set and another one, where sizes and positions allow a link.
+    Members (n > 2): set ``a`` of a group of n sets, with its position. Groups with the same members
+    are one group, at the first of their shingles in the global order.
     """
 
     def run(batches):
-        got = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
+        got = [[c.to_numpy() for c in b.columns] for b in batches if b.num_rows]
         if not got:
             return
-        keys, sets = (np.concatenate(x) for x in zip(*got, strict=True))
+        keys, sets, size, pos = (np.concatenate(x) for x in zip(*got, strict=True))
         order = np.lexsort((sets, keys))
-        keys, sets = keys[order], sets[order]
+        keys, sets, size, pos = keys[order], sets[order], size[order], pos[order]
         fresh = np.concatenate(([True], (keys[1:] != keys[:-1]) | (sets[1:] != sets[:-1])))
-        keys, sets = keys[fresh], sets[fresh]
+        keys, sets, size, pos = keys[fresh], sets[fresh], size[fresh], pos[fresh]
         starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        lengths = np.diff(np.concatenate((starts, [len(keys)])))
-        named = np.add.reduceat(mix(sets.view(U64) ^ BASE), starts) + lengths.astype(U64)
-        _, chosen = np.unique(named, return_index=True)
-        chosen = chosen[lengths[chosen] > 1]
-        if not len(chosen):
+        n = np.diff(np.concatenate((starts, [len(keys)])))
+        named = np.add.reduceat(mix(sets.view(U64) ^ BASE), starts) + n.astype(U64)
+        order = np.lexsort((pos[starts], named))
+        order = order[n[order] > 1]
+        if not len(order):
             return
-        n, begin = lengths[chosen], starts[chosen]
-        inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        member = sets[np.repeat(begin, n) + inner]
-        columns = [np.repeat(keys[begin], n), member, np.repeat(sets[begin], n)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in columns], names=["group_id", "set_id", "leader"]
-        )
-
-    dealt = rows.repartition(parts, "key")
-    return dealt.mapInArrow(run, "group_id long, set_id long, leader long")
+        once = np.concatenate(([True], named[order][1:] != named[order][:-1]))
+        chosen = order[once]
+        n, begin, named = n[chosen], starts[chosen], named[chosen].view(np.int64)
+        at = np.repeat(begin, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        first = np.repeat(begin, n)
+        star = (at != first) & may_share(size[first], pos[first], size[at], pos[at], percent)
+        pairs = np.unique(np.stack((sets[first][star], sets[at][star]), axis=1), axis=0)
+        large = np.repeat(n, n) > 2
+        members = [
+            np.repeat(named, n)[large], sets[at][large], sets[at][large], size[at][large],
+            pos[at][large], np.repeat(n, n)[large],
+        ]
+        none = np.zeros(len(pairs), np.int32)
+        stars = [np.zeros(len(pairs), np.int64), pairs[:, 0], pairs[:, 1], none, none, none]
+        names = ["group_id", "a", "b", "size", "pos", "n"]
+        for columns in (stars, members):
+            kinds = (np.int64, np.int64, np.int64, np.int32, np.int32, np.int32)
+            arrays = [pa.array(c.astype(k)) for c, k in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    return rows.repartition(parts, "key").mapInArrow(run, GROUPS)
 
 
 def bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -327,60 +365,83 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int) -
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def tile_pairs(live: DataFrame, percent: int, block: int) -> DataFrame:
-    """Pairs of different components that pass, from ``group_id, set_id, component, size, signature``."""
+def tiles(live: DataFrame, percent: int, block: int) -> DataFrame:
+    """Members of live groups dealt to tiles: ``tile`` and ``side`` beside the member's columns.
+
+    A group of at most ``block`` sets is one tile. A larger one is cut by size band and then into
+    blocks; every pair of blocks of one band (side 0) or of neighbouring bands (sides 1 and 2) is a
+    tile, and a member is repeated once per tile of its block.
+    """
     band = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9)
-    banded = live.withColumn("band", band.cast("int"))
+    small = live.where(F.col("n") <= block).select(
+        "*", F.xxhash64("group_id").alias("tile"), F.lit(0).alias("side")
+    )
+    banded = live.where(F.col("n") > block).withColumn("band", band.cast("int"))
     counts = banded.groupBy("group_id", "band").agg(F.ceil(F.count("*") / block).cast("int").alias("k"))
+    counts = pin(counts)
     own = banded.join(counts, ["group_id", "band"])
     own = own.withColumn("at", F.pmod(F.xxhash64("set_id"), F.col("k")).cast("int"))
-    above = counts.select("group_id", (F.col("band") - 1).alias("band"), F.col("k").alias("k_above"))
-    below = counts.select("group_id", (F.col("band") + 1).alias("band"), F.col("k").alias("k_below"))
-    own = own.join(above, ["group_id", "band"], "left").join(below, ["group_id", "band"], "left")
-
-    def tile(step: int, i, j, side: int):
-        return F.struct(
-            (F.col("band") + step).alias("low"), F.lit(0 if step == 0 and side < 2 else 1).alias("next"),
-            i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(side).alias("side"),
-        )
+    for name, step in (("above", 1), ("below", -1)):
+        near = counts.select("group_id", (F.col("band") - step).alias("band"), F.col("k").alias(name))
+        own = own.join(near, ["group_id", "band"], "left")
+
+    def tile(low, kind: int, i, j, side: int):
+        key = F.xxhash64("group_id", low, F.lit(kind), i.cast("int"), j.cast("int"))
+        return F.struct(key.alias("tile"), F.lit(side).alias("side"))
 
     def others(k, make):
         return F.when(k > 0, F.transform(F.sequence(F.lit(0), k - 1), make)).otherwise(F.array())
 
-    at = F.col("at")
-    same = others(F.col("k"), lambda j: tile(0, F.least(at, j), F.greatest(at, j), 0))
-    up = others(F.coalesce("k_above", F.lit(0)), lambda j: tile(0, at, j, 2))
-    down = others(F.coalesce("k_below", F.lit(0)), lambda i: tile(-1, i, at, 3))
-    spread = own.select(
-        "set_id", "component", "size", "signature", "group_id",
-        F.explode(F.concat(same, up, down)).alias("t"),
-    )
-    tiles = spread.select("*", "t.*").drop("t").groupBy("group_id", "low", "next", "i", "j")
+    at, here = F.col("at"), F.col("band")
+    same = others(F.col("k"), lambda j: tile(here, 0, F.least(at, j), F.greatest(at, j), 0))
+    up = others(F.coalesce("above", F.lit(0)), lambda j: tile(here, 1, at, j, 1))
+    down = others(F.coalesce("below", F.lit(0)), lambda i: tile(here - 1, 1, i, at, 2))
+    spread = own.select(*live.columns, F.explode(F.concat(same, up, down)).alias("t"))
+    return small.unionByName(spread.select(*live.columns, "t.tile", "t.side"))
+
+
+def tile_pairs(live: DataFrame, percent: int, block: int, parts: int) -> DataFrame:
+    """Pairs ``a, b`` of different components whose sizes and positions allow a link.
+
+    ``live`` holds ``group_id, set_id, component, size, pos, n``. A task holds one tile at a time.
+    """
+    dealt = tiles(live, percent, block).select("tile", "side", "set_id", "component", "size", "pos")
 
-    def compare(part: pa.Table) -> pa.Table:
-        size = part["size"].to_numpy().astype(np.int64)
+    def pairs_of(columns: list[np.ndarray]) -> np.ndarray:
+        side, name, comp, size, pos = columns
         order = np.argsort(size, kind="stable")
-        size = size[order]
-        name, comp = part["set_id"].to_numpy()[order], part["component"].to_numpy()[order]
-        side = part["side"].to_numpy()[order]
-        maps = [part["signature"][int(i)].as_py() for i in order]
-        n = min(map(len, maps))
-        bits = np.stack([fold(m, n) for m in maps]).view(U64)
-        a, b = [], []
+        side, name, comp, size, pos = (x[order] for x in (side, name, comp, size, pos))
+        ends = np.searchsorted(size, size * 100 // percent, side="right")
+        out = []
         for i in range(len(name)):
-            others_ = slice(i + 1, None)
-            ok = (comp[others_] != comp[i]) & (size[i] * 100 >= percent * size[others_])
-            ok &= (side[others_] != side[i]) | (side[i] == 0)
-            js = np.flatnonzero(ok) + i + 1
-            if len(js):
-                differing = np.bitwise_count(bits[js] ^ bits[i]).sum(axis=1, dtype=np.int64)
-                js = js[may_link(size[i], size[js], differing, percent)]
-                a.extend([name[i]] * len(js))
-                b.extend(name[js])
-        a, b = np.array(a, np.int64), np.array(b, np.int64)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+            j = slice(i + 1, ends[i])
+            ok = (comp[j] != comp[i]) & ((side[j] != side[i]) | (side[i] == 0))
+            ok &= may_share(size[i], pos[i], size[j], pos[j], percent)
+            if ok.any():
+                found = name[j][ok]
+                out.append(np.stack((np.minimum(found, name[i]), np.maximum(found, name[i])), axis=1))
+        return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
 
-    return tiles.applyInArrow(compare, "a long, b long").distinct()
+    def run(batches):
+        held: list[np.ndarray] | None = None  # rows of the tile that may go on in the next batch
+        for batch in batches:
+            columns = [c.to_numpy().astype(np.int64) for c in batch.columns]
+            if held is not None:
+                columns = [np.concatenate(x) for x in zip(held, columns, strict=True)]
+            cut = np.flatnonzero(columns[0][1:] != columns[0][:-1]) + 1
+            bounds = [0, *cut.tolist()]
+            found = [pairs_of([c[x:y] for c in columns[1:]]) for x, y in zip(bounds, bounds[1:], strict=False)]
+            yield batch_of(found)
+            held = [c[bounds[-1] :] for c in columns]
+        if held is not None and len(held[0]):
+            yield batch_of([pairs_of(held[1:])])
+
+    def batch_of(found: list[np.ndarray]) -> pa.RecordBatch:
+        pairs = np.concatenate([np.zeros((0, 2), np.int64), *found])
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    sorted_ = dealt.repartition(parts, "tile").sortWithinPartitions("tile")
+    return sorted_.mapInArrow(run, "a long, b long").distinct()
 
 
 def jaccard_components(
@@ -406,22 +467,22 @@ def jaccard_components(
             F.max("signature").alias("signature"),
         )
     )
-    groups = pin(group_rows(prefix_rows(docs, hot, percent), parts))
+    groups = pin(group_rows(prefix_rows(docs, hot, percent), parts, percent))
 
-    stars = groups.where("leader <> set_id").select(F.col("leader").alias("a"), F.col("set_id").alias("b"))
-    links = pin(verified(bounded(stars.distinct(), sets, percent), sets, docs, percent))
+    stars = groups.where("n = 0").select("a", "b").distinct()
+    links = pin(verified(bounded(stars, sets, percent), sets, docs, percent))
     found = pin(components(links))
 
-    named = found.select(F.col("node").alias("set_id"), "component")
-    placed = groups.select("group_id", "leader", "set_id").join(named, "set_id", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "set_id"))
-    # A key may stand for several groups, one per partition: leader and key name a group.
-    placed = placed.withColumn("group_id", F.xxhash64("group_id", "leader")).drop("leader")
+    named = found.select(F.col("node").alias("a"), "component")
+    members = groups.where("n > 2").groupBy("group_id", "a").agg(
+        F.max("size").alias("size"), F.min("pos").alias("pos"), F.max("n").alias("n")
+    )
+    placed = members.join(named, "a", "left").withColumn("component", F.coalesce("component", "a"))
+    placed = pin(placed.withColumnRenamed("a", "set_id"))
     mixed = placed.groupBy("group_id").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     live = placed.join(mixed.where("x <> y").select("group_id"), "group_id")
-    live = live.join(sets.select("set_id", "size", "signature"), "set_id")
-    across = pin(verified(tile_pairs(live, percent, block), sets, docs, percent))
-    found = components(links.unionByName(across))
+    across = tile_pairs(live, percent, block, parts)
+    found = components(links.unionByName(verified(bounded(across, sets, percent), sets, docs, percent)))
 
     smallest = (
         sets.select("set_id", "first_doc")
