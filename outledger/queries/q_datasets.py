@@ -245,7 +245,7 @@ def pipe_receivables(spark, folder):
     best as (select emp_id, punch_type, cast(punch_time as date) as day,
     case when punch_type='I' then arg_min(ref_id,(punch_time, ref_id))
     else arg_max(ref_id,(punch_time, ref_id)) end as ref_id from si_punch
-    where emp_id is not null and punch_time>=timestamp '2024-01-10' group by 1, 2, 3)
+    where emp_id is not null group by 1, 2, 3)
     select cast(ref_id as varchar) as ref_id, cast(emp_id as varchar) as employee_id, punch_type,
     strftime(punch_time,'%Y-%m-%dT%H:%M:%S') as punch_iso, 'Pending' as push_status
     from best b join si_punch p using (ref_id, emp_id, punch_type) where not exists
@@ -262,8 +262,7 @@ def pipe_attendance(spark, folder):
     log = punches.filter("employee_id is not null").filter(
         _c("punch_time") < moment("2024-01-12 00:00:00")
     )
-    arrived = punches.filter(_c("punch_time") >= moment("2024-01-10 00:00:00"))
-    fresh = attendance.new_punches(arrived, log, moment("2024-01-31 00:00:00"))
+    fresh = attendance.new_punches(punches, log, moment("2024-01-31 00:00:00"))
     assert set(fresh.columns) == {f.split()[0] for f in PUNCH_LOG.split(", ")}
     waiting = [pending_queue(fresh, kind) for kind in ("I", "O")]
     queue = waiting[0].unionByName(waiting[1])

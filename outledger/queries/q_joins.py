@@ -94,16 +94,13 @@ def exists_either(spark, folder):
     "in_subquery",
     f"""select bp_id, bp_name, state_id from si_partner where state_id in
     (select distinct state_id from si_scheme_line join si_scheme using (scheme_id)
-    where basis='Quantity' and timestamp '{AS_OF}' between from_date and to_date
-    and line_no=1)""",
+    where timestamp '{AS_OF}' between from_date and to_date)""",
     "si_partner si_scheme si_scheme_line",
 )
 def in_subquery(spark, folder):
     v = views(spark, folder)
     valid = valid_at(v("si_scheme"), "from_date", "to_date", moment(AS_OF))
-    lines = v("si_scheme_line").filter("line_no = 1").join(
-        valid.filter("basis = 'Quantity'"), "scheme_id"
-    )
+    lines = v("si_scheme_line").join(valid, "scheme_id")
     return joins.where_in(v("si_partner"), "state_id", lines, "state_id").select(
         "bp_id", "bp_name", "state_id"
     )
@@ -112,7 +109,7 @@ def in_subquery(spark, folder):
 @query(
     "not_exists_insert",
     """select distinct emp_id, punch_type, cast(punch_time as date) as day from si_punch p
-    where emp_id is not null and punch_time>=timestamp '2024-01-15' and not exists
+    where emp_id is not null and not exists
     (select 1 from si_punch l where l.emp_id=p.emp_id and l.punch_type=p.punch_type
     and cast(l.punch_time as date)=cast(p.punch_time as date)
     and l.punch_time<timestamp '2024-01-20')""",
@@ -124,8 +121,7 @@ def not_exists_insert(spark, folder):
     )
     key = ["emp_id", "punch_type", "day"]
     log = punches.filter(_c("punch_time") < moment("2024-01-20 00:00:00"))
-    new = punches.filter(_c("punch_time") >= moment("2024-01-15 00:00:00"))
-    return joins.anti(new, log, key).select(*key).distinct()
+    return joins.anti(punches, log, key).select(*key).distinct()
 
 
 @query(
@@ -162,18 +158,15 @@ def scalar_top1(spark, folder):
 @query(
     "concat_key_join",
     """select i.item_id, l.LineId as line_id, l.DocEntry as doc_entry from si_item i
-    join erp_size_book_lines l on concat(grp,style,brand)=concat(U_SubGroup7,U_SubGroup4,U_SubGroup1)
-    join si_scheme on scheme_id=DocEntry where size<=2""",
-    "si_item erp_size_book_lines si_scheme",
+    join erp_size_book_lines l
+    on concat(grp,style,brand)=concat(U_SubGroup7,U_SubGroup4,U_SubGroup1)""",
+    "si_item erp_size_book_lines",
 )
 def concat_key_join(spark, folder):
     v = views(spark, folder)
-    lines = joins.where_exists(
-        v("erp_size_book_lines"), v("si_scheme").select(_c("scheme_id").alias("DocEntry")), "DocEntry"
-    )
     joined = joins.join_on_concat(
-        v("si_item").filter("size <= 2"),
-        lines,
+        v("si_item"),
+        v("erp_size_book_lines"),
         ["grp", "style", "brand"],
         ["U_SubGroup7", "U_SubGroup4", "U_SubGroup1"],
     )

@@ -37,7 +37,7 @@ VIEWS: dict[str, tuple[str, str]] = {
         l_linenumber as line_id, cast(l_extendedprice as decimal(12,2)) as price,
         l_shipdate as valid_from, l_shipdate + interval 365 day as valid_to, l_discount as disc,
         l_suppkey as supp_id
-        from {lineitem} join {supplier} on l_suppkey=s_suppkey where l_discount>=0.05""",
+        from {lineitem} join {supplier} on l_suppkey=s_suppkey""",
     ),
     "si_price_b": (
         "part nation",
@@ -74,7 +74,7 @@ VIEWS: dict[str, tuple[str, str]] = {
     "si_contact": (
         "orders",
         """select distinct o_custkey as bp_id, o_orderpriority as contact_name
-        from {orders} where o_orderstatus='F'""",
+        from {orders}""",
     ),
     "si_journal": (
         "orders",
@@ -98,15 +98,15 @@ VIEWS: dict[str, tuple[str, str]] = {
         """select o_orderkey as doc_num, o_custkey as bp_id, o_orderkey as trans_id,
         o_orderdate as doc_date, cast(o_totalprice as decimal(12,2)) as doc_total,
         case when o_orderkey%3=0 then null
-        else 'Brand#'||cast(o_orderkey%25 as string)||'  ' end as brand
-        from {orders} where o_orderstatus='F'""",
+        else 'Brand#'||cast(o_orderkey%25 as string)||'  ' end as brand, o_orderstatus as doc_status
+        from {orders}""",
     ),
     "si_scheme": (
         "orders",
         """select o_orderkey as scheme_id, o_orderdate as from_date,
         o_orderdate+interval 90 day as to_date,
-        case when o_orderkey%2=0 then 'Quantity' else 'Percentage' end as basis
-        from {orders} where o_orderpriority='1-URGENT'""",
+        case when o_orderkey%2=0 then 'Quantity' else 'Percentage' end as basis, o_orderpriority as priority
+        from {orders}""",
     ),
     "si_scheme_line": (
         "lineitem part supplier",
@@ -121,16 +121,15 @@ VIEWS: dict[str, tuple[str, str]] = {
     "si_punch": (
         "events",
         """select event_id as ref_id, case when user_id%13=0 then null else user_id end as emp_id,
-        case event_type when 'click' then 'I' else 'O' end as punch_type, ts as punch_time
-        from {events} where event_type in ('click','view')""",
+        case when event_type in ('click','signup') then 'I' else 'O' end as punch_type,
+        ts as punch_time from {events}""",
     ),
     "si_status_event": (
         "events",
         """select user_id as record_key, ts, event_id as seq,
-        case event_type when 'purchase' then 'Pushed' when 'error' then 'Failed'
-        when 'signup' then 'Pushing' end as status,
-        case when event_type='error' then props end as error
-        from {events} where event_type in ('purchase','error','signup')""",
+        case when event_type in ('purchase','click') then 'Pushed' when event_type='error'
+        then 'Failed' else 'Pushing' end as status,
+        case when event_type='error' then props end as error from {events}""",
     ),
     "si_response": (
         "events",
@@ -157,10 +156,10 @@ VIEWS: dict[str, tuple[str, str]] = {
         "events",
         """select event_id as id, cast(event_id as string) as ref_id,
         cast(user_id as string) as employee_id,
-        case event_type when 'click' then 'I' else 'O' end as punch_type, ts as punch_time,
-        ts + interval 1 hour as capture_time,
+        case when event_type in ('click','signup') then 'I' else 'O' end as punch_type,
+        ts as punch_time, ts + interval 1 hour as capture_time,
         case when value<30 then 'Pending' when value<60 then 'Failed' else 'Pushed' end
-        as push_status from {events} where event_type in ('click','view')""",
+        as push_status from {events}""",
     ),
     # Delivery batches of five datasets, one per reply.
     "si_batch": (
