@@ -1,9 +1,10 @@
 """Child rows to arrays of structs.
 
-An array lives in one row, so a parent with very many children cannot become a
-single row. Lists are therefore built in parts: a parent with more children than
-``part_rows`` gets several rows, told apart by ``part_no`` (0-based) of ``parts``.
-Every child is in exactly one part; almost all parents have exactly one.
+An array lives in one row, so lists come in chunks of at most ``part_rows`` elements: a document is
+one or more rows, told apart by ``part_no`` (0-based) of ``parts``. Row k holds the elements k x
+part_rows and on of every list, in order; row 0 therefore always exists and holds the head of every
+list. That shape is the same at every size. Only parents with more children than a chunk need
+ordinals; those come from a range-sorted position, so a hot parent is not one task.
 """
 
 from __future__ import annotations
@@ -15,6 +16,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from outledger.operators.batching import with_position
+from outledger.session import pin
+
 PART_ROWS = 10_000
 
 
@@ -33,7 +37,7 @@ def nest_lists(
     part_rows: int | None = PART_ROWS,
     sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """All lists of a document in one grouping; a list without rows is null.
+    """All lists of a document in chunks; a list without rows in a chunk is null there.
 
     ``part_rows=None`` states that the children of a parent are bounded by a
     constant (a fixed dimension) and skips the counting pass. ``sizes`` (key, n)
@@ -45,32 +49,54 @@ def nest_lists(
         [
             c.rows.select(
                 key,
-                F.xxhash64(*c.order).alias("_hash"),
+                F.lit(number).alias("_list"),
                 F.struct(
                     F.struct(*c.order).alias("o"), F.struct(*c.fields).alias("v")
                 ).alias(name),
             )
-            for name, c in lists.items()
+            for number, (name, c) in enumerate(lists.items())
         ],
     )
     if part_rows is None:
-        tall = tall.withColumn("parts", F.lit(1))
-    else:
-        if sizes is None:
-            sizes = tall.groupBy(key).agg(F.count("*").alias("n"))
-        large = sizes.filter(F.col("n") > part_rows).select(
-            key, F.ceil(F.col("n") / part_rows).cast("int").alias("parts")
-        )
-        tall = tall.join(large, key, "left").withColumn(
-            "parts", F.coalesce("parts", F.lit(1))
-        )
+        tall = tall.withColumn("part_no", F.lit(0))
+        return _folded(tall, key, lists).withColumn("parts", F.lit(1))
+    if sizes is None:
+        sizes = tall.groupBy(key).agg(F.count("*").alias("n"))
+    large = pin(sizes.filter(F.col("n") > part_rows).select(key))
+    if large.isEmpty():  # the usual case: the same rows without the second branch
+        return _folded(tall.withColumn("part_no", F.lit(0)), key, lists).withColumn("parts", F.lit(1))
+    small = tall.join(large, key, "left_anti").withColumn("part_no", F.lit(0))
+    ranked = with_position(tall.join(large, key, "left_semi"), [key, "_list", *lists])
+    first = ranked.groupBy(key, "_list").agg(F.min("pos").alias("_first"))
+    # Null keys are never large: the joins above keep them with the small ones.
+    ordinal = F.col("pos") - F.col("_first")
+    chunked = ranked.join(first, [key, "_list"]).withColumn(
+        "part_no", F.floor(ordinal / part_rows).cast("int")
+    )
+    nested = _folded(small.unionByName(chunked.select(*small.columns)), key, lists)
+    parts = chunked.groupBy(key).agg((F.max("part_no") + 1).alias("_parts"))
     return (
-        tall.withColumn("part_no", F.pmod(F.col("_hash"), F.col("parts")).cast("int"))
-        .groupBy(key, "part_no", "parts")
-        .agg(*[_ordered(name).alias(name) for name in lists])
+        nested.join(parts, key, "left")
+        .withColumn("parts", F.coalesce("_parts", F.lit(1)))
+        .drop("_parts")
     )
 
 
+def _folded(tall: DataFrame, key: str, lists: Mapping[str, ChildList]) -> DataFrame:
+    return tall.groupBy(key, "part_no").agg(*[_ordered(name).alias(name) for name in lists])
+
+
+def heads(docs: DataFrame) -> DataFrame:
+    """One row per document: its own fields and the head of each of its lists."""
+    return docs.filter("part_no = 0")
+
+
+def places(docs: DataFrame, name: str, part_rows: int = PART_ROWS) -> DataFrame:
+    """The elements of one list as ``col`` with their place ``pos`` in the whole list."""
+    rows = docs.select("*", F.posexplode(name).alias("_at", "col"))
+    return rows.withColumn("pos", F.col("part_no") * part_rows + F.col("_at")).drop("_at")
+
+
 def _ordered(name: str) -> Column:
     sorted_rows = F.array_sort(F.collect_list(name))
     return none_if_empty(F.transform(sorted_rows, lambda row: row["v"]))

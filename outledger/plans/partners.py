@@ -187,7 +187,7 @@ def partner_contacts(t: Tables, partners: DataFrame, rules: Rules) -> DataFrame:
 def partner_documents(
     t: Tables, rules: Rules, keys: DataFrame | None = None, part_rows: int = 10_000
 ) -> DataFrame:
-    """One document per partner (in parts if it has very many contacts or addresses)."""
+    """One document per partner, in chunks."""
     partners = active_partners(t, rules)
     if keys is not None:
         partners = where_exists(

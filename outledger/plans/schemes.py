@@ -184,7 +184,7 @@ PRODUCT_FIELDS = [
 def scheme_documents(
     t: Tables, schemes: DataFrame, rules: Rules, now: Column, part_rows: int = 10_000
 ) -> DataFrame:
-    """One document per scheme (in parts if it maps very many groups)."""
+    """One document per scheme, in chunks."""
     headers = scheme_headers(t, schemes, rules, now)
     # The states of a scheme are bounded by the state dimension, so they stay whole
     # and repeat on every part.

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from outledger.fixed_values import BATCH_SIZES
 from outledger.functions.dates import moment
+from outledger.operators.nesting import heads
 from outledger.operators.filters import FilterSpec
 from outledger.operators.state import pending_queue
 from outledger.plans import (
@@ -176,7 +177,7 @@ def scheme_reach(spark, folder):
     "erp_partners erp_addresses",
 )
 def pipe_partners(spark, folder):
-    docs = partners.partner_documents(erp(spark, folder), RULES).filter("part_no = 0")
+    docs = heads(partners.partner_documents(erp(spark, folder), RULES))
     return (
         docs.filter(F.size("BillShipTo") > 0)
         .select("BPCode", "BPCategory", "BillShipTo", F.explode("MST_Map_BP_SubBrand").alias("s"))
@@ -372,7 +373,7 @@ def by_key_partners(spark, folder):
     docs = partners.partner_documents(
         erp(spark, folder), RULES, keys=_failed_keys(spark, folder)
     )
-    return docs.filter("part_no = 0").select(
+    return heads(docs).select(
         _c("BPCode").alias("bp_code"), _c("BPName").alias("name"), _c("AreaCode").alias("area")
     )
 

@@ -10,9 +10,11 @@ from outledger.operators.nesting import (
     constant_list,
     dimension_list,
     first_non_null,
+    heads,
     json_array,
     nest_lists,
     none_if_empty,
+    places,
 )
 from outledger.plans import items, partners, prices, receivables, schemes, stock
 from outledger.queries.registry import query
@@ -37,10 +39,9 @@ def nest_children(spark, folder):
     nested = nest_lists(
         {"contacts": ChildList(v("si_contact"), ["contact_name"], ["contact_name"])}, "bp_id"
     )
-    docs = v("si_partner").join(nested, "bp_id")
-    return docs.select(
-        "bp_id", "bp_name", F.size("contacts").alias("n"), F.posexplode("contacts")
-    ).select("bp_id", "bp_name", "n", "pos", "col.contact_name")
+    sizes = nested.groupBy("bp_id").agg(F.sum(F.size("contacts")).cast("int").alias("n"))
+    docs = v("si_partner").join(places(nested, "contacts"), "bp_id").join(sizes, "bp_id")
+    return docs.select("bp_id", "bp_name", "n", "pos", "col.contact_name")
 
 
 @query(
@@ -252,7 +253,7 @@ def scheme_document(spark, folder):
     t = erp(spark, folder)
     docs = schemes.scheme_documents(t, t["schemes"], RULES, moment(AS_OF))
     roles = F.transform("Policy.RoleMapping", lambda r: r["Role"])
-    return docs.filter("part_no = 0").select(
+    return heads(docs).select(
         _c("PolicyID").alias("policy_id"),
         _c("Policy.PolicyNumber").alias("policy_number"),
         _c("Policy.Revision").alias("revision"),

@@ -12,7 +12,7 @@ from outledger.functions import choose, dates, numeric, text
 from outledger.functions.dates import moment
 from outledger.operators import delivery, joins, state
 from outledger.operators.batching import assign_batches, delivery_plan, mark_end, outbox_write
-from outledger.operators.nesting import json_array, json_text
+from outledger.operators.nesting import heads, json_array, json_text
 from outledger.operators.paging import page_meta, page_of
 from outledger.plans import attendance, items, partners, prices, receivables, schemes, stock
 from outledger.rules import Rules
@@ -335,8 +335,17 @@ def test_partner_document(spark):
     assert q["MST_MAP_BP_Division"][0]["Grade"] == "A"
     flat = partners.partner_rows(t, RULES).filter("BPCode = 'P'").collect()
     assert {(r.Brand, r.DiscountPer) for r in flat} == {("NORTH SHIRT", 7), ("SOUTH DHOTI", 0)}
-    split = partners.partner_documents(t, RULES, part_rows=2).filter("BPCode = 'P'").collect()
-    assert len(split) > 1 and {r.parts for r in split} == {len({0, 1, 2})}
+    cut = partners.partner_documents(t, RULES, part_rows=2)
+    whole = partners.partner_documents(t, RULES)
+    names = ["BPCode", "BPName", "AreaCode", "BPCategory"]
+    first = [sorted((*[r[n] for n in names], r.BillShipTo[:1]) for r in heads(x).collect()) for x in (cut, whole)]
+    assert first[0] == first[1]
+    split = cut.filter("BPCode = 'P'").orderBy("part_no").collect()
+    assert len(split) > 1 and {r.parts for r in split} == {len(split)}
+    assert [r.part_no for r in split] == list(range(len(split)))
+    one = whole.filter("BPCode = 'P'").first()
+    assert [c for r in split for c in r.Map_BpContactDetails] == one.Map_BpContactDetails
+    assert [c for r in split for c in r.BillShipTo] == one.BillShipTo
     assert sum(len(r.BillShipTo) + len(r.Map_BpContactDetails) for r in split) == 6
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from outledger.functions.dates import moment
 from outledger.operators import delivery, joins, ranking, state
 from outledger.operators.batching import assign_batches
-from outledger.operators.nesting import ChildList, distinct_children, nest_lists
+from outledger.operators.nesting import ChildList, distinct_children, nest_lists, places
 from outledger.operators.paging import page_of
 from outledger.operators.skew import HotKeys, salted_join
 from outledger.plans.items import item_documents
@@ -173,8 +173,12 @@ def test_parts_keep_every_child_of_a_hot_parent(spark):
     rows = hot_table(spark).filter("k is not null")
     nested = nest_lists({"kids": ChildList(rows, ["v"], ["v"])}, "k", part_rows=50)
     parts = nested.collect()
-    assert max(len(r.kids) for r in parts) < 150
+    assert max(len(r.kids) for r in parts) == 50
     assert {r.parts for r in parts if r.k == 0} == {20}
+    hot = sorted((r for r in parts if r.k == 0), key=lambda r: r.part_no)
+    assert [kid.v for r in hot for kid in r.kids] == sorted(kid.v for r in hot for kid in r.kids)
+    assert [(p.pos, p.v) for p in places(nested.filter("k = 0"), "kids", 50).orderBy("pos").select(
+        "pos", "col.v").collect()] == list(enumerate(kid.v for r in hot for kid in r.kids))
     flat = sorted((r.k, kid.v) for r in parts for kid in r.kids)
     assert flat == sorted(tuple(r) for r in rows.collect())
     whole = nest_lists({"kids": ChildList(rows, ["v"], ["v"])}, "k", part_rows=None).collect()
