@@ -40,26 +40,26 @@ def needed(n: Column, percent: int) -> Column:
     return F.ceil(n * F.lit(percent) / F.lit(100)).cast("long")
 
 
-def shingle_hashes(df: DataFrame, width: int, keep: list[str]) -> DataFrame:
-    """``keep`` and ``h`` for every shingle of ``width`` words of the array column ``w``.
+def shingles(w: Column, width: int) -> Column:
+    """The shingles of ``width`` words as structs: shifted slices side by side, in linear time."""
+    n = F.greatest(F.size(w) - F.lit(width - 1), F.lit(0))
+    return F.arrays_zip(*(F.slice(w, F.lit(k + 1), n).alias(f"s{k}") for k in range(width)))
 
-    The words of a shingle are brought side by side by shifted slices, so that hashing stays in
-    generated code.
-    """
-    n = F.greatest(F.size("w") - F.lit(width - 1), F.lit(0))
-    shifted = [F.slice("w", F.lit(k + 1), n).alias(f"s{k}") for k in range(width)]
-    rows = df.where(F.size("w") >= width).select(
-        *keep, F.explode(F.arrays_zip(*shifted)).alias("s")
-    )
+
+def shingle_hashes(df: DataFrame, width: int, keep: list[str]) -> DataFrame:
+    """``keep`` and ``h`` for every shingle of ``width`` words of the array column ``w``."""
+    rows = df.where(F.size("w") >= width)
+    rows = rows.select(*keep, F.explode(shingles(F.col("w"), width)).alias("s"))
     return rows.select(*keep, F.xxhash64(*(F.col(f"s.s{k}") for k in range(width))).alias("h"))
 
 
-def shingle_texts(w: Column, width: Column) -> Column:
+def shingle_texts(w: Column, width: int) -> Column:
     """Distinct shingles of the word array ``w`` as texts."""
-    starts = F.when(F.size(w) >= width, F.sequence(F.lit(1), F.size(w) - width + 1)).otherwise(
-        F.array().cast("array<int>")
-    )
-    return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(w, i, width), " ")))
+
+    def joined(s: Column) -> Column:
+        return F.concat_ws(" ", *(s[f"s{k}"] for k in range(width)))
+
+    return F.array_distinct(F.transform(shingles(w, width), joined))
 
 
 def sketches(items: DataFrame, percent: int) -> DataFrame:
@@ -122,19 +122,23 @@ def contaminated(
         found = docs.where("false").selectExpr("doc_id", "text_key", "0L item_id")
 
     candidates = pin(found.distinct().withColumnRenamed("doc_id", "of_doc"))
-    shingled = items.select(
-        "item_id", "width", shingle_texts(F.col("w"), F.col("width")).alias("item_shingles")
-    )
     paired = docs.join(
         candidates.withColumnRenamed("text_key", "of_key"),
         F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_key") == F.col("of_key")),
-    ).join(shingled, "item_id")
-    own = shingle_texts(F.col("w"), F.col("width"))
-    counted = paired.withColumn("w", words(F.col("text"))).select(
-        "doc_id", "text_key", "item_id",
-        F.size("item_shingles").cast("long").alias("n_shingles"),
-        F.size(F.array_intersect(own, "item_shingles")).cast("long").alias("n_found"),
-    )
+    ).select("doc_id", "text_key", "item_id", words(F.col("text")).alias("w"))
+    counted = None
+    for width in sorted(widths):
+        own = shingle_texts(F.col("w"), width)
+        rows = items.where(F.col("width") == width).select("item_id", own.alias("wanted"))
+        part = paired.join(rows, "item_id").select(
+            "doc_id", "text_key", "item_id",
+            F.size("wanted").cast("long").alias("n_shingles"),
+            F.size(F.array_intersect(own, "wanted")).cast("long").alias("n_found"),
+        )
+        counted = part if counted is None else counted.unionByName(part)
+    if counted is None:
+        none = ("doc_id", "text_key", "item_id", "0L n_shingles", "0L n_found")
+        counted = paired.selectExpr(*none)
     return counted.where(F.col("n_found") * 100 >= F.col("n_shingles") * percent).withColumn(
         "containment", F.col("n_found") / F.col("n_shingles")
     )
