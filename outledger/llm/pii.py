@@ -105,14 +105,15 @@ def spans_of(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches with offsets: lengths of the pieces between them add up."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
-    pairs = F.arrays_zip(F.slice(pieces, F.lit(1), F.size(matches)).alias("p"), matches.alias("m"))
+    pairs = F.arrays_zip(pieces.alias("p"), matches.alias("m"))  # the last piece has no match
     start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
 
     def step(state: Column, pair: Column) -> Column:
         begin = state["at"] + F.length(pair["p"])
         end = begin + F.length(pair["m"])
         span = F.struct(begin.alias("start"), end.alias("end"), pair["m"].alias("match"))
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
+        more = F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
+        return F.when(pair["m"].isNull(), state).otherwise(more)
 
     return F.aggregate(pairs, start, step, lambda state: state["out"])
 
