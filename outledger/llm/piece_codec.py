@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from outledger.llm.common import encoded, map_rows, texts
 
 MARK = "▁"
+NO_PAIR = float("-inf")
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 ENCODED = "doc_id long, ids array<int>"
 DECODED = "doc_id long, text string"
@@ -67,19 +68,19 @@ class Vocabulary:
         return cls(ids, scores, bytes_, byte_of, [p.piece for p in model.pieces])
 
     def segment(self, chunk: str) -> list[str]:
-        """Pieces of one chunk; short chunks by scanning, long ones by a heap of pairs."""
-        parts, scores = list(chunk), self.scores
+        """Pieces of one chunk; short chunks by the scores of their pairs, long ones by a heap."""
+        parts, score = list(chunk), self.scores.get
         if len(parts) > 64:
             return self._segment_long(parts)
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                score = scores.get(parts[i] + parts[i + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, i
-            if best is None:
-                break
+        pairs = [score(a + b, NO_PAIR) for a, b in zip(parts, parts[1:], strict=False)]
+        while pairs and (best := max(pairs)) > NO_PAIR:
+            at = pairs.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del pairs[at]
+            if at:
+                pairs[at - 1] = score(parts[at - 1] + parts[at], NO_PAIR)
+            if at < len(pairs):
+                pairs[at] = score(parts[at] + parts[at + 1], NO_PAIR)
         return parts
 
     def _segment_long(self, parts: list[str]) -> list[str]:
@@ -180,7 +181,7 @@ def encode(
     model_path: str,
     doc_id: str = "doc_id",
     text: str = "text",
-    remembered: int = 200_000,
+    remembered: int = 400_000,
 ) -> DataFrame:
     """``ids`` of each row's text. A task keeps at most about ``remembered`` distinct chunks."""
     get = _table(df, model_path, remembered)
@@ -211,7 +212,7 @@ def round_trip(
     model_path: str,
     doc_id: str = "doc_id",
     text: str = "text",
-    remembered: int = 200_000,
+    remembered: int = 400_000,
 ) -> DataFrame:
     """``DIGESTS`` of encoding and then decoding each row, without holding ids of a batch."""
     get = _table(df, model_path, remembered)
@@ -240,7 +241,7 @@ def encoded_and_decoded(
     model_path: str,
     doc_id: str = "doc_id",
     text: str = "text",
-    remembered: int = 200_000,
+    remembered: int = 400_000,
 ) -> DataFrame:
     """``BOTH``: the ids of each row's text and the text that they decode to."""
     get = _table(df, model_path, remembered)
