@@ -44,10 +44,12 @@ from outledger.session import pin
 
 WIDTH = 5
 PERCENT = 75
-#: Frequent shingles that are ordered last, and the count within a chunk from which one is noted.
-HOT = 65_536
-HOT_IN_CHUNK = 8
+#: Frequent shingles that are ordered last, the count within a part of a task from which one is
+#: noted, and the number of hashes of such a part.
+HOT = 262_144
+HOT_IN_CHUNK = 3
 CHUNK_BYTES = 4 << 20
+NOTED_HASHES = 4_000_000
 
 U64 = np.uint64
 BYTE_VALUES = np.random.default_rng(20).integers(1, 2**63, 256, dtype=U64) * U64(2) + U64(1)
@@ -159,27 +161,44 @@ def chunks(batches: Iterator[pa.RecordBatch], n_bytes: int) -> Iterator[tuple[li
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
-    """``SETS``: a row of kind 0 per document, rows of kind 1 for shingles frequent in a chunk."""
+    """``SETS``: a row of kind 0 per document, rows of kind 1 for shingles that several
+    sets of a part of a task share."""
     schema = arrow_schema(docs.sparkSession, SETS)
 
     def run(batches):
+        everything: list[np.ndarray] = []
+        seen: set[int] = set()
+        held = 0
         for ids, found in chunks(batches, CHUNK_BYTES):
-            rows, everything = [], []
+            rows = []
             for (doc, key), hashes in zip(ids, shingle_sets(found), strict=True):
                 if len(hashes):
-                    everything.append(hashes)
-                    rows.append((0, doc, key, set_name(hashes), len(hashes), signature(hashes), None))
+                    name = set_name(hashes)
+                    rows.append((0, doc, key, name, len(hashes), signature(hashes), None))
+                    if name not in seen:
+                        seen.add(name)
+                        everything.append(hashes)
+                        held += len(hashes)
                 else:
                     rows.append((0, doc, key, None, 0, None, None))
-            if everything:
-                keys, n = np.unique(np.concatenate(everything), return_counts=True)
-                often = n >= HOT_IN_CHUNK
-                pairs = zip(keys[often].view(np.int64).tolist(), n[often].tolist(), strict=True)
-                rows += [(1, None, None, key, None, None, count) for key, count in pairs]
-            columns = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
-            )
+            if held >= NOTED_HASHES:
+                rows += noted(everything)
+                everything, held = [], 0
+            yield batch_of(rows)
+        if everything and (rows := noted(everything)):
+            yield batch_of(rows)
+
+    def noted(everything: list[np.ndarray]) -> list[tuple]:
+        keys, n = np.unique(np.concatenate(everything), return_counts=True)
+        often = n >= HOT_IN_CHUNK
+        pairs = zip(keys[often].view(np.int64).tolist(), n[often].tolist(), strict=True)
+        return [(1, None, None, key, None, None, count) for key, count in pairs]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
+        )
 
     keyed = docs.select(F.struct("doc_id", text_key().alias("text_key")).alias("id"), "text")
     return keyed.mapInArrow(run, SETS)
@@ -401,31 +420,52 @@ def tiles(live: DataFrame, percent: int, block: int) -> DataFrame:
 
 
 def tile_pairs(live: DataFrame, percent: int, block: int, parts: int) -> DataFrame:
-    """Pairs ``a, b`` of different components whose sizes and positions allow a link.
+    """Pairs ``a, b`` of different components whose sizes, positions and signatures allow a link.
 
-    ``live`` holds ``group_id, set_id, component, size, pos, n``. A task holds one tile at a time.
+    ``live`` holds ``group_id, set_id, component, size, pos, n, signature``. A task holds one tile at
+    a time.
     """
-    dealt = tiles(live, percent, block).select("tile", "side", "set_id", "component", "size", "pos")
+    names = ("tile", "side", "set_id", "component", "size", "pos", "signature")
+    dealt = tiles(live, percent, block).select(*names)
 
     def pairs_of(columns: list[np.ndarray]) -> np.ndarray:
-        side, name, comp, size, pos = columns
-        order = np.argsort(size, kind="stable")
-        side, name, comp, size, pos = (x[order] for x in (side, name, comp, size, pos))
+        order = np.argsort(columns[3], kind="stable")
+        side, name, comp, size, pos, maps = (x[order] for x in columns)
         ends = np.searchsorted(size, size * 100 // percent, side="right")
+        lengths = np.array([len(m) for m in maps])
+        row = np.zeros(len(maps), np.int64)  # of a set's bitmap among those of its length
+        full, half = {}, {}
+        for n in np.unique(lengths).tolist():
+            of = np.flatnonzero(lengths == n)
+            row[of] = np.arange(len(of))
+            full[n] = np.frombuffer(b"".join(maps[of]), np.uint8).reshape(len(of), n).view(U64)
+            wide = full[n].shape[1] // 2
+            half[n] = full[n][:, :wide] ^ full[n][:, wide:]
         out = []
         for i in range(len(name)):
             j = slice(i + 1, ends[i])
             ok = (comp[j] != comp[i]) & ((side[j] != side[i]) | (side[i] == 0))
             ok &= may_share(size[i], pos[i], size[j], pos[j], percent)
-            if ok.any():
-                found = name[j][ok]
+            js = np.flatnonzero(ok) + i + 1
+            n = int(lengths[i])
+            # A linked partner is at most 100 / percent larger: its bitmap is as long or twice as.
+            for length, side_maps in ((n, full), (2 * n, half)):
+                near = js[lengths[js] == length]
+                if not len(near):
+                    continue
+                bits = side_maps[length][row[near]] ^ full[n][row[i]]
+                differing = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+                found = name[near[may_link(size[i], size[near], differing, percent)]]
                 out.append(np.stack((np.minimum(found, name[i]), np.maximum(found, name[i])), axis=1))
         return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
 
     def run(batches):
         held: list[np.ndarray] | None = None  # rows of the tile that may go on in the next batch
         for batch in batches:
-            columns = [c.to_numpy().astype(np.int64) for c in batch.columns]
+            columns = [c.to_numpy().astype(np.int64) for c in batch.columns[:-1]]
+            maps = np.empty(batch.num_rows, object)
+            maps[:] = batch.columns[-1].to_pylist()
+            columns.append(maps)
             if held is not None:
                 columns = [np.concatenate(x) for x in zip(held, columns, strict=True)]
             cut = np.flatnonzero(columns[0][1:] != columns[0][:-1]) + 1
@@ -456,6 +496,8 @@ def jaccard_components(
     ``component_id`` is the smallest id of the component; ``class_id`` names the component by its
     smallest set (null for empty sets).
     """
+    if not 50 <= percent <= 100:
+        raise ValueError("percent must lie between 50 and 100")  # bitmaps differ by one fold at most
     docs = texts(df, doc_id, text)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     noted = pin(document_sets(docs))
@@ -481,8 +523,9 @@ def jaccard_components(
     placed = pin(placed.withColumnRenamed("a", "set_id"))
     mixed = placed.groupBy("group_id").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     live = placed.join(mixed.where("x <> y").select("group_id"), "group_id")
+    live = live.join(sets.select("set_id", "signature"), "set_id")
     across = tile_pairs(live, percent, block, parts)
-    found = components(links.unionByName(verified(bounded(across, sets, percent), sets, docs, percent)))
+    found = components(links.unionByName(verified(across, sets, docs, percent)))
 
     smallest = (
         sets.select("set_id", "first_doc")
