@@ -45,6 +45,46 @@ HR_RETRIES, HR_WAIT_MS = 3, 2000
 # --- fixed values: texts in a reply body that mean failure -------------------
 ERROR_MARKS = ('"errorcode"', '"errormessage"', '"exceptionmessage"')
 
+# --- fixed values: fields of a reply body and the JSON value that means failure
+BODY_CHECKS = (
+    ("success", "false"),
+    ("Success", "false"),
+    ("status", '"error"'),
+    ("Status", '"error"'),
+)
+
+# --- fixed values: fields of an outgoing product that keep their names --------
+PRODUCT_FIELDS = (
+    "ShortDesc",
+    "DetailedDesc",
+    "CategoryName",
+    "StyleCode",
+    "SizeCode",
+    "DivisionCode",
+    "UOM",
+    "AttributeSetName",
+    "SizeGroup",
+    "HSNCode",
+    "Brand",
+    "SalPackUn",
+)
+
+# --- fixed values: fields of an outgoing policy that keep their names ---------
+POLICY_FIELDS = (
+    "PolicyID",
+    "PolicyName",
+    "SavingType",
+    "DiscountBasis",
+    "Applicability",
+    "IsCustomerDefined",
+    "IsActive",
+    "DivisionCode",
+    "FromDate",
+    "ToDate",
+    "AllowDiscountForAllProducts",
+    "DiscountPer",
+)
+
 # --- fixed values: outcome texts ---------------------------------------------
 NOT_FOUND_TEXT = "Record not found in DB"
 NOT_MAPPED_TEXT = "Mapper produced no output"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from outledger.session import pin
@@ -17,33 +17,27 @@ def with_position(df: DataFrame, order: Sequence[str]) -> DataFrame:
 
     Rows are range-partitioned and sorted by the whole order, so equal leading
     values still spread. The sorted rows are written once to shared storage;
-    only one count per partition comes to the driver.
+    the few counts per partition are joined back, nothing comes to the driver.
     """
     ranged = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_slot", F.monotonically_increasing_id())
     )
-    pinned = pin(ranged)
-    counts = {
-        row["part"]: row["n"]
-        for row in pinned.groupBy(F.shiftright("_slot", _SLOT_BITS).alias("part"))
-        .agg(F.count("*").alias("n"))
-        .collect()
-    }
-    offsets, total = [], 0
-    for part in range(max(counts, default=-1) + 1):
-        offsets.append(total)
-        total += counts.get(part, 0)
-    start = F.element_at(
-        F.array(*[F.lit(o).cast("bigint") for o in offsets or [0]]),
-        (F.shiftright("_slot", _SLOT_BITS) + 1).cast("int"),
+    pinned = pin(ranged).withColumn("_part", F.shiftright("_slot", _SLOT_BITS))
+    counts = pin(pinned.groupBy("_part").agg(F.count("*").alias("n")))
+    # One row per partition: a window over so few rows needs no partitioning of its own.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(
+        F.col("_part"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start")
     )
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
     row_in_part = F.col("_slot").bitwiseAND((1 << _SLOT_BITS) - 1)
     return (
-        pinned.withColumn("pos", start + row_in_part)
-        .withColumn("total", F.lit(total).cast("bigint"))
-        .drop("_slot")
+        pinned.join(starts, "_part")
+        .withColumn("pos", F.col("_start") + row_in_part)
+        .withColumn("total", total)
+        .drop("_slot", "_part", "_start")
     )
 
 
@@ -63,22 +57,18 @@ def assign_batches(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
 
 
 def delivery_plan(df: DataFrame, size: int) -> DataFrame:
-    """One row per batch. Sizes and ranges follow from the row count alone."""
-    counted = df.agg(F.count("*").alias("total"))
-    batches = counted.filter(F.col("total") > 0).select(
-        "total",
-        F.explode(F.sequence(F.lit(1).cast("bigint"), F.ceil(F.col("total") / size))).alias(
-            "batch_no"
-        ),
-    )
+    """One row per batch, spread over tasks. All of it follows from the row count, one number."""
+    total = df.count()
+    n = -(-total // size)
+    batches = df.sparkSession.range(1, n + 1).withColumnRenamed("id", "batch_no")
     first = (F.col("batch_no") - 1) * size + 1
-    last = F.least(F.col("batch_no") * size, F.col("total"))
+    last = F.least(F.col("batch_no") * size, F.lit(total))
     return batches.select(
         "batch_no",
         (last - first + 1).alias("batch_size"),
         F.concat_ws("-", first, last).alias("record_range"),
-        F.ceil(F.col("total") / size).alias("total_batches"),
-        (last == F.col("total")).alias("is_last"),
+        F.lit(n).cast("bigint").alias("total_batches"),
+        (last == total).alias("is_last"),
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outledger.fixed_values import (
+    BODY_CHECKS,
     CHILD_FAILED_TEXT,
     ERROR_MARKS,
     FAILED,
@@ -34,8 +35,7 @@ def body_failed(body: Column, marks: Sequence[str] = ERROR_MARKS) -> Column:
     def field(source: Column, name: str) -> Column:
         return F.to_json(F.try_variant_get(source, f"$.{name}", "variant"))
 
-    checks = [("success", "false"), ("Success", "false"), ("status", '"error"')]
-    for name, bad in [*checks, ("Status", '"error"')]:
+    for name, bad in BODY_CHECKS:
         failed = failed | F.coalesce(field(parsed, name) == bad, F.lit(False))
     items = F.try_variant_get(parsed, "$", "array<variant>")
     bad_item = F.exists(

@@ -12,14 +12,27 @@ from outledger.functions.dates import moment
 from outledger.functions.text import contains_any
 
 
-def exclude_values(df: DataFrame, column: str, values: Sequence[object]) -> DataFrame:
-    """NOT IN: rows with a listed value go, and so do rows without a value."""
-    return df.filter(~F.col(column).isin(*values))
+def exclude_values(
+    df: DataFrame, column: str, values: Sequence[object], trimmed: bool = False
+) -> DataFrame:
+    """NOT IN: rows with a listed value go, and so do rows without a value.
+
+    ``trimmed`` compares texts without trailing blanks, on both sides.
+    """
+    return df.filter(~_listed(df, column, values, trimmed))
+
+
+def include_values(
+    df: DataFrame, column: str, values: Sequence[object], trimmed: bool = False
+) -> DataFrame:
+    """IN; ``trimmed`` as above."""
+    return df.filter(_listed(df, column, values, trimmed))
 
 
-def include_values(df: DataFrame, column: str, values: Sequence[object]) -> DataFrame:
-    """IN."""
-    return df.filter(F.col(column).isin(*values))
+def _listed(df: DataFrame, column: str, values: Sequence[object], trimmed: bool) -> Column:
+    if not trimmed:
+        return F.col(column).isin(*values)
+    return F.rtrim(F.col(column)).isin(*[str(v).rstrip(" ") for v in values])
 
 
 def not_blank(df: DataFrame, column: str) -> DataFrame:

@@ -14,10 +14,6 @@ from outledger.operators.aggregates import rollup_columns
 from outledger.operators.batching import with_position
 from outledger.operators.filters import FilterSpec, apply_filters, conditions
 
-# Up to this depth a page is a top-n; each task then keeps at most that many rows.
-TOP_N_DEPTH = 20_000
-
-
 def clamp(page: int | None, limit: int | None) -> tuple[int, int]:
     """Page from 1, limit within its bounds."""
     return max(1, page or 1), min(PAGE_MAX, max(PAGE_MIN, limit or PAGE_DEFAULT))
@@ -26,16 +22,24 @@ def clamp(page: int | None, limit: int | None) -> tuple[int, int]:
 def page_of(
     df: DataFrame, order: Sequence, page: int | None = 1, limit: int | None = None
 ) -> DataFrame:
-    """One page of an ordered result.
+    """One page of an ordered result, as a top-n: for pages near the start.
+
+    Every task carries all rows up to the page's end; ``far_page`` does not, and ``keyset_page``
+    goes on from a known row.
+    """
+    page, limit = clamp(page, limit)
+    return df.orderBy(*order).offset((page - 1) * limit).limit(limit)
+
+
+def far_page(
+    df: DataFrame, order: Sequence[str], page: int | None = 1, limit: int | None = None
+) -> DataFrame:
+    """One page at any depth, by distributed position: the ordered rows are written once.
 
-    Near pages are a top-n. Far pages would make every task and the driver carry
-    all rows before them, so those go through the distributed position instead,
-    which needs plain column names that form a unique order.
+    ``order`` names columns that form a unique order.
     """
     page, limit = clamp(page, limit)
     skip = (page - 1) * limit
-    if skip + limit <= TOP_N_DEPTH:
-        return df.orderBy(*order).offset(skip).limit(limit)
     rows = with_position(df, list(order))
     wanted = rows.filter((F.col("pos") >= skip) & (F.col("pos") < skip + limit))
     return wanted.orderBy("pos").drop("pos", "total")

@@ -1,4 +1,4 @@
-"""Splitting hot join keys, with a fixed bound on how many are treated.
+"""Splitting hot join keys.
 
 AQE already splits a skewed partition of a single join. It cannot do so in a
 chain of joins on one key, where the next join needs the partitioning that the
@@ -14,10 +14,10 @@ from operator import or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Only the most frequent keys are spread. A key outside the first 1000 holds less
-# than a thousandth of the rows, which is no more than an ordinary partition.
-TOP_KEYS = 1000
-MAX_PARTS = 4096
+from outledger.session import pin
+
+# Rows without a key match nothing; they only have to leave one another's partition.
+KEYLESS_PARTS = 4096
 
 SALT = "_salt"
 
@@ -25,39 +25,33 @@ SALT = "_salt"
 class HotKeys:
     """The hot keys of a fact table, and the two sides of a join that spreads them.
 
-    One counting pass over the key columns brings at most ``TOP_KEYS`` keys to the
-    driver. Without hot keys the join stays as it is. Otherwise ``spread`` gives
-    the fact rows of a hot key a salt and ``repeat`` repeats the matching rows of
-    another table once per salt; both then join on ``join_on``. The salt is a
-    hash of the row, so a retried task chooses the same one.
+    One counting pass over the key columns writes every key with at least ``floor`` rows; the table
+    is joined without a hint, so Spark broadcasts it only if its size allows. Without hot keys the
+    join stays as it is. Otherwise ``spread`` gives the fact rows of a hot key one of
+    ceil(rows / per_part) salts and ``repeat`` repeats the matching rows of another table once per
+    salt; both then join on ``join_on``. The salt is a hash of the row, so a retried task chooses
+    the same one.
     """
 
     def __init__(
         self, fact: DataFrame, on: Sequence[str], floor: int = 1_000_000, per_part: int = 1_000_000
     ):
         self.on = list(on)
-        parts = F.least(F.ceil(F.col("_n") / per_part), F.lit(MAX_PARTS)).cast("int")
-        hot = (
-            fact.groupBy(*on)
-            .agg(F.count("*").alias("_n"))
-            .filter(F.col("_n") >= floor)
-            .orderBy(F.desc("_n"))
-            .limit(TOP_KEYS)
-            .select(*on, parts.alias("_parts"))
-        )
-        rows = hot.collect()
-        self.rows = fact.sparkSession.createDataFrame(rows, hot.schema) if rows else None
-        self.join_on = [*self.on, SALT] if rows else self.on
+        parts = F.ceil(F.col("_n") / per_part).cast("int")
+        counts = fact.dropna(subset=self.on).groupBy(*on).agg(F.count("*").alias("_n"))
+        hot = pin(counts.filter(F.col("_n") >= floor).select(*on, parts.alias("_parts")))
+        self.rows = None if hot.isEmpty() else hot
+        self.join_on = self.on if self.rows is None else [*self.on, SALT]
 
     def spread(self, fact: DataFrame) -> DataFrame:
         """Fact rows with their salt. Rows without a key match nothing and simply spread."""
         if self.rows is None:
             return fact
         keyless = reduce(or_, [F.col(c).isNull() for c in self.on])
-        parts = F.when(keyless, MAX_PARTS).otherwise(F.coalesce("_parts", F.lit(1)))
+        parts = F.when(keyless, KEYLESS_PARTS).otherwise(F.coalesce("_parts", F.lit(1)))
         row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
         return (
-            fact.join(F.broadcast(self.rows), self.on, "left")
+            fact.join(self.rows, self.on, "left")
             .withColumn(SALT, F.pmod(row_hash, parts).cast("int"))
             .drop("_parts")
         )
@@ -68,7 +62,7 @@ class HotKeys:
             return other
         last = F.coalesce("_parts", F.lit(1)) - 1
         return (
-            other.join(F.broadcast(self.rows), self.on, "left")
+            other.join(self.rows, self.on, "left")
             .withColumn(SALT, F.explode(F.sequence(F.lit(0), last)))
             .drop("_parts")
         )

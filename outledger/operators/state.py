@@ -157,10 +157,11 @@ def board_running(board: DataFrame, datasets: DataFrame, now: Column) -> DataFra
 
 
 def board_result(board: DataFrame, results: DataFrame, now: Column) -> DataFrame:
-    """Store run results: (sync_type, success, total, ok and failed counts, error)."""
+    """Store run results: (sync_type, success, partial, total, ok and failed counts, error)."""
     updates = results.select(
         "sync_type",
         F.col("success").alias("is_pushed"),
+        "partial",
         F.when(F.col("success"), "Success").otherwise("Failed").alias("last_status"),
         now.alias("last_pushed_at"),
         "total_records",

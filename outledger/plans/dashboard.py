@@ -36,5 +36,5 @@ def board_after_runs(board: DataFrame, batches: DataFrame, started: Column, done
     """Seed, mark as running, store results, list in board order."""
     seeded = board_seed(board, DATASETS, started)
     running = board_running(seeded, batches.select("sync_type").distinct(), started)
-    finished = board_result(running, run_results(batches).drop("partial"), done)
+    finished = board_result(running, run_results(batches), done)
     return board_list(finished, DATASETS)

@@ -14,7 +14,7 @@ def image_rows(t: Tables, rules: Rules) -> DataFrame:
     """One stub per item of the image groups."""
     return extract(
         t["items"],
-        F.col("U_SubGrp7").isin(*rules.image_groups),
+        F.rtrim("U_SubGrp7").isin(*[g.rstrip(" ") for g in rules.image_groups]),
         {
             "skuCode": F.col("ItemCode"),
             "ColorCode": F.col("U_SubGrp6"),

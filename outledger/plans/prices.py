@@ -34,7 +34,7 @@ def size_prices(t: Tables, rules: Rules, as_of: str) -> DataFrame:
     )
     books = valid_at(t["size_books"], "U_ValidFrom", "U_ValidTo", moment(as_of)).select("DocEntry")
     states = t["size_book_states"].filter("U_Selected = 'Y'").select("DocEntry", "U_Code")
-    lines = exclude_values(t["size_book_lines"], "U_SubGroup1", rules.excluded_brands)
+    lines = exclude_values(t["size_book_lines"], "U_SubGroup1", rules.excluded_brands, trimmed=True)
     # Counted on the raw table: a plain scan of one column, and an upper bound.
     hot = HotKeys(t["size_book_prices"], ["DocEntry"])
     on = hot.join_on
@@ -58,7 +58,7 @@ def size_prices(t: Tables, rules: Rules, as_of: str) -> DataFrame:
 def item_prices(t: Tables, rules: Rules) -> DataFrame:
     """The best item-book price per item and state, from unlocked lines."""
     lines = exclude_values(
-        t["item_book_lines"].filter("U_Lock = 'N'"), "U_Brand", rules.excluded_brands
+        t["item_book_lines"].filter("U_Lock = 'N'"), "U_Brand", rules.excluded_brands, trimmed=True
     ).select("DocEntry", _c("LineId").alias("U_RowId"), "U_CatalgCode")
     rows = (
         t["item_book_prices"]
@@ -90,7 +90,7 @@ def price_rows(t: Tables, rules: Rules, as_of: str) -> DataFrame:
     from_item = items.join(item_prices(t, rules), "ItemCode")
 
     def shaped(df: DataFrame) -> DataFrame:
-        by_code = _c("U_SubGrp1") == F.lit(rules.catalogue_brand)
+        by_code = F.rtrim("U_SubGrp1") == F.lit(rules.catalogue_brand.rstrip(" "))
         return df.select(
             _c("ItemCode").alias("ProductCode"),
             "PriceListID",
@@ -120,7 +120,7 @@ def book_entries(t: Tables, rules: Rules) -> DataFrame:
     with the same brand and lock would only repeat equal rows, which the documents
     fold again, so lines are made distinct before they meet the prices.
     """
-    lines = exclude_values(t["item_book_lines"], "U_Brand", rules.excluded_brands)
+    lines = exclude_values(t["item_book_lines"], "U_Brand", rules.excluded_brands, trimmed=True)
     prices = t["item_book_prices"].filter("U_SelPrice > 0").select(
         "DocEntry", "LineId", "U_State", "U_SelPrice", "U_MRP"
     )

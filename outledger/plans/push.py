@@ -55,27 +55,65 @@ class PushRun:
         self.batch_size = batch_size
 
     def send(self, keys: DataFrame, outbox: str, now: Column) -> DataFrame:
-        """Mark keys as in flight and write their documents; returns the batches."""
+        """Mark keys as in flight and write their documents; returns the batches.
+
+        The keys, the fetched keys and the batch of each document are written beside the outbox, so
+        replies are judged against what was sent, also by a new process and whatever the source
+        holds by then. A failure after the marking sets all keys of the run to failed.
+        """
+        facts = facts_of(outbox)
+        keys.select("record_key").distinct().write.parquet(f"{facts}/keys")
+        keys = self._fact(outbox, "keys")
         self.store.write(mark_in_flight(self.store.read(), keys, self.master, now))
-        self.fetched = self.extract(keys)
-        documents = self.document(self.fetched)
-        keyed = documents.withColumn("record_key", _c(self.document_key).cast("string"))
-        order = [c for c in ("record_key", "part_no") if c in keyed.columns]
-        batches = assign_batches(keyed, order, self.batch_size)
-        content = F.struct(*documents.columns)
-        outbox_write(batches, outbox, self.master, content)
-        self.mapped = batches.select("record_key", "batch_no")
-        return self.mapped
-
-    def finish(self, keys: DataFrame, replies: DataFrame, now: Column) -> DataFrame:
+        try:
+            rows = pin(self.extract(keys))
+            fetched = rows.select(_c(self.row_key).cast("string").alias("record_key")).distinct()
+            fetched.write.parquet(f"{facts}/fetched")
+            documents = self.document(rows)
+            keyed = documents.withColumn("record_key", _c(self.document_key).cast("string"))
+            order = [c for c in ("record_key", "part_no") if c in keyed.columns]
+            batches = assign_batches(keyed, order, self.batch_size)
+            content = F.struct(*documents.columns)
+            outbox_write(batches, outbox, self.master, content)
+            batches.select("record_key", "batch_no").write.parquet(f"{facts}/batches")
+        except Exception as error:
+            self.abort(outbox, str(error), now)
+            raise
+        return self._fact(outbox, "batches")
+
+    def finish(self, outbox: str, replies: DataFrame, now: Column) -> DataFrame:
         """Fold replies per batch (batch_no, ok, error_message) into record states."""
+        mapped = self._fact(outbox, "batches")
         failed = (
-            self.mapped.join(replies.filter(~_c("ok")), "batch_no")
+            mapped.join(replies.filter(~_c("ok")), "batch_no")
             .groupBy("record_key")
             .agg(F.max_by("error_message", "batch_no").alias("error_message"))
         )
-        fetched = self.fetched.select(_c(self.row_key).cast("string").alias("record_key"))
-        results = reconcile_missing(keys, fetched, self.mapped, failed)
+        keys, fetched = self._fact(outbox, "keys"), self._fact(outbox, "fetched")
+        results = reconcile_missing(keys, fetched, mapped, failed)
         state = upsert_status(self.store.read(), results_to_updates(results, self.master, now))
         self.store.write(state)
         return results
+
+    def abort(self, outbox: str, message: str, now: Column) -> None:
+        """Set every key of the run to failed, with the message."""
+        results = self._fact(outbox, "keys").select(
+            "record_key", F.lit(False).alias("success"), F.lit(message).alias("error_message")
+        )
+        state = upsert_status(self.store.read(), results_to_updates(results, self.master, now))
+        self.store.write(state)
+
+    def push_all(
+        self, records: DataFrame, spec: FilterSpec, key: str, outbox: str, now: Column
+    ) -> DataFrame:
+        """Send every record that matches the filter now, over a frozen key set."""
+        return self.send(freeze_keys(records, spec, key), outbox, now)
+
+    def _fact(self, outbox: str, name: str) -> DataFrame:
+        schema = "record_key string" + (", batch_no bigint" if name == "batches" else "")
+        return self.store.spark.read.schema(schema).parquet(f"{facts_of(outbox)}/{name}")
+
+
+def facts_of(outbox: str) -> str:
+    """Folder of what a run sent, beside its outbox."""
+    return f"{outbox.rstrip('/')}_run"

@@ -42,6 +42,7 @@ def open_lines(t: Tables, rules: Rules, keys: DataFrame | None = None) -> DataFr
     share of them, so its lines are spread before the two joins on it.
     """
     lines = nonzero(t["journal_lines"], "BalDueDeb").withColumnRenamed("TransType", "LineType")
+    lines = lines.withColumn("Ref1", F.rtrim("Ref1"))
     if keys is not None:
         lines = where_exists(
             lines, keys.select(_c("record_key").alias("ShortName")), "ShortName"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from outledger.fixed_values import POLICY_FIELDS
 from outledger.functions.choose import lookup
 from outledger.functions.dates import iso_text, moment
 from outledger.functions.numeric import to_decimal
@@ -37,12 +38,12 @@ def scheme_headers(
         F.lit(1).alias("Revision"),
         _c("DocEntry").alias("PolicyID"),
         _c("Remark").alias("PolicyName"),
-        lookup(_c("U_Discunt"), rules.saving_types).alias("SavingType"),
+        lookup(F.rtrim("U_Discunt"), rules.saving_types).alias("SavingType"),
         _c("U_Discunt").alias("DiscountBasis"),
         F.lit("PG").alias("Applicability"),
         F.lit(1).alias("IsCustomerDefined"),
         F.lit(1).alias("IsActive"),
-        lookup(_c("U_bran"), rules.brand_divisions).alias("DivisionCode"),
+        lookup(F.rtrim("U_bran"), rules.brand_divisions).alias("DivisionCode"),
         iso_text(now).alias("FromDate"),
         F.lit(rules.scheme_end).alias("ToDate"),
         F.lit(0).alias("AllowDiscountForAllProducts"),
@@ -68,10 +69,11 @@ def scheme_groups(t: Tables, schemes: DataFrame) -> DataFrame:
     styles = (
         t["items"]
         .filter("validFor = 'Y' and U_SubGrp4 is not null")
-        .select(_c("U_SubGrp7").alias("U_Qual"), _c("U_SubGrp4").alias("StyleCode"))
+        .select(F.rtrim("U_SubGrp7").alias("U_Qual"), _c("U_SubGrp4").alias("StyleCode"))
         .distinct()
     )
     lines = where_exists(t["scheme_lines"], schemes, "DocEntry")
+    lines = lines.withColumn("U_Qual", F.rtrim("U_Qual"))
     per_group = first_by(lines, ["DocEntry", "U_Qual"], LINE_ORDER)
     group = _c("U_Qual")
     return per_group.join(styles, "U_Qual").select(
@@ -132,8 +134,9 @@ def scheme_partner_counts(t: Tables, schemes: DataFrame) -> DataFrame:
 def scheme_products(t: Tables, schemes: DataFrame) -> DataFrame:
     """By-key form: every item of the group of every line, with its alternates."""
     lines = where_exists(t["scheme_lines"], schemes, "DocEntry")
+    lines = lines.withColumn("U_Qual", F.rtrim("U_Qual"))
     items = t["items"].select(
-        _c("U_SubGrp7").alias("U_Qual"),
+        F.rtrim("U_SubGrp7").alias("U_Qual"),
         _c("ItemCode").alias("ProductCode"),
         _c("U_Size").alias("SizeCode"),
         _c("U_SubGrp6").alias("ColorCode"),
@@ -203,10 +206,6 @@ def scheme_documents(
         part_rows,
     )
     docs = headers.join(states, "PolicyID", "left").join(groups, "PolicyID", "left")
-    same = (
-        "PolicyID PolicyName SavingType DiscountBasis Applicability IsCustomerDefined IsActive "
-        "DivisionCode FromDate ToDate AllowDiscountForAllProducts DiscountPer"
-    )
     no_product = {"ProductCode": None, "SizeCode": None, "ColorCode": None}
     alternate = constant_list(**no_product, IsActive=0)
     mapping = constant_list(
@@ -224,7 +223,7 @@ def scheme_documents(
     policy = F.struct(
         "PolicyNumber",
         (_c("Revision") + 1).alias("Revision"),
-        *same.split(),
+        *POLICY_FIELDS,
         constant_list(BPCategory=rules.scheme_category).alias("SC_BpCategoryMapping"),
         _c("states").alias("StateMapping"),
         roles.alias("RoleMapping"),

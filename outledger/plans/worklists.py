@@ -64,7 +64,7 @@ def price_base(t: Tables, rules: Rules) -> DataFrame:
         )
     )
     lines = (
-        exclude_values(t["item_book_lines"], "U_Brand", rules.excluded_brands)
+        exclude_values(t["item_book_lines"], "U_Brand", rules.excluded_brands, trimmed=True)
         .groupBy("DocEntry", _c("U_Brand").alias("Brand"))
         .agg(F.count("*").alias("lines"))
     )

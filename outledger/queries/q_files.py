@@ -149,16 +149,17 @@ def push_run(spark, folder):
     replies = classify_response(
         last.select((_c("request_id") + 1).alias("batch_no"), "r.http_status", "r.body")
     ).withColumn("error_message", F.concat_ws(" ", F.lit("HTTP"), _c("http_status").cast("string")))
-    run.finish(keys, replies, moment(NOW))
+    run.finish(f"{path}/outbox", replies, moment(NOW))
     return store.read().select("record_key", "push_status", "error_message")
 
 
 def _land_punches(spark, folder) -> str:
     """All punches as JSON files."""
     path = own_folder(spark)
-    views(spark, folder)("si_punch").select(
+    punches = views(spark, folder)("si_punch").select(
         "ref_id", _c("emp_id").cast("string").alias("employee_id"), "punch_type", "punch_time"
-    ).write.json(f"{path}/in")
+    )
+    punches.repartition(2, "ref_id").write.json(f"{path}/in")
     return path
 
 
@@ -188,8 +189,9 @@ def punch_ingest_stream(spark, folder):
 )
 def stateful_dedupe_stream(spark, folder):
     path = _land_punches(spark, folder)
-    unique = streams.dedupe_stream(streams.punch_files(spark, f"{path}/in"))
-    streams.append_to(unique, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    arriving = streams.punch_files(spark, f"{path}/in", files_per_batch=1)
+    run = streams.dedupe_to(arriving, f"{path}/out", f"{path}/late", f"{path}/checkpoint")
+    run.awaitTermination()
     schema = f"{streams.PUNCH}, punch_day date"
     return spark.read.schema(schema).parquet(f"{path}/out").select(
         "employee_id", "punch_type", "punch_day"
@@ -205,8 +207,9 @@ def stateful_dedupe_stream(spark, folder):
 def daily_status_stream(spark, folder):
     path = own_folder(spark)
     log = views(spark, folder)("si_punch_log").select("punch_type", "push_status", "punch_time")
-    log.write.parquet(f"{path}/in")
-    arriving = spark.readStream.schema(log.schema).parquet(f"{path}/in")
+    log.repartition(2, "punch_time").write.parquet(f"{path}/in")
+    reader = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", "1")
+    arriving = reader.parquet(f"{path}/in")
     counts = streams.daily_counts(arriving)
     streams.changes_to(counts, f"{path}/out", f"{path}/checkpoint").awaitTermination()
     keys = ["punch_day", "punch_type", "push_status"]

@@ -190,7 +190,7 @@ _RESULT_SQL = """(select sync_type as rt, count(*) as nb, sum(size)::bigint as t
 def dashboard_update(spark, folder):
     v = views(spark, folder)
     seeded = state.board_seed(_board(v), DATASETS, moment(NOW))
-    results = dashboard.run_results(v("si_batch")).drop("partial")
+    results = dashboard.run_results(v("si_batch"))
     return state.board_result(seeded, results, moment(NOW)).select(
         "sync_type",
         "is_pushed",

@@ -58,7 +58,7 @@ RECORD_STATUS = (
 BOARD = (
     "sync_type string, display_name string, is_pushed boolean, last_status string, "
     "last_pushed_at timestamp_ntz, total_records bigint, success_count bigint, "
-    "failed_count bigint, error_message string, updated_at timestamp_ntz"
+    "failed_count bigint, error_message string, updated_at timestamp_ntz, partial boolean"
 )
 PUNCH_LOG = (
     "ref_id string, employee_id string, punch_type string, punch_time timestamp_ntz, "

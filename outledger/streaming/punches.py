@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from outledger.functions.dates import local_day
+from outledger.operators.filters import missing_reason, split_valid
 from outledger.plans.attendance import DAY_KEY, new_punches
+from outledger.session import pin
 from outledger.sources.schemas import PUNCH_LOG
 
 PUNCH = "ref_id bigint, employee_id string, punch_type string, punch_time timestamp_ntz"
@@ -27,12 +29,17 @@ def punch_files(
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """The punch log, empty before its first batch."""
+    return read_table(spark, path, LOG)
+
+
+def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A Parquet folder, empty before it is first written."""
     try:
-        return spark.read.schema(LOG).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        return spark.createDataFrame([], LOG)
+        return spark.createDataFrame([], schema)
 
 
 def ingest_batch(
@@ -40,17 +47,16 @@ def ingest_batch(
 ) -> None:
     """Append the accepted punches of one batch to the log.
 
-    Only the log days the batch touches are read. A batch that is replayed, wholly
-    or after a partial write, finds its rows in the log and adds just what is missing.
+    Only the log days that the batch holds punches of are read: the distinct days join the log on
+    its partition column. A batch that is replayed, wholly or after a partial write, finds its rows
+    in the log and adds just what is missing.
     """
     spark = punches.sparkSession
     day = local_day(F.col("punch_time"), timezone)
-    span = punches.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
-    if span["first"] is None:
+    days = pin(punches.select(day.alias("punch_day")).where("punch_day is not null").distinct())
+    if days.isEmpty():
         return
-    log = read_log(spark, log_path).filter(
-        F.col("punch_day").between(F.lit(span["first"]), F.lit(span["last"]))
-    )
+    log = read_log(spark, log_path).join(days, "punch_day", "left_semi")
     fresh = new_punches(punches, log, now, timezone)
     (
         fresh.withColumn("punch_day", day)
@@ -61,6 +67,12 @@ def ingest_batch(
     )
 
 
+def side_paths(log_path: str) -> tuple[str, str]:
+    """Folders beside the log: rejected punches with their reason, and counts per batch."""
+    base = log_path.rstrip("/")
+    return f"{base}_rejected", f"{base}_counts"
+
+
 def ingest_stream(
     punches: DataFrame,
     log_path: str,
@@ -68,15 +80,28 @@ def ingest_stream(
     now: Column,
     timezone: str | None = None,
 ) -> StreamingQuery:
-    """Process everything that has arrived, then stop; the checkpoint remembers what was read."""
+    """Process everything that has arrived, then stop; the checkpoint remembers what was read.
 
-    def run(batch: DataFrame, _: int) -> None:
-        # The batch is read three times; the persisted copy is only a cache of it.
-        batch.persist()
-        try:
-            ingest_batch(batch, log_path, now, timezone)
-        finally:
-            batch.unpersist()
+    Every batch also writes its rejected punches with their reason and one row of counts (arrived,
+    rejected, complete, log rows after it) into folders of its own beside the log, which a replay
+    replaces.
+    """
+    rejected_path, counts_path = side_paths(log_path)
+
+    def run(batch: DataFrame, number: int) -> None:
+        arrived = pin(batch)
+        good, rejected = split_valid(arrived, ["employee_id", "punch_time"])
+        rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch={number}")
+        ingest_batch(good, log_path, now, timezone)
+        counts = arrived.agg(
+            F.count("*").alias("arrived"),
+            F.count_if(missing_reason(["employee_id", "punch_time"]).isNotNull()).alias("rejected"),
+        )
+        counts = counts.withColumn("complete", F.col("arrived") - F.col("rejected"))
+        stored = read_log(arrived.sparkSession, log_path).agg(F.count("*")).scalar()
+        counts.withColumn("log_rows", stored).write.mode("overwrite").parquet(
+            f"{counts_path}/batch={number}"
+        )
 
     return (
         punches.writeStream.foreachBatch(run)
@@ -89,7 +114,8 @@ def ingest_stream(
 def dedupe_stream(punches: DataFrame, lateness: str = "2 days") -> DataFrame:
     """First arrival per person, kind and day, with state bounded by the watermark.
 
-    This keeps arrival order; ``ingest_stream`` keeps the earliest or latest punch.
+    Rows later than ``lateness`` may go without a trace here; ``dedupe_to`` keeps them aside. This
+    keeps arrival order; ``ingest_stream`` keeps the earliest or latest punch.
     """
     timed = punches.filter("employee_id is not null and punch_time is not null").select(
         "*",
@@ -103,19 +129,48 @@ def dedupe_stream(punches: DataFrame, lateness: str = "2 days") -> DataFrame:
     )
 
 
-def daily_counts(log: DataFrame, lateness: str = "2 days") -> DataFrame:
-    """Running number of punches per kind, status and day."""
-    timed = log.withColumn("event_time", F.col("punch_time").cast("timestamp"))
+def dedupe_to(
+    punches: DataFrame, path: str, late_path: str, checkpoint: str
+) -> StreamingQuery:
+    """First arrival per person, kind and day, exactly, however late a punch comes.
+
+    The table at ``path`` is the state: a batch keeps the first of its own rows by ``ref_id`` and
+    adds those whose person, kind and day the table does not know, reading only the days it
+    touches. Punches of days before the latest one already stored are also written to ``late_path``,
+    one folder per batch, so that they can be counted.
+    """
+
+    def run(batch: DataFrame, number: int) -> None:
+        timed = batch.filter("employee_id is not null and punch_time is not null")
+        rows = pin(timed.withColumn("punch_day", F.to_date("punch_time")))
+        spark = rows.sparkSession
+        known = read_table(spark, path, rows.schema)
+        late = rows.filter(F.col("punch_day") < known.agg(F.max("punch_day")).scalar())
+        late.write.mode("overwrite").parquet(f"{late_path}/batch={number}")
+        days = pin(rows.select("punch_day").distinct())
+        seen = known.join(days, "punch_day", "left_semi").select(*DAY_KEY)
+        rest = [c for c in rows.columns if c not in DAY_KEY]
+        first = rows.groupBy(*DAY_KEY).agg(F.min_by(F.struct(*rest), "ref_id").alias("_row"))
+        fresh = pin(first.join(seen, DAY_KEY, "left_anti").select(*DAY_KEY, "_row.*").select(*rows.columns))
+        fresh.write.mode("append").partitionBy("punch_day").parquet(path)
+
     return (
-        timed.withWatermark("event_time", lateness)
-        .groupBy(F.window("event_time", "1 day").alias("w"), "punch_type", "push_status")
-        .agg(F.count("*").alias("n"))
-        .select(
-            F.to_date("w.start").alias("punch_day"), "punch_type", "push_status", "n"
-        )
+        punches.writeStream.foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
 
 
+def daily_counts(log: DataFrame) -> DataFrame:
+    """Running number of punches per kind, status and day, however late they come.
+
+    State is days x kinds x statuses, small by nature, so no watermark drops a row.
+    """
+    day = F.to_date("punch_time").alias("punch_day")
+    return log.groupBy(day, "punch_type", "push_status").agg(F.count("*").alias("n"))
+
+
 def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Write an append-mode stream to Parquet until what has arrived is done."""
     return (

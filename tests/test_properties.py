@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -12,8 +13,13 @@ from outledger.functions.dates import moment
 from outledger.operators import delivery, joins, ranking, state
 from outledger.operators.batching import assign_batches
 from outledger.operators.nesting import ChildList, distinct_children, nest_lists, places
-from outledger.operators.paging import page_of
+from outledger.operators.filters import FilterSpec, exclude_values, include_values
+from outledger.operators.paging import far_page, page_of
 from outledger.operators.skew import HotKeys, salted_join
+from outledger.operators.state import Snapshots
+from outledger.plans.push import PushRun
+from outledger.fixed_values import NOT_FOUND_TEXT
+from outledger.sources.schemas import RECORD_STATUS
 from outledger.plans.items import item_documents
 from outledger.rules import Rules
 from outledger.sources.schemas import RECORD_STATUS
@@ -253,3 +259,62 @@ def test_changed_records_sees_nulls(spark):
     new = spark.createDataFrame([(1, None), (2, None), (3, "y"), (4, None)], "id int, v string")
     changed = state.changed_records(new, old, "id")
     assert sorted(r.id for r in changed.collect()) == [2, 3, 4]
+
+
+def test_many_hot_keys_are_all_spread(spark):
+    keys = spark.range(1500).select(F.col("id").alias("k"))
+    fact = keys.crossJoin(spark.range(20).select(F.col("id").alias("v")))
+    other = keys.withColumn("x", F.col("k") * 2)
+    hot = HotKeys(fact, ["k"], floor=10, per_part=5)
+    assert hot.rows.count() == 1500
+    joined = salted_join(fact, other, ["k"], floor=10, per_part=5)
+    assert joined.count() == 30_000 and joined.filter("x <> 2 * k").count() == 0
+
+
+def test_pages_agree_at_every_depth(spark):
+    rows = spark.range(997).select(F.col("id").alias("k")).repartition(7)
+    for page in (1, 2, 7, 50, 100, 101):
+        near = [r.k for r in page_of(rows, ["k"], page, 10).collect()]
+        assert near == [r.k for r in far_page(rows, ["k"], page, 10).collect()]
+
+
+def test_listed_values_without_trailing_blanks(spark):
+    rows = spark.createDataFrame([("A ",), ("B",), (None,)], "c string")
+    assert [r.c for r in exclude_values(rows, "c", ["A"], trimmed=True).collect()] == ["B"]
+    assert [r.c for r in include_values(rows, "c", ["A  "], trimmed=True).collect()] == ["A "]
+    assert exclude_values(rows, "c", ["A"]).count() == 2
+
+
+def test_push_run_aborts_and_judges_what_was_sent(spark, tmp_path):
+    now = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz")
+    store = Snapshots(spark, str(tmp_path / "state"), RECORD_STATUS)
+    source = {"rows": [("a",), ("b",)]}
+
+    def extract(keys):
+        rows = spark.createDataFrame(source["rows"], "code string")
+        return rows.join(keys, rows.code == keys.record_key, "left_semi")
+
+    def states():
+        return {r.record_key: (r.push_status, r.error_message) for r in store.read().collect()}
+
+    def make(document):
+        return PushRun("stock", store, extract, document, "code", "code", 1)
+
+    keys = spark.createDataFrame([("a",), ("b",), ("c",)], "record_key string")
+    run = make(lambda df: df)
+    run.send(keys, str(tmp_path / "one"), now)
+    source["rows"] = [("c",)]
+    replies = spark.createDataFrame([(1, True, None), (2, False, "bad")], "batch_no long, ok boolean, error_message string")
+    make(None).finish(str(tmp_path / "one"), replies, now)  # as a new process would
+    assert states() == {"a": ("Pushed", None), "b": ("Failed", "bad"), "c": ("Failed", NOT_FOUND_TEXT)}
+
+    def broken(df):
+        raise ValueError("no mapping")
+
+    with pytest.raises(ValueError, match="no mapping"):
+        make(broken).send(keys, str(tmp_path / "two"), now)
+    assert set(states().values()) == {("Failed", "no mapping")}
+    records = spark.createDataFrame([("c", "x"), ("d", "y")], "code string, grp string")
+    spec = FilterSpec(group="x", columns={"group": "grp"})
+    make(lambda df: df).push_all(records, spec, "code", str(tmp_path / "three"), now)
+    assert states()["c"] == ("Pushing", None) and "d" not in states()

@@ -110,3 +110,42 @@ def test_daily_counts_follow_new_files(spark, tmp_path):
     keys = ["punch_day", "punch_type", "push_status"]
     now = streams.latest_changes(changes, keys, "n").collect()
     assert {(r.punch_type, r.n) for r in now} == {("I", 30), ("O", 30)}
+
+
+def test_rejected_punches_are_stored_and_counted(spark, tmp_path):
+    rows = make_punches(60)
+    land(tmp_path / "in", "a.json", rows[:30])
+    land(tmp_path / "in", "b.json", rows[30:])
+    log = run(spark, tmp_path)
+    rejected_path, counts_path = streams.side_paths(str(tmp_path / "log"))
+    rejected = spark.read.parquet(rejected_path)
+    bad = [r for r in rows if not r["employee_id"]]
+    assert sorted(r.ref_id for r in rejected.collect()) == sorted(r["ref_id"] for r in bad)
+    assert {r.reason for r in rejected.select("reason").collect()} == {"employee_id"}
+    counts = spark.read.parquet(counts_path).orderBy("batch").collect()
+    assert sum(r.arrived for r in counts) == 60 and sum(r.rejected for r in counts) == len(bad)
+    assert counts[-1].log_rows == log.count()
+
+
+def test_counts_and_dedupe_take_late_files(spark, tmp_path):
+    day = lambda d, i, who="E1": {
+        "ref_id": i, "employee_id": who, "punch_type": "I", "punch_time": f"2026-01-{d:02d}T08:00:00"
+    }
+    arrivals = [[day(20, 1), day(21, 2)], [day(2, 3), day(20, 4)], [day(2, 5), day(2, 6, "E2")]]
+    for i, rows in enumerate(arrivals):
+        land(tmp_path / "in", f"{i}.json", rows)
+        stream = streams.punch_files(spark, str(tmp_path / "in"), files_per_batch=1)
+        query = streams.dedupe_to(
+            stream, str(tmp_path / "out"), str(tmp_path / "late"), str(tmp_path / "cp1")
+        )
+        query.awaitTermination()
+        stream = streams.punch_files(spark, str(tmp_path / "in"), files_per_batch=1)
+        counts = streams.daily_counts(stream.withColumn("push_status", F.lit("Pending")))
+        streams.changes_to(counts, str(tmp_path / "n"), str(tmp_path / "cp2")).awaitTermination()
+    kept = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(r.ref_id for r in kept.collect()) == [1, 2, 3, 6]
+    late = spark.read.parquet(str(tmp_path / "late"))
+    assert sorted(r.ref_id for r in late.collect()) == [3, 4, 5, 6]
+    changes = spark.read.parquet(str(tmp_path / "n"))
+    latest = streams.latest_changes(changes, ["punch_day", "punch_type", "push_status"], "n")
+    assert sorted((r.punch_day.day, r.n) for r in latest.collect()) == [(2, 3), (20, 2), (21, 1)]
