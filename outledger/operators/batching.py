@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outledger.session import pin
@@ -17,7 +17,7 @@ def with_position(df: DataFrame, order: Sequence[str]) -> DataFrame:
 
     Rows are range-partitioned and sorted by the whole order, so equal leading
     values still spread. The sorted rows are written once to shared storage;
-    the few counts per partition are joined back, nothing comes to the driver.
+    one count per partition comes to the driver and goes back as a small table.
     """
     ranged = (
         df.repartitionByRange(*order)
@@ -25,16 +25,16 @@ def with_position(df: DataFrame, order: Sequence[str]) -> DataFrame:
         .withColumn("_slot", F.monotonically_increasing_id())
     )
     pinned = pin(ranged).withColumn("_part", F.shiftright("_slot", _SLOT_BITS))
-    counts = pin(pinned.groupBy("_part").agg(F.count("*").alias("n")))
-    # One row per partition: a window over so few rows needs no partitioning of its own.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
-        F.col("_part"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start")
-    )
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    rows = pinned.groupBy("_part").agg(F.count("*").alias("n")).orderBy("_part").collect()
+    before, starts = 0, []
+    for row in rows:
+        starts.append((row["_part"], before))
+        before += row["n"]
+    offsets = df.sparkSession.createDataFrame(starts, "_part bigint, _start bigint")
+    total = F.lit(before).cast("bigint")
     row_in_part = F.col("_slot").bitwiseAND((1 << _SLOT_BITS) - 1)
     return (
-        pinned.join(starts, "_part")
+        pinned.join(offsets, "_part")
         .withColumn("pos", F.col("_start") + row_in_part)
         .withColumn("total", total)
         .drop("_slot", "_part", "_start")
