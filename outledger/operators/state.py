@@ -18,12 +18,13 @@ def upsert(
     key: Sequence[str],
     keep_old_if_null: Sequence[str] = (),
     never_update: Sequence[str] = (),
+    insert: bool = True,
 ) -> DataFrame:
     """The next state: updated, inserted and untouched rows.
 
     ``updates`` has at most one row per key. A column it lacks keeps its value;
     ``keep_old_if_null`` columns keep it when the new value is null;
-    ``never_update`` columns are set on insert only.
+    ``never_update`` columns are set on insert only. Without ``insert``, new keys are ignored.
     """
     values = [c for c in updates.columns if c not in key]
     changes = updates.select(
@@ -32,7 +33,7 @@ def upsert(
         F.lit(True).alias("_hit"),
     )
     match = [state[k] == changes[f"_k_{k}"] for k in key]
-    joined = state.withColumn("_old", F.lit(True)).join(changes, match, "full")
+    joined = state.withColumn("_old", F.lit(True)).join(changes, match, "full" if insert else "left")
 
     def merged(c: str) -> Column:
         if c in key:
@@ -51,8 +52,7 @@ def upsert(
 
 def update_existing(state: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """As ``upsert``, but keys the state does not know are ignored."""
-    known = updates.join(state.select(key), key, "left_semi")
-    return upsert(state, known, [key])
+    return upsert(state, updates, [key], insert=False)
 
 
 def latest_per_record(updates: DataFrame, key: Sequence[str], order: str) -> DataFrame:
@@ -87,13 +87,14 @@ def bulk_upsert(state: DataFrame, updates: DataFrame, order: str) -> DataFrame:
     The push time is the latest one any of the results carries.
     """
     key = ["master_type", "record_key"]
-    last = latest_per_record(updates.drop("last_pushed_at"), key, order)
-    pushed = updates.groupBy(*key).agg(
-        F.max_by("last_pushed_at", F.when(F.col("last_pushed_at").isNotNull(), F.col(order))).alias(
-            "last_pushed_at"
-        )
+    rest = [c for c in updates.columns if c not in key and c not in (order, "last_pushed_at")]
+    carried = F.when(F.col("last_pushed_at").isNotNull(), F.col(order))
+    last = updates.groupBy(*key).agg(
+        F.max_by(F.struct(*rest), F.col(order)).alias("_last"),
+        F.max_by("last_pushed_at", carried).alias("last_pushed_at"),
     )
-    return upsert_status(state, last.join(pushed, key, "left"))
+    fields = [F.col(f"_last.{c}").alias(c) for c in rest]
+    return upsert_status(state, last.select(*key, *fields, "last_pushed_at"))
 
 
 def results_to_updates(results: DataFrame, master: str, now: Column) -> DataFrame:
@@ -223,36 +224,52 @@ def changed_records(current: DataFrame, previous: DataFrame, key: str) -> DataFr
 class Snapshots:
     """Versioned Parquet snapshots of one state table, for a single writer.
 
-    A version is a new folder; appending its number to a small commit table makes
-    it current. Files in use are never overwritten, and a failed write leaves the
+    The table is kept in parts (one per dataset, or a single one named ''). A write makes a new
+    folder for one part; appending its name to a small commit table makes it current. The folders of
+    other parts stay as they are, files in use are never overwritten, and a failed write leaves the
     previous version current.
     """
 
+    COMMITS = "version bigint, part string, folder string"
+
     def __init__(self, spark: SparkSession, path: str, schema: str):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
-    def version(self) -> int:
-        """Number of the current version, 0 before the first."""
+    def _commits(self) -> DataFrame:
         try:
-            commits = self.spark.read.schema("version bigint").parquet(f"{self.path}/commits")
-            return commits.agg(F.max("version")).first()[0] or 0
+            return self.spark.read.schema(self.COMMITS).parquet(f"{self.path}/commits")
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-            return 0
+            return self.spark.createDataFrame([], self.COMMITS)
 
-    def read(self) -> DataFrame:
-        """The current state, empty before the first version."""
-        current = self.version()
-        if current == 0:
+    def version(self) -> int:
+        """Number of the current version, 0 before the first."""
+        return self._commits().agg(F.max("version")).first()[0] or 0
+
+    def folders(self) -> dict[str, str]:
+        """The current folder of every part."""
+        latest = self._commits().groupBy("part").agg(F.max_by("folder", "version").alias("folder"))
+        return {row["part"]: row["folder"] for row in latest.collect()}
+
+    def read(self, part: str | None = None) -> DataFrame:
+        """The current state of one part or of all, empty before the first version."""
+        folders = self.folders()
+        wanted = [f for p, f in sorted(folders.items()) if part is None or p == part]
+        if not wanted:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v{current:08d}")
+        paths = [f"{self.path}/{folder}" for folder in wanted]
+        return self.spark.read.schema(self.schema).parquet(*paths)
 
-    def write(self, state: DataFrame) -> int:
-        """Make ``state`` the next version."""
+    def write(self, state: DataFrame, part: str = "") -> int:
+        """Make ``state`` the next version of one part."""
         version = self.version() + 1
-        state.write.mode("overwrite").parquet(f"{self.path}/v{version:08d}")
-        self.spark.range(1).select(F.lit(version).cast("bigint").alias("version")).write.mode(
-            "append"
-        ).parquet(f"{self.path}/commits")
+        folder = f"v{version:08d}"
+        state.write.mode("overwrite").parquet(f"{self.path}/{folder}")
+        commit = self.spark.range(1).select(
+            F.lit(version).cast("bigint").alias("version"),
+            F.lit(part).alias("part"),
+            F.lit(folder).alias("folder"),
+        )
+        commit.write.mode("append").parquet(f"{self.path}/commits")
         return version

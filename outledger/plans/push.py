@@ -64,7 +64,8 @@ class PushRun:
         facts = facts_of(outbox)
         keys.select("record_key").distinct().write.parquet(f"{facts}/keys")
         keys = self._fact(outbox, "keys")
-        self.store.write(mark_in_flight(self.store.read(), keys, self.master, now))
+        state = mark_in_flight(self.store.read(self.master), keys, self.master, now)
+        self.store.write(state, self.master)
         try:
             rows = pin(self.extract(keys))
             fetched = rows.select(_c(self.row_key).cast("string").alias("record_key")).distinct()
@@ -91,8 +92,8 @@ class PushRun:
         )
         keys, fetched = self._fact(outbox, "keys"), self._fact(outbox, "fetched")
         results = reconcile_missing(keys, fetched, mapped, failed)
-        state = upsert_status(self.store.read(), results_to_updates(results, self.master, now))
-        self.store.write(state)
+        updates = results_to_updates(results, self.master, now)
+        self.store.write(upsert_status(self.store.read(self.master), updates), self.master)
         return results
 
     def abort(self, outbox: str, message: str, now: Column) -> None:
@@ -100,8 +101,8 @@ class PushRun:
         results = self._fact(outbox, "keys").select(
             "record_key", F.lit(False).alias("success"), F.lit(message).alias("error_message")
         )
-        state = upsert_status(self.store.read(), results_to_updates(results, self.master, now))
-        self.store.write(state)
+        updates = results_to_updates(results, self.master, now)
+        self.store.write(upsert_status(self.store.read(self.master), updates), self.master)
 
     def push_all(
         self, records: DataFrame, spec: FilterSpec, key: str, outbox: str, now: Column

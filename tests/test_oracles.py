@@ -9,6 +9,9 @@ import __spark_entry__ as entry
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 
+# Queries without a row in the smallest tables.
+EMPTY_HERE = {"exists_semi", "worklist_stock"}
+
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
@@ -27,7 +30,7 @@ def test_every_query_has_check_sql():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, con, name):
     found = difference(QUERIES[name](spark, FOLDER), con, ORACLES[name])
-    assert found in ("", "no rows")
+    assert found == "" or (found == "no rows" and name in EMPTY_HERE)
 
 
 def test_entry_has_rows(spark):

@@ -318,3 +318,15 @@ def test_push_run_aborts_and_judges_what_was_sent(spark, tmp_path):
     spec = FilterSpec(group="x", columns={"group": "grp"})
     make(lambda df: df).push_all(records, spec, "code", str(tmp_path / "three"), now)
     assert states()["c"] == ("Pushing", None) and "d" not in states()
+
+
+def test_snapshots_of_other_parts_stay_untouched(spark, tmp_path):
+    store = Snapshots(spark, str(tmp_path / "s"), "k string, v int")
+    store.write(spark.createDataFrame([("a", 1)], store.schema), "x")
+    store.write(spark.createDataFrame([("b", 2)], store.schema), "y")
+    before = store.folders()
+    store.write(spark.createDataFrame([("b", 3)], store.schema), "y")
+    after = store.folders()
+    assert after["x"] == before["x"] and after["y"] != before["y"] and store.version() == 3
+    assert sorted(map(tuple, store.read().collect())) == [("a", 1), ("b", 3)]
+    assert [tuple(r) for r in store.read("x").collect()] == [("a", 1)]
