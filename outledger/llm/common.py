@@ -53,6 +53,13 @@ def filtered(
     return keyed.drop("text").join(other, same, how)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches small enough to be turned into Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def map_rows(
     df: DataFrame, fn: Callable[[dict[str, list]], dict[str, Iterable]], schema: str
 ) -> DataFrame:

@@ -32,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outledger.llm.common import encoded, texts
+from outledger.llm.common import encoded, slices, texts
 from outledger.llm.ngram_join import mix
 from outledger.session import pin
 
 LENGTH = 200
 ANCHOR = 40
 GRID = 16
-PIECE = 1 << 20
+PIECE = 1 << 19
 
 U64 = np.uint64
 BYTES = np.random.default_rng(30).integers(1, 2**63, 256, dtype=U64) * U64(2) + U64(1)
@@ -175,7 +175,7 @@ def with_stretches(left: DataFrame, docs: DataFrame) -> DataFrame:
     joined = join_documents(docs, lists, "inner").select("doc_id", "text_key", "text", "blocks")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for doc, key, text, blocks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data = encoded(text)
@@ -210,7 +210,7 @@ def finer_blocks(stretches: DataFrame, grid: int, only: bool = False) -> DataFra
     """
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             if not batch.num_rows:
                 continue
             rows = batch.to_pydict()
@@ -310,7 +310,7 @@ def without_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     """``RESULT`` and ``kept`` (the remaining bytes) per row of ``df``."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for doc, text, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data, spans = encoded(text), merged(places)
