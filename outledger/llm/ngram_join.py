@@ -23,7 +23,8 @@ A signature is a parity bitmap: every shingle flips the bit its hash names. Bits
 the symmetric difference from below, hence the overlap from above: overlap <= (|x| + |y| - bits)/2.
 Pairs that pass are verified by intersecting the sorted shingle arrays.
 
-Bitmaps grow with the set (as many bits as shingles, a power of two) and fold to a common size.
+Bitmaps grow with the set (at least ``BITS`` bits a shingle, a power of two) and fold to a common
+size. With so many bits few flips cancel, so sets just below the limit are told from linked ones.
 
 Nulls and texts without words have an empty set, link with nothing and are their own component (a
 null id gives a null component). Repeated rows are equal sets. An empty table gives an empty result.
@@ -50,6 +51,8 @@ HOT = 262_144
 HOT_IN_CHUNK = 3
 CHUNK_BYTES = 4 << 20
 NOTED_HASHES = 4_000_000
+#: Bits of a signature for each shingle of its set, at least.
+BITS = 4
 
 U64 = np.uint64
 BYTE_VALUES = np.random.default_rng(20).integers(1, 2**63, 256, dtype=U64) * U64(2) + U64(1)
@@ -118,8 +121,8 @@ def set_name(hashes: np.ndarray) -> int:
 
 
 def signature(hashes: np.ndarray) -> bytes:
-    """Parity bitmap of as many bits as the set has shingles, rounded up to a power of two."""
-    bits = max(64, 1 << (len(hashes) - 1).bit_length())
+    """Parity bitmap of ``BITS`` bits a shingle, rounded up to a power of two."""
+    bits = max(64, 1 << (BITS * len(hashes) - 1).bit_length())
     counts = np.bincount((hashes & U64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
