@@ -6,8 +6,10 @@ columns of its contract from the operator's output.
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +31,8 @@ from outledger.llm import (
 from outledger.llm.common import table
 from outledger.session import run_dir
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -37,8 +41,16 @@ def query(name: str, sql: str | None = None):
     """Register a text query; without SQL its tests compare it with brute force."""
 
     def register(fn):
-        fn.text_operator = True
-        QUERIES[name] = fn
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            # Tasks import this package wherever the session was started from.
+            paths = spark.sparkContext.environment
+            if ROOT not in paths.get("PYTHONPATH", "").split(os.pathsep):
+                known = [paths["PYTHONPATH"]] if paths.get("PYTHONPATH") else []
+                paths["PYTHONPATH"] = os.pathsep.join([ROOT, *known])
+            return fn(spark, folder)
+
+        run.text_operator = True
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql.strip()
         return fn
