@@ -12,8 +12,9 @@ Words are runs of letters and digits after lower-casing; shingles have five word
 fewer words is one shingle of its own width. All steps are DataFrame functions.
 
 Nulls: a null or empty text has no shingles and neither matches nor is matched. Repeated document
-rows give repeated result rows; repeated items are distinct items if their ids differ, and rows of
-equal id and text count once. Empty tables give an empty result.
+rows give repeated result rows. Every distinct pair of item id and text is an item of its own, with
+its own sketch, count and result rows: several texts of one id are searched one by one, a null id is
+an id like others, and rows of equal id and text count once. Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -62,21 +63,26 @@ def shingle_texts(w: Column, width: int) -> Column:
     return F.array_distinct(F.transform(shingles(w, width), joined))
 
 
+def item_key() -> Column:
+    """Hash of ``item_id`` and ``text``: the name of one item, also where ids repeat or are null."""
+    return F.xxhash64("item_id", F.col("item_id").isNull(), "text")
+
+
 def sketches(items: DataFrame, percent: int) -> DataFrame:
-    """``item_id, width, n, hits, h``: the bottom-k sketch rows of ``item_id, width, w``."""
+    """``item_key, width, n, hits, h``: the bottom-k sketch rows of ``item_key, width, w``."""
     n, u = F.col("n"), F.pow(F.lit(2.0), F.ceil(F.log2(F.col("n").cast("double")))).cast("long")
     k = F.least(n, u - needed(u, percent) + 1)
     parts = [
-        shingle_hashes(items.where(F.col("width") == width), width, ["item_id", "width"])
+        shingle_hashes(items.where(F.col("width") == width), width, ["item_key", "width"])
         for width in range(1, SHINGLE_WORDS + 1)
     ]
     hashes = parts[0]
     for part in parts[1:]:
         hashes = hashes.unionByName(part)
-    lists = hashes.groupBy("item_id", "width").agg(F.array_sort(F.collect_set("h")).alias("hs"))
+    lists = hashes.groupBy("item_key", "width").agg(F.array_sort(F.collect_set("h")).alias("hs"))
     sized = lists.withColumn("n", F.size("hs").cast("long"))
     return sized.select(
-        "item_id", "width", "n",
+        "item_key", "width", "n",
         (k - (n - needed(n, percent))).alias("hits"),
         F.explode(F.slice("hs", F.lit(1), k.cast("int"))).alias("h"),
     )
@@ -99,7 +105,10 @@ def contaminated(
     items = texts(benchmark, item_id, item_text).withColumnRenamed("doc_id", "item_id")
     items = items.dropDuplicates().withColumn("w", words(F.col("text"))).where(F.size("w") > 0)
     items = pin(
-        items.select("item_id", "w", F.least(F.size("w"), F.lit(SHINGLE_WORDS)).alias("width"))
+        items.select(
+            item_key().alias("item_key"), "item_id", "w",
+            F.least(F.size("w"), F.lit(SHINGLE_WORDS)).alias("width"),
+        )
     )
     sketch = pin(sketches(items, percent))
     small = sketch.count() <= BROADCAST_ROWS
@@ -113,31 +122,31 @@ def contaminated(
         rows = sketch.where(F.col("width") == width).drop("width")
         stream = shingle_hashes(worded, width, ["doc_id", "text_key"])
         hit = stream.join(F.broadcast(rows) if small else rows, "h")
-        hit = hit.groupBy("doc_id", "text_key", "item_id", "n", "hits").agg(
+        hit = hit.groupBy("doc_id", "text_key", "item_key", "n", "hits").agg(
             F.countDistinct("h").alias("got")
         )
-        hit = hit.where(F.col("got") >= F.col("hits")).select("doc_id", "text_key", "item_id")
+        hit = hit.where(F.col("got") >= F.col("hits")).select("doc_id", "text_key", "item_key")
         found = hit if found is None else found.unionByName(hit)
     if found is None:
-        found = docs.where("false").selectExpr("doc_id", "text_key", "0L item_id")
+        found = docs.where("false").selectExpr("doc_id", "text_key", "0L item_key")
 
     candidates = pin(found.distinct().withColumnRenamed("doc_id", "of_doc"))
     paired = docs.join(
         candidates.withColumnRenamed("text_key", "of_key"),
         F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_key") == F.col("of_key")),
-    ).select("doc_id", "text_key", "item_id", words(F.col("text")).alias("w"))
+    ).select("doc_id", "text_key", "item_key", words(F.col("text")).alias("w"))
     counted = None
     for width in sorted(widths):
         own = shingle_texts(F.col("w"), width)
-        rows = items.where(F.col("width") == width).select("item_id", own.alias("wanted"))
-        part = paired.join(rows, "item_id").select(
+        rows = items.where(F.col("width") == width).select("item_key", "item_id", own.alias("wanted"))
+        part = paired.join(rows, "item_key").select(
             "doc_id", "text_key", "item_id",
             F.size("wanted").cast("long").alias("n_shingles"),
             F.size(F.array_intersect(own, "wanted")).cast("long").alias("n_found"),
         )
         counted = part if counted is None else counted.unionByName(part)
     if counted is None:
-        none = ("doc_id", "text_key", "item_id", "0L n_shingles", "0L n_found")
+        none = ("doc_id", "text_key", "0L item_id", "0L n_shingles", "0L n_found")
         counted = paired.selectExpr(*none)
     return counted.where(F.col("n_found") * 100 >= F.col("n_shingles") * percent).withColumn(
         "containment", F.col("n_found") / F.col("n_shingles")

@@ -67,6 +67,18 @@ def test_containment_brute_force(spark):
     assert decontamination.contaminated(left.limit(0), right).count() == 0
 
 
+def test_texts_of_one_id_and_null_ids(spark):
+    # Each text is an item of its own: as a union, the ten would ask for 15 of 65 sketch hashes.
+    texts = [" ".join(f"t{i}w{j}" for j in range(24)) for i in range(20)]
+    items = [(7, t) for t in texts[:10]] + [(None, t) for t in texts[10:]] + [(7, texts[0]), (8, "")]
+    docs = [(i, f"before {t} after") for i, t in enumerate(texts)] + [(90, "none of them")]
+    left = spark.createDataFrame(docs, "doc_id long, text string")
+    right = spark.createDataFrame(items, "item_id long, text string")
+    got = [(r.doc_id, r.item_id, r.n_shingles, r.n_found) for r in decontamination.contaminated(left, right).collect()]
+    assert len(got) == 20 and set(got) == contained(docs, items)
+    assert [r.doc_id for r in decontamination.clean_documents(left, right).collect()] == [90]
+
+
 def test_candidates_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(decontamination, "BROADCAST_ROWS", 0)
     item = " ".join(f"a{i}" for i in range(30))
