@@ -1,18 +1,22 @@
 """Personal data by candidate gradient boosting.
 
 High-recall generators propose overlapping spans: the strict patterns before validation and loose
-forms of the same kinds (numbers without '+', cards with other separators, addresses spelled out).
-Each candidate gets format features (digits, separators, checksum, parts) and context features
-(cue words before it, borders). Boosted depth-two trees, one model per kind, are fitted to the
+forms of the same kinds (7 to 15 digits in any grouping, cards with any separators, IPv6 written out
+or compressed, addresses spelled out). Each candidate gets format features (digits, separators,
+checksum, parts) and context features (cue words right before it, borders). Boosted depth-two trees, one model per kind, are fitted to the
 counts of feature vectors over all candidates of the corpus: half of the documents fit the trees,
 the other half calibrates them (Platt) and sets each kind's threshold, the lowest probability at
 which the selection is right in at least ``precision`` of the calibration candidates. Validated
 strict matches are always redacted; other candidates only above their threshold.
 
-Labels of the fit: a validated strict match is 1; a strict match that fails its check is 0; a loose
-candidate is 1 if its format holds and a cue word of its kind stands before it, else 0.
+Labels of the fit: a validated strict match is 1; a strict match that fails its check is 0. A loose
+candidate is 1 if its format holds (checksum, IPv6 groups, no date) and it either has a form that no
+other number has (card groups, three groups of IPv6) or a cue word of its kind within ``NEAR``
+characters. The cue feature sees only the words right before the candidate, so for phones and
+addresses the label is no function of the features. A loose candidate that overlaps a validated
+strict match is kept only if it reaches beyond it and holds all of it (06.12.34.56.78 holds an IP).
 
-The driver sees only counts by feature vector (at most 4 x 2 x 2^13 rows); everything on rows is
+The driver sees only counts by feature vector (at most 4 x 2 x 2^17 rows); everything on rows is
 DataFrame functions. Offsets are code points, ends exclusive. Null texts are empty and have no
 spans; equal rows get equal spans; an empty table fits no tree and gives an empty result.
 """
@@ -38,34 +42,67 @@ STRICT = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+BETWEEN = r"[\x20\u00a0./_\u2011\u2013-]{0,3}"
+GAP = r"[\x20\u00a0./_\u2011\u2013-]{1,3}"
+CARD_GROUPS = rf"[0-9]{{4}}(?:{GAP}[0-9]{{4}}{GAP}[0-9]{{4}}{GAP}[0-9]{{1,7}}|{GAP}[0-9]{{6}}{GAP}[0-9]{{4,5}})"
+# Several patterns of a kind may propose overlapping spans; equal spans count once.
 LOOSE = {
     "email": (
-        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?(?:\(at\)|\[at\]|\x20at\x20)\x20?"
-        r"[A-Za-z0-9-]{1,63}\x20?(?:\(dot\)|\[dot\]|\x20dot\x20|\.)\x20?[A-Za-z]{2,24}"
+        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?(?i:\(at\)|\[at\]|\x20at\x20)\x20?"
+        r"[A-Za-z0-9-]{1,63}\x20?(?i:\(dot\)|\[dot\]|\x20dot\x20|\.)\x20?[A-Za-z]{2,24}",
+        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?(?i:\(at\)|\[at\]|\x20at\x20)\x20?[A-Za-z0-9-]{1,63}"
+        r"(?:\x20?(?i:\(dot\)|\[dot\]|\x20dot\x20|\.)\x20?[A-Za-z0-9-]{2,63}){2,4}",
+    ),
+    "ip": (
+        r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{0,4}:){2,7}(?:[0-9]{1,3}(?:\.[0-9]{1,3}){3}|[0-9A-Fa-f]{0,4})(?![0-9A-Za-z:])",
+    ),
+    "card": (
+        rf"(?<![0-9])[0-9](?:{BETWEEN}[0-9]){{11,18}}(?![0-9])",
+        rf"(?<![0-9]){CARD_GROUPS}(?![0-9])",
+        r"(?<![0-9])[0-9]{12,19}(?![0-9])",
+    ),
+    "phone": (
+        r"(?<![0-9A-Za-z+])\+?\(?[0-9](?:[\x20\u00a0()./\u2011\u2013-]{0,3}[0-9]){6,14}(?![0-9A-Za-z])",
+        r"(?<![0-9A-Za-z+])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z])",
+        r"(?<![0-9A-Za-z+])[0-9]{7,15}(?![0-9A-Za-z])",
+        # From a trunk zero or an area code in brackets on, whatever digits stand before.
+        r"(?<![0-9A-Za-z+])(?:\(0?|0)[0-9](?:[\x20\u00a0()./\u2011\u2013-]{0,3}[0-9]){5,13}(?![0-9A-Za-z])",
     ),
-    "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
-    "card": r"(?<![0-9])[0-9]{4}([./_])[0-9]{4}\1[0-9]{4}\1[0-9]{2,7}(?![0-9])",
-    "phone": r"(?<![0-9A-Za-z+])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z])",
 }
 # A cheap test that must hold before a pattern is tried on a text.
 GUARDS = {
     "email": "@", "ip": r"[0-9]\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){13}", "phone": r"\+[0-9]",
 }
 LOOSE_GUARDS = {
-    "email": r"[\x20(\[]at[\x20)\]]", "ip": r"[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:", "card": r"[0-9]{4}[./_][0-9]{4}[./_]",
-    "phone": r"[0-9]{3}[\x20.-][0-9]{4}",
+    "email": r"(?i)[\x20(\[]at[\x20)\]]", "ip": r":[0-9A-Fa-f]{0,4}:",
+    "card": rf"[0-9](?:{BETWEEN}[0-9]){{11}}", "phone": r"[0-9](?:[\x20\u00a0()./\u2011\u2013-]{0,3}[0-9]){6}",
 }
+# Cue words in English, German, French and Spanish.
 CUES = {
-    "email": r"(?:e-?mail|contact|write to|reach)[^a-z]*(?:is|at|me)?[^a-z]*$",
-    "ip": r"(?:\bip|host|server|login|address)[^a-z]*(?:is|from|at)?[^a-z]*$",
-    "card": r"(?:card|visa|mastercard|amex|credit|iban)[^a-z]*(?:no|number|is)?[^a-z]*$",
-    "phone": r"(?:tel|phone|call|mobile|cell|fax)[^a-z]*(?:no|number|is|me at|at)?[^a-z]*$",
+    "email": r"e-?mail|contact|write to|reach|mail|kontakt|courriel|correo|contacto",
+    "ip": r"\bip|ipv6|host|server|login|address|adresse|serveur|servidor",
+    "card": r"card|visa|mastercard|amex|credit|iban|karte|kartennummer|carte|tarjeta",
+    "phone": (
+        r"\btel|phone|call|mobile|cell|fax|telefon|telefono|tel\u00e9fono|t\u00e9l|t\u00e9l\u00e9phone|handy|mobil"
+        r"|rufnummer|anruf|portable|appelez|m\u00f3vil|llame|llama"
+    ),
 }
+FILLERS = {
+    "email": r"is|at|me|ist|est|es", "ip": r"is|from|at|ist|est|es",
+    "card": r"no|number|is|nr|nummer|num\u00e9ro|n\u00famero|ist|est|es",
+    "phone": r"no|number|is|me at|at|us at|nr|nummer|num\u00e9ro|n\u00famero|ist|est|es|unter|au|al",
+}
+DATE = (
+    r"^(?:(?:19|20)[0-9]{2}([./\x20-])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([./\x20-])[0-9]{1,2}\2(?:19|20)[0-9]{2}"
+    r"|(?:19|20)[0-9]{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12][0-9]|3[01]))(?![0-9])"
+)
 FEATURES = (
-    "strict", "plus", "digits_10_15", "digits_14_19", "checksum", "at", "grouped", "octets",
-    "cue", "left_free", "right_free", "letters", "ends_in_name",
+    "strict", "plus", "digits_10_15", "digits_14_19", "checksum", "at", "grouped", "form",
+    "cue", "left_free", "right_free", "letters", "ends_in_name", "trunk", "date", "pieces", "digits_7",
 )
 CONTEXT = 32
+#: Characters before and after a loose candidate in which a cue word counts for its label.
+NEAR = 64
 
 
 def digits(text: Column) -> Column:
@@ -98,6 +135,28 @@ def valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def ipv6(match: Column) -> Column:
+    """Whether a text of hex groups and colons is an IPv6 address, written out or compressed."""
+    tail = match.contains(".")
+    groups = F.size(F.array_remove(F.split(match, ":"), "")) + F.when(tail, 1).otherwise(0)
+    gaps = F.size(F.split(match, "::")) - 1
+    loose_end = match.rlike("^:[^:]|[^:]:$") | match.contains(":::")
+    octets = F.when(tail, valid("ip", F.regexp_extract(match, "[0-9.]+$", 0))).otherwise(F.lit(True))
+    sized = F.when(gaps == 0, groups == 8).otherwise((gaps == 1) & groups.between(1, 7))
+    return sized & ~loose_end & octets
+
+
+def form(kind: str, match: Column) -> Column:
+    """Whether a loose match has the form of its kind: IPv6 groups, card groups, no date."""
+    if kind == "ip":
+        return F.when(match.contains(":"), ipv6(match)).otherwise(valid("ip", match))
+    if kind == "card":
+        return match.rlike(f"^{CARD_GROUPS}$")
+    if kind == "phone":
+        return ~match.rlike(DATE)
+    return F.lit(True)
+
+
 SPAN = "array<struct<start:int,end:int,match:string>>"
 
 
@@ -123,6 +182,14 @@ def guarded(text: Column, pattern: str, guard: str) -> Column:
     return F.when(test, spans_of(text, pattern)).otherwise(F.array().cast(SPAN))
 
 
+def cue_near(text: Column, span: Column, kind: str) -> Column:
+    """Whether a cue word stands within ``NEAR`` characters before or after the span."""
+    low = F.greatest(span["start"] - NEAR, F.lit(0))
+    before = F.lower(F.substring(text, low + 1, span["start"] - low))
+    after = F.lower(F.substring(text, span["end"] + 1, F.lit(NEAR)))
+    return before.rlike(CUES[kind]) | after.rlike(CUES[kind])
+
+
 def feature_bits(text: Column, span: Column, kind: str, strict: bool) -> Column:
     """Features of one candidate as the bits of an int, in the order of ``FEATURES``."""
     match, n = span["match"], F.length(digits(span["match"]))
@@ -132,9 +199,12 @@ def feature_bits(text: Column, span: Column, kind: str, strict: bool) -> Column:
     found = (
         F.lit(strict), match.startswith("+"), n.between(10, 15), n.between(14, 19),
         luhn(digits(match)), match.contains("@"), match.rlike(r"[0-9][\x20./_-]+[0-9]"),
-        valid("ip", match) if kind == "ip" else F.lit(False), before.rlike(CUES[kind]),
+        form(kind, match) if kind in ("ip", "card") else F.lit(False),
+        before.rlike(rf"(?:{CUES[kind]})[^a-z]*(?:{FILLERS[kind]})?[^a-z]*$"),
         ~before.rlike(r"[\p{L}\p{N}_]$"), ~after.rlike(r"^[\p{L}\p{N}_]"),
         match.rlike("[A-Za-z]"), match.rlike(r"\.[A-Za-z]{2,}$"),
+        match.rlike(r"^\+?\(?0|^\("), match.rlike(DATE), match.rlike(r"[0-9A-Fa-f]+[^0-9A-Fa-f]+[0-9A-Fa-f]+[^0-9A-Fa-f]+[0-9A-Fa-f]"),
+        n == 7,
     )
     return sum((F.when(x, 1 << i).otherwise(0) for i, x in enumerate(found)), F.lit(0))
 
@@ -157,11 +227,29 @@ def candidates(
         for kind in KINDS
         for strict, pattern, guard in (
             (True, STRICT[kind], GUARDS[kind]),
-            (False, LOOSE[kind], LOOSE_GUARDS[kind]),
+            *((False, loose, LOOSE_GUARDS[kind]) for loose in LOOSE[kind]),
         )
     ]
-    spans = F.array_sort(F.concat(*parts)).alias("spans")
-    return rows.select("doc_id", spans, *(["row"] if whole else []))
+    more = ["row"] if whole else []
+    rows = rows.select("doc_id", F.array_sort(F.array_distinct(F.concat(*parts))).alias("spans"), *more)
+    base = F.filter("spans", lambda s: s["strict"] & s["label"])
+    rows = rows.select("doc_id", "spans", base.alias("base"), *more)
+    free = F.filter(
+        "spans",
+        lambda s: (s["strict"] & s["label"])
+        | ~F.exists("base", lambda b: overlaps(s, b) & ~holds_more(s, b)),
+    )
+    return rows.select("doc_id", free.alias("spans"), *more)
+
+
+def overlaps(a: Column, b: Column) -> Column:
+    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+
+
+def holds_more(a: Column, b: Column) -> Column:
+    """Whether a holds b and is longer."""
+    inside = (a["start"] <= b["start"]) & (b["end"] <= a["end"])
+    return inside & (a["end"] - a["start"] > b["end"] - b["start"])
 
 
 def described(text: Column, kind: str, strict: bool):
@@ -172,8 +260,15 @@ def described(text: Column, kind: str, strict: bool):
         if strict:
             label = valid(kind, span["match"])
         else:
-            cue = bits.bitwiseAND(F.lit(1 << FEATURES.index("cue"))) > 0
-            label = cue & (luhn(digits(span["match"])) if kind == "card" else F.lit(True))
+            match = span["match"]
+            label = form(kind, match) & cue_near(text, span, kind)
+            if kind == "card":
+                alone = form(kind, match) & F.length(digits(match)).between(14, 19)
+                label = luhn(digits(match)) & (alone | cue_near(text, span, kind))
+            if kind == "ip":
+                groups = F.size(F.array_remove(F.split(match, ":"), ""))
+                alone = (groups >= 3) | match.contains(".")
+                label = form(kind, match) & (alone | cue_near(text, span, kind))
         return F.struct(
             span["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"),
             span["end"].alias("end"), F.lit(strict).alias("strict"),
@@ -301,32 +396,32 @@ def trained(found: DataFrame, precision: float = 0.98) -> list[Boosted]:
 def select(found: DataFrame, models: list[Boosted]) -> DataFrame:
     """``base`` (validated strict spans) and ``spans`` (with the selected others) per row.
 
-    A selected candidate that overlaps a base span, or a likelier one, is left out.
+    Selected candidates are taken from the likeliest down, the longer first among equals; one that
+    overlaps a taken one is left out.
     """
 
     def scored(s: Column) -> Column:
         p = F.lit(0.0)
         for number, model in enumerate(models):
             p = F.when(s["kind"] == number, model.column(s["bits"]) - model.threshold).otherwise(p)
-        return F.struct(s["start"], s["kind"], s["end"], p.alias("over"))
-
-    def over(a: Column, b: Column) -> Column:
-        return (a["start"] < b["end"]) & (b["start"] < a["end"])
-
-    def better(a: Column, b: Column) -> Column:
-        rank = lambda s: F.struct(s["over"], -s["start"], -s["kind"], s["end"])
-        return rank(a) > rank(b)
+        return F.struct(
+            (-p).alias("under"), (s["start"] - s["end"]).alias("longest"), s["start"], s["kind"], s["end"]
+        )
 
     base = F.filter("spans", lambda s: s["strict"] & s["label"])
     extra = F.filter(
         F.transform(F.filter("spans", lambda s: ~(s["strict"] & s["label"])), scored),
-        lambda s: s["over"] >= 0,
+        lambda s: s["under"] <= 0,
     )
     more = [c for c in found.columns if c == "row"]
-    rows = found.select("doc_id", *more, base.alias("base"), extra.alias("extra"))
-    free = F.filter("extra", lambda s: ~F.exists("base", lambda b: over(s, b)))
-    rows = rows.select("doc_id", *more, "base", free.alias("extra"))
-    best = F.filter("extra", lambda s: ~F.exists("extra", lambda o: over(s, o) & better(o, s)))
+    rows = found.select("doc_id", *more, base.alias("base"), F.array_sort(extra).alias("extra"))
+    none = F.filter("extra", lambda s: F.lit(False))
+    best = F.aggregate(
+        "extra", none,
+        lambda taken, s: F.when(F.exists(taken, lambda o: overlaps(s, o)), taken).otherwise(
+            F.concat(taken, F.array(s))
+        ),
+    )
     plain = lambda s: F.struct(s["start"], s["kind"], s["end"])
     merged = F.array_sort(F.concat(F.transform("base", plain), F.transform(best, plain)))
     bare = F.transform("base", plain).alias("base")

@@ -172,6 +172,59 @@ def test_model_adds_cued_loose_spans(spark):
     assert all(len(got[i].spans) == 2 for i in range(400, 600))
 
 
+WIDE = {
+    "phone": [
+        "0301234567", "030 1234567", "06 12 34 56 78", "4995556503", "(030) 123-4567", "555-6503",
+        "0049 30 1234567", "030/123 45 67", "91 555 12 34", "06.12.34.56.78", "(0)30 123456",
+    ],
+    "ip": ["2001:db8::1", "fe80::1ff:fe23:4567:890a", "2001:db8:0:0:0:0:2:1", "::ffff:192.168.7.9", "2001:DB8:85a3::8a2e"],
+    "card": ["3782.822463.10005", "3782_822463_10005", "4111  1111 1111 1111", "4111 - 1111 - 1111 - 1111", "4111/1111.1111 1111"],
+    "email": ["jane at example dot com", "jane (at) example (dot) com", "jane[AT]example[DOT]com", "jane at mail dot example dot com"],
+}
+LEADS = {"phone": "Telefon: ", "ip": "server ", "card": "tarjeta n\u00famero ", "email": "courriel: "}
+
+
+def covers(spans, kind, start, end):
+    return any(s.kind == pii.KINDS.index(kind) and s.start <= start and s.end >= end for s in spans)
+
+
+def test_recall_on_planted_forms(spark):
+    # 30 copies a form with a cue word right before it, and 30 without any; counted: proposed, selected.
+    rows, planted = [], []
+    for kind, forms in WIDE.items():
+        for form in forms:
+            for lead in (LEADS[kind], "und dann "):
+                for _ in range(30):
+                    planted.append((kind, form, lead, len(lead) + 4))
+                    rows.append((len(rows), f"eh, {lead}{form} zu sehen."))
+    rows += [(len(rows) + i, t) for i, t in enumerate(real_texts())]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    proposed = {r.doc_id: r.spans for r in pii.candidates(df).collect()}
+    selected = {r.doc_id: r.spans for r in pii.personal_data(df).collect()}
+    got = {}
+    for i, (kind, form, lead, at) in enumerate(planted):
+        n = got.setdefault((kind, lead == LEADS[kind]), [0, 0, 0])
+        n[0] += 1
+        n[1] += covers(proposed[i], kind, at, at + len(form))
+        n[2] += covers(selected[i], kind, at, at + len(form))
+    print({f"{k} {'cue' if cue else 'no cue'}": n for (k, cue), n in got.items()})
+    assert all(n[1] == n[0] for n in got.values()), got
+    assert all(n[2] == n[0] for (_, cue), n in got.items() if cue), got
+    assert all(got[kind, False][2] == got[kind, False][0] for kind in ("ip", "card")), got
+
+
+def test_no_selected_span_is_lost_to_one_left_out(spark):
+    bits = [1 << pii.FEATURES.index(name) for name in ("cue", "plus", "at")]
+    spans = [(0, 3, 10, False, False, bits[0]), (8, 3, 18, False, False, bits[1]), (16, 3, 26, False, False, bits[2])]
+    schema = "doc_id long, spans array<struct<start:int,kind:int,end:int,strict:boolean,label:boolean,bits:int>>"
+    found = spark.createDataFrame([(1, spans)], schema)
+    model = pii.Boosted(threshold=0.5)
+    for name, value in (("cue", 3.0), ("plus", 2.0), ("at", 1.0)):
+        model.trees.append((pii.FEATURES.index(name), pii.FEATURES.index(name), [0.0, 0.0, 0.0, value]))
+    got = pii.select(found, [pii.Boosted()] * 3 + [model]).first().spans
+    assert [(s.start, s.end) for s in got] == [(0, 10), (16, 26)]
+
+
 def test_redaction(spark):
     text = "é a@b.cc or +1 499 555 6503."
     spans = "array(named_struct('start',2,'kind',0,'end',8), named_struct('start',4,'kind',1,'end',9), named_struct('start',12,'kind',3,'end',27))"
