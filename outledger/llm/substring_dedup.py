@@ -1,7 +1,8 @@
-"""Removal of repeated 200-byte strings by blockwise suffix buckets over a cover sample.
+"""Removal of repeated 200-byte strings by fingerprint counts over a cover sample.
 
-A suffix array of the corpus would put equal 200-byte strings side by side. It is built in blocks,
-from a cover sample of positions, and only as far as repeats need it:
+A suffix array of the corpus would put equal 200-byte strings side by side. None is built here: no
+suffix is ordered and no rank computed. Equal 64-bit fingerprints of blocks, cut at a cover sample of
+positions, are counted by key instead, and refined only as far as repeats need it:
 
 * Cover. Of every 200-byte string, the leftmost ``ANCHOR``-byte string with the smallest hash is
   sampled. Two equal 200-byte strings are therefore sampled at the same offset, which is what a
@@ -9,7 +10,7 @@ from a cover sample of positions, and only as far as repeats need it:
   smallest residue cover that leaves an anchor of such a length (12 residues modulo 133) holds 1 in
   11. Consecutive strings with one sample form a block.
 * Buckets. Suffixes that start with the same anchor are one bucket. A bucket of one cannot repeat.
-* Ranks. Within a bucket, blocks are compared by precomputed fingerprints of the whole stretch they
+* Ties. Within a bucket, blocks are compared by precomputed fingerprints of the whole stretch they
   span. Equal stretches are ties that the fingerprint resolves at once: all their strings repeat.
 * Refinement. What is left is cut into blocks of 16 and then of single strings, each time bucketed
   by the bytes that all strings of the block share, with one representative of every tie kept in
