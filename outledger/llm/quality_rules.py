@@ -6,7 +6,7 @@ the host's verdict is joined back to its documents.
 
 * A document that fails a base rule is rejected.
 * A document that fails a strong rule (symbols, capitals, repeated lines) is rejected.
-* Weak rules (odd word length, few letters, few line ends) only count together with the host: on
+* Weak rules (odd word length, few letters) only count together with the host: on
   a host whose shrunk failure rate exceeds ``strict_rate`` one weak failure rejects, elsewhere two.
 * A document without any failure is kept, whatever its host.
 
