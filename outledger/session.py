@@ -58,7 +58,17 @@ def pin(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{run_dir(spark)}/pinned-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    pinned = spark.read.schema(df.schema).parquet(path)
+    pinned.pinned_at = path
+    return pinned
+
+
+def unpin(*pinned: DataFrame) -> None:
+    """Delete what ``pin`` has written for these frames, once nothing reads them any more."""
+    for df in pinned:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.pinned_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def drop_pins(spark: SparkSession) -> None:
