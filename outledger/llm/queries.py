@@ -20,6 +20,7 @@ from outledger.llm import (
     decontamination,
     license_scan,
     ngram_join,
+    phrase_dedup,
     pii,
     piece_codec,
     quality_model,
@@ -256,6 +257,32 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "op11_substring_dedup",
+    r"""
+    with w as (
+        select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+    ), k as (
+        select doc_id, i, md5(array_to_string(w[i:i + 12], ' ')) as k
+        from (select doc_id, w, unnest(range(1, greatest(len(w) - 11, 1))) as i from w)
+    ), s as (
+        select distinct doc_id, j from (
+            select doc_id, unnest(range(i, i + 13)) as j
+            from (select *, min(doc_id) over (partition by k) as least from k) where least < doc_id)
+    ), g as (
+        select doc_id, list(j) as gone from s group by doc_id
+    )
+    select doc_id, len(w)::bigint as n_words, coalesce(len(gone), 0)::bigint as n_removed,
+        sha256(coalesce(array_to_string(case when gone is null then w else
+            list_filter(w, lambda x, i: not list_contains(gone, i)) end, ' '), '')) as kept_sha256
+    from w left join g using (doc_id)
+    """,
+)
+def op11_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the passages that earlier documents hold."""
+    return phrase_dedup.without_repeats(table(spark, folder, "documents"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages of the corpus pipeline over all documents."""
