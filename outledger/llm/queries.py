@@ -26,6 +26,7 @@ from outledger.llm import (
     quality_model,
     quality_rules,
     substring_dedup,
+    target_resampling,
     token_counts,
     warc,
 )
@@ -283,6 +284,67 @@ def op11_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return phrase_dedup.without_repeats(table(spark, folder, "documents"))
 
 
+@query(
+    "op12_target_resampling",
+    r"""
+    with d as (
+        select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+    ), b as (
+        select regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark
+    ), e as (
+        select doc_id, f, count(*) as n from (
+            select doc_id, unnest(list_concat(w, list_transform(range(1, len(w)),
+                lambda i: w[i] || ' ' || w[i + 1]))) as f from d) group by doc_id, f
+    ), g as (
+        select f, count(*) as n from (
+            select unnest(list_concat(w, list_transform(range(1, len(w)),
+                lambda i: w[i] || ' ' || w[i + 1]))) as f from b) group by f
+    ), c as (
+        select i::int as i, list_reduce(range(0, 8), lambda x, k:
+            case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end, i) as v
+        from range(0, 256) t(i)
+    ), t as (
+        select list(v order by i) as t from c
+    ), x as (
+        select f, xor(list_reduce(list_transform(range(0, octet_length(encode(f))), lambda i:
+            ('0x' || substr(hex(encode(f)), 2 * i + 1, 2))::bigint), lambda x, y:
+            xor(x >> 8, t[(xor(x, y) & 255) + 1]), 4294967295), 4294967295) % 10000 as bucket
+        from (select distinct f from (select f from e union all select f from g)), t
+    ), s as (
+        select bucket, sum(n)::bigint as s from e join x using (f) group by bucket
+    ), u as (
+        select bucket, sum(n)::bigint as t from g join x using (f) group by bucket
+    ), k as (
+        select (select coalesce(sum(s), 0)::bigint from s) as s, (select coalesce(sum(t), 0)::bigint from u) as t
+    ), gain as (
+        select bucket, floor(1000 * ln(((coalesce(u.t, 0) + 1) * (k.s + 10000))
+            / ((s.s + 1) * (k.t + 10000))))::bigint as gain
+        from s left join u using (bucket), k
+    ), m as (
+        select doc_id, sum(n)::bigint as n_features, floor(sum(n * gain) / sum(n))::bigint as weight
+        from e join x using (f) join gain using (bucket) group by doc_id
+    ), r as (
+        select d.doc_id, len(w) as n_words, coalesce(n_features, 0)::bigint as n_features,
+            coalesce(weight, 0)::bigint as weight,
+            coalesce(weight, 0)::bigint + floor(-1000 * ln(-ln((('0x' ||
+                substr(sha256('7:' || d.doc_id), 1, 8))::bigint + 0.5::double) / 4294967296)))::bigint as score
+        from d left join m using (doc_id)
+    ), o as (
+        select doc_id, row_number() over (order by score desc, doc_id) as k, count(*) over () as n
+        from r where n_words >= 20
+    )
+    select r.doc_id, n_features, weight, score, case when k <= 25 * n // 100 then k end as rank
+    from r left join o using (doc_id)
+    """,
+)
+def op12_target_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """A quarter of all documents, drawn towards the benchmark texts."""
+    rows = target_resampling.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages of the corpus pipeline over all documents."""
