@@ -4,7 +4,7 @@ A window is ``WINDOW`` consecutive words of one document. Every word covered by
 also stand in a document with a smaller id is removed; windows are judged on the input.
 
 1. Anchors. Each window is named by the smallest hash of its ``ANCHOR``-word phrases, so equal windows
-   have equal anchors and neighbouring windows mostly share one: about one anchor in five words. An
+   have equal anchors and neighbouring windows mostly share one: about one anchor in four words. An
    anchor recurs if several ids hold it. Only documents with a recurring anchor can hold a repeat;
    the others are done.
 2. Confirmed passages. Windows under recurring anchors are counted by a 128-bit hash; those of several
@@ -12,12 +12,12 @@ also stand in a document with a smaller id is removed; windows are judged on the
    from its text.
 3. Shards. An anchor belongs to a shard by the smallest id that holds it, so the passages of a document
    stay together; owners with very many anchors are spread. There are as many shards as keep an
-   automaton at about ``PATTERNS`` windows. A document goes to the shards of its recurring anchors,
-   which hold every pattern it can contain. Shards with many documents are dealt to several tasks,
-   each with its own copy of the patterns.
+   automaton at about ``PATTERNS`` windows. The stretches of a document under recurring anchors go to
+   the shards of these anchors, which hold every pattern they can contain; the rest of its text cannot
+   match. Shards with many stretches are dealt to several tasks, each with a copy of the patterns.
 4. Automata. A task reads the passages of a shard, numbers their words, compiles one automaton
    (pyahocorasick over word numbers) with every window and its owner, and streams the shard's
-   documents through it. A hit of a smaller owner marks its words. Matches compare whole words,
+   stretches through it. A hit of a smaller owner marks its words. Matches compare whole words,
    no hashes; a hash collision could at worst hide a pattern (word hashes have 64 bits).
 
 Words lie between ASCII white space and are compared as UTF-8 bytes (lone surrogates count as '?').
@@ -44,13 +44,13 @@ from outledger.llm.substring_dedup import sliding_least
 from outledger.session import pin, unpin
 
 WINDOW = 13
-ANCHOR = 5
-#: Windows in an automaton, about; anchors of one owner in a shard; bytes and documents that a task
+ANCHOR = 7
+#: Windows in an automaton, about; anchors of one owner in a shard; bytes and stretches that a task
 #: streams through one automaton.
 PATTERNS = 20_000
-OWNER_ANCHORS = PATTERNS // 5
+OWNER_ANCHORS = PATTERNS // 4
 STREAM_BYTES = 4 << 20
-STREAM_ROWS = 1000
+STREAM_ROWS = 10_000
 #: Bytes of text that are hashed at a time, and windows of one segment.
 CHUNK_BYTES = 4 << 20
 SEGMENT = 1 << 20
@@ -165,19 +165,18 @@ def homes(owners: DataFrame) -> DataFrame:
 
 
 def suspects(docs: DataFrame, owners: DataFrame) -> DataFrame:
-    """Distinct documents with a recurring anchor: ``doc_id, text_key, text, n_bytes, anchors, shards``.
+    """Distinct documents with a recurring anchor: ``doc_id, text_key, text, anchors, homes``.
 
-    ``anchors`` holds anchor and shard in equal order; documents of one first shard lie together.
+    ``homes`` holds the shard of each of the anchors; documents of one first shard lie together.
     """
     held = anchor_rows(docs).join(homes(owners), "anchor")
     lists = held.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("anchor", "shard"))).alias("a"))
     found = docs.join(lists, "doc_id").dropDuplicates(["doc_id", "text_key"])
     out = found.select(
-        "doc_id", "text_key", "text", F.octet_length("text").cast("long").alias("n_bytes"),
+        "doc_id", "text_key", "text",
         F.col("a.anchor").alias("anchors"), F.col("a.shard").alias("homes"),
-        F.array_distinct("a.shard").alias("shards"),
     )
-    first = F.element_at(F.array_sort("shards"), 1)
+    first = F.array_min("homes")
     spread = F.pmod(F.col("text_key"), F.lit(16))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return out.repartition(parts, first, spread).sortWithinPartitions(first)
@@ -228,114 +227,146 @@ def patterns(held: DataFrame) -> DataFrame:
     return counted.where("owner < high").groupBy("owner").agg(F.collect_list("h").alias("windows"))
 
 
-ROUTED = "shard int, kind int, doc_id long, text_key long, text string"
+def cut_runs(
+    texts_: list[bytes], own: list[tuple[np.ndarray, np.ndarray]], wanted: list[np.ndarray] | None = None
+) -> Iterator[tuple[int, int, int, str]]:
+    """Text, shard, first word and words of every run of consecutive windows of one shard.
+
+    Windows are those under the given anchors, or only those whose hash is wanted.
+    """
+    for of, start, shard, h, _ in marked(texts_, [o[0] for o in own], [o[1] for o in own]):
+        cuts = np.searchsorted(of, np.arange(len(texts_) + 1))
+        for i in np.unique(of).tolist():
+            piece = slice(cuts[i], cuts[i + 1])
+            s, home = start[piece], shard[piece]
+            if wanted is not None:
+                mine = h[piece].view(np.int64)
+                place = np.minimum(np.searchsorted(wanted[i], mine), len(wanted[i]) - 1)
+                ok = wanted[i][place] == mine
+                s, home = s[ok], home[ok]
+            if not len(s):
+                continue
+            cut = np.flatnonzero((np.diff(s) != 1) | (np.diff(home) != 0)) + 1
+            words = texts_[i].split()
+            for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(s)], strict=True):
+                text = b" ".join(words[s[a] : s[b - 1] + WINDOW]).decode("utf-8")
+                yield i, int(home[a]), int(s[a]), text
 
 
 def passages(held: DataFrame, found: DataFrame) -> DataFrame:
     """``shard, owner, text``: runs of consecutive patterns in their owner's text, words joined by a blank."""
+    schema = arrow_schema(held.sparkSession, "shard int, owner long, text string")
 
     def run(batches):
         for rows, texts_ in chunks(batches):
             own = [sorted_anchors(r[1], r[2]) for r in rows]
             wanted = [np.sort(np.array(r[3], np.int64)) for r in rows]
-            shards, owners, out = [], [], []
-            for of, start, shard, h, _ in marked(texts_, [o[0] for o in own], [o[1] for o in own]):
-                cuts = np.searchsorted(of, np.arange(len(texts_) + 1))
-                for i in np.unique(of).tolist():
-                    piece, keys = slice(cuts[i], cuts[i + 1]), wanted[i]
-                    mine = h[piece].view(np.int64)
-                    place = np.minimum(np.searchsorted(keys, mine), len(keys) - 1)
-                    ok = keys[place] == mine
-                    s, home = start[piece][ok], shard[piece][ok]
-                    if not len(s):
-                        continue
-                    cut = np.flatnonzero((np.diff(s) != 1) | (np.diff(home) != 0)) + 1
-                    words = texts_[i].split()
-                    for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(s)], strict=True):
-                        shards.append(home[a])
-                        owners.append(rows[i][0])
-                        out.append(b" ".join(words[s[a] : s[b - 1] + WINDOW]).decode("utf-8"))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(shards, pa.int32()), pa.array(owners, pa.int64()), pa.array(out, pa.string())],
-                names=["shard", "owner", "text"],
-            )
+            out = [(home, rows[i][0], text) for i, home, _, text in cut_runs(texts_, own, wanted)]
+            yield batch_of(out, schema)
 
     joined = held.join(found.withColumnRenamed("owner", "doc_id"), "doc_id")
     columns = joined.select("doc_id", "text", "anchors", "homes", "windows")
     return columns.mapInArrow(run, "shard int, owner long, text string")
 
 
+STRETCH = "shard int, doc_id long, text_key long, at int, text string"
+
+
+def stretches(held: DataFrame) -> DataFrame:
+    """``STRETCH``: the parts of every document that a shard's patterns can match, and their first word."""
+    schema = arrow_schema(held.sparkSession, STRETCH)
+
+    def run(batches):
+        for rows, texts_ in chunks(batches):
+            own = [sorted_anchors(r[1], r[2]) for r in rows]
+            out = [(home, rows[i][0], rows[i][3], at, text) for i, home, at, text in cut_runs(texts_, own)]
+            yield batch_of(out, schema)
+
+    return held.select("doc_id", "text", "anchors", "homes", "text_key").mapInArrow(run, STRETCH)
+
+
+def batch_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
+    )
+
+
 class Shard:
-    """One automaton over the windows of a shard's passages."""
+    """One automaton over the windows of a shard's passages.
+
+    A word is two letters, a page and a place of its number, so no state has more than a few hundred
+    followers (the library looks through them one by one).
+    """
+
+    PLACES = 128
 
     def __init__(self):
-        self.numbers: dict[bytes, int] = {}
+        self.numbers: dict[bytes, tuple[int, int]] = {}
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        self.owners: list[int] = []
+        self.ready = False
+
+    def letters(self, word: bytes) -> tuple[int, int]:
+        found = self.numbers.get(word)
+        if found is None:
+            n = len(self.numbers)
+            found = self.numbers[word] = (self.PLACES + 1 + n // self.PLACES, 1 + n % self.PLACES)
+        return found
 
     def add(self, owner: int, text: str) -> None:
-        ids = tuple(self.numbers.setdefault(w, len(self.numbers) + 1) for w in byte_words(text))
-        self.owners.append(owner)
-        for i in range(len(ids) - WINDOW + 1):
-            key = ids[i : i + WINDOW]
-            old = self.automaton.get(key, None)
-            if old is None or owner < self.owners[old]:
-                self.automaton.add_word(key, len(self.owners) - 1)
-
-    def compiled(self) -> Shard:
-        if len(self.automaton):
-            self.automaton.make_automaton()
-        return self
+        key = tuple([x for word in byte_words(text) for x in self.letters(word)])
+        for i in range(0, len(key) - 2 * WINDOW + 1, 2):
+            self.automaton.add_word(key[i : i + 2 * WINDOW], owner)
 
-    def ranges(self, doc: int, text: str) -> list[int]:
+    def ranges(self, doc: int, at: int, text: str) -> list[int]:
         """Starts and ends of the runs of words that windows of smaller owners cover."""
         if not len(self.automaton):
             return []
-        number = self.numbers.get
+        if not self.ready:
+            self.automaton.make_automaton()
+            self.ready = True
+        number, unknown = self.numbers.get, (0, 0)
+        key = tuple([x for word in byte_words(text) for x in number(word, unknown)])
         out: list[int] = []
-        for end, place in self.automaton.iter(tuple([number(w, 0) for w in byte_words(text)])):
-            if self.owners[place] < doc:
-                if out and out[-1] >= end - WINDOW + 1:
-                    out[-1] = end + 1
+        for last, owner in self.automaton.iter(key):
+            if owner < doc:
+                end = at + last // 2 + 1
+                if out and out[-1] >= end - WINDOW:
+                    out[-1] = end
                 else:
-                    out += (end - WINDOW + 1, end + 1)
+                    out += (end - WINDOW, end)
         return out
 
 
 def located(held: DataFrame, found: DataFrame) -> DataFrame:
-    """``doc_id, text_key, ranges``: removed runs of words, one row per document and task that found some."""
+    """``doc_id, text_key, ranges``: removed runs of words, one row per stretch that has some."""
     spark = held.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    visits = held.select(F.explode("shards").alias("shard"), "n_bytes")
-    tasks = F.greatest(F.ceil(F.sum("n_bytes") / STREAM_BYTES), F.ceil(F.count("*") / STREAM_ROWS))
+    visits = pin(stretches(held))
+    tasks = F.greatest(F.ceil(F.sum(F.octet_length("text")) / STREAM_BYTES), F.ceil(F.count("*") / STREAM_ROWS))
     dealt = pin(visits.groupBy("shard").agg(tasks.cast("int").alias("tasks")))
     copies = found.join(dealt, "shard").select(
         "shard", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"), F.lit(0).alias("kind"),
-        F.col("owner").alias("doc_id"), F.lit(0).cast("long").alias("text_key"), "text",
+        F.col("owner").alias("doc_id"), F.lit(0).cast("long").alias("text_key"), F.lit(0).alias("at"), "text",
     )
-    task = F.pmod(F.xxhash64("doc_id", "text_key"), F.col("tasks")).cast("int")
-    streamed = held.select(F.explode("shards").alias("shard"), "doc_id", "text_key", "text").join(dealt, "shard")
-    streamed = streamed.select("shard", task.alias("task"), F.lit(1).alias("kind"), "doc_id", "text_key", "text")
+    task = F.pmod(F.xxhash64("doc_id", "text_key", "at"), F.col("tasks")).cast("int")
+    streamed = visits.join(dealt, "shard").select(
+        "shard", task.alias("task"), F.lit(1).alias("kind"), "doc_id", "text_key", "at", "text"
+    )
     schema = arrow_schema(spark, "doc_id long, text_key long, ranges array<int>")
 
     def run(batches):
         now, shard = None, Shard()
         for batch in batches:
             out = []
-            for home, task_, kind, doc, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (home, task_) != now:
-                    now, shard, ready = (home, task_), Shard(), False
+            for home, part, kind, doc, key, at, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (home, part) != now:
+                    now, shard = (home, part), Shard()
                 if kind == 0:
                     shard.add(doc, text)
-                    continue
-                if not ready:
-                    shard, ready = shard.compiled(), True
-                if runs := shard.ranges(doc, text):
+                elif runs := shard.ranges(doc, at, text):
                     out.append((doc, key, runs))
-            ids, keys, runs = zip(*out, strict=True) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip((ids, keys, runs), schema, strict=True)], schema=schema
-            )
+            yield batch_of(out, schema)
 
     rows = copies.unionByName(streamed).repartition(parts, "shard", "task")
     ordered = rows.sortWithinPartitions("shard", "task", "kind")
@@ -364,10 +395,7 @@ def summed(rows: DataFrame) -> DataFrame:
             for doc, key, text, ranges in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 removed, kept = without(text, ranges or [])
                 out.append((doc, key, len(byte_words(text)), removed, hashlib.sha256(kept).hexdigest()))
-            columns = zip(*out, strict=True) if out else [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
-            )
+            yield batch_of(out, schema)
 
     return rows.select("doc_id", "text_key", "text", "ranges").mapInArrow(run, SUMS)
 

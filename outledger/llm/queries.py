@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from outledger.llm import (
+    conversation_trie,
     decontamination,
     license_scan,
     ngram_join,
@@ -345,6 +346,56 @@ def op12_target_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+@query(
+    "op13_conversation_trie",
+    r"""
+    with t as (
+        select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over
+            (partition by conv_id order by turn nulls first) - 1 as i
+        from conversations where conv_id is not null
+    ), z as (
+        select list(v order by i) as t from (select i::int as i, list_reduce(range(0, 8), lambda x, k:
+            case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end, i) as v
+            from range(0, 256) s(i))
+    ), c as (
+        select conv_id, conv_id - conv_id % 20 as base, xor(list_reduce(list_transform(
+            range(1, length(conv_id::varchar) + 1), lambda i: ascii(substr(conv_id::varchar, i, 1))::bigint),
+            lambda x, y: xor(x >> 8, t[(xor(x, y) & 255) + 1]), 4294967295), 4294967295) % 4 as h
+        from (select distinct conv_id from t), z
+    ), r as (
+        select c.conv_id, i, role, text from c join t on t.conv_id = c.base and i < h
+        union all
+        select conv_id, i, role, text from t join c using (conv_id) where i >= h
+    ), l as (
+        select c.conv_id, coalesce(list({'r': role, 't': text} order by i) filter (i is not null), []) as l
+        from c left join r using (conv_id) group by c.conv_id
+    ), p as (
+        select conv_id, len(l) as n, unnest(range(0, len(l) + 1)) as d, l[1:d] as k from l
+    ), n as (
+        select d, k, min(conv_id) as conv_id, count(*) as n_convs, coalesce(string_agg(conv_id::varchar, ','
+            order by conv_id) filter (n = d), '') as ends,
+            (count(*) - 1) * coalesce(len(regexp_extract_all(k[d].t, '[^\x20\x09-\x0D]+')), 0) as own
+        from p group by d, k
+    ), m as (
+        select n.*, count(b.conv_id) as n_children
+        from n left join n b on b.d = n.d + 1 and b.k[1:b.d - 1] = n.k group by all
+    ), s as (
+        select p.d, p.k, count_if(m.n_children = 0) as n_leaves, sum(m.own)::bigint as saved_tokens
+        from m join p on p.conv_id = m.conv_id and p.d <= m.d group by p.d, p.k
+    )
+    select m.conv_id, m.d as depth, a.conv_id as parent_conv_id, m.n_convs, m.n_children,
+        n_leaves::bigint as n_leaves, saved_tokens, sha256(m.ends) as ends_sha256
+    from m join s on s.d = m.d and s.k = m.k left join n a on a.d = m.d - 1 and a.k = m.k[1:m.d - 1]
+    """,
+)
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Prefix trie of all conversations."""
+    rows = conversation_trie.prefix_trie(table(spark, folder, "conversations"))
+    return rows.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages of the corpus pipeline over all documents."""
