@@ -49,15 +49,26 @@ def run_dir(spark: SparkSession) -> str:
     return f"{scratch_dir(spark)}/run-{spark.sparkContext.applicationId}"
 
 
+# Spark deletes the shuffle files of a query as soon as it has ended, not when the driver happens to
+# collect its garbage.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back.
 
     Later passes see the same rows even if executors are lost, read only the
-    columns they need, and do not recompute what led to ``df``.
+    columns they need, and do not recompute what led to ``df``. Shuffle files of
+    the write are gone when it has ended.
     """
     spark = df.sparkSession
     path = f"{run_dir(spark)}/pinned-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     pinned = spark.read.schema(df.schema).parquet(path)
     pinned.pinned_at = path
     return pinned
