@@ -15,7 +15,15 @@ a tile group, in which the join runs twice:
    pair of blocks is a tile. Pairs within one component are never formed, so a large group of near
    copies costs its number of members, not its square.
 
-In both, a pair counts only if the sizes and the positions of the shared shingle leave room for the
+Tiles run in ``FORESTS`` rounds that emit forests: a task joins the components of the pairs it lets
+through and emits only pairs that join two of its trees, at most one row a component. After each round
+the pairs are verified and the components contracted, and groups that let no pair through are done
+(contraction only takes pairs away). What is left, sets just below the limit for the most part, goes
+through a last round in which tiles carry the shingles too: every pair of two components that the
+signatures let through is verified inside its tile, and only links that join two trees are emitted. So
+no round makes more rows than a task has sets, and no link is lost.
+
+In all, a pair counts only if the sizes and the positions of the shared shingle leave room for the
 overlap it needs (at its first common shingle a linked pair always has that room), and goes on only
 if the signatures allow it.
 
@@ -53,6 +61,13 @@ CHUNK_BYTES = 4 << 20
 NOTED_HASHES = 4_000_000
 #: Bits of a signature for each shingle of its set, at least.
 BITS = 4
+#: Rounds that emit forests, sets of a task's memory of what it has joined, bytes of shingles in a tile,
+#: rows of groups that a task handles at a time, and rows from which one group is handled in parts.
+FORESTS = 2
+REMEMBERED = 1_000_000
+TILE_BYTES = 16 << 20
+GROUP_ROWS = 200_000
+LARGE_GROUP = 1_000_000
 
 U64 = np.uint64
 BYTE_VALUES = np.random.default_rng(20).integers(1, 2**63, 256, dtype=U64) * U64(2) + U64(1)
@@ -276,17 +291,24 @@ def group_rows(rows: DataFrame, parts: int, percent: int) -> DataFrame:
     """``GROUPS`` of two kinds from the prefix shingles that several sets share.
 
     Stars (n = 0): the group's smallest set and another one, where sizes and positions allow a link.
-    Members (n > 2): set ``a`` of a group of n sets, with its position. Groups with the same members
-    are one group, at the first of their shingles in the global order.
+    Members (n > 2): set ``a`` of a group of n sets, with its position. Groups that a task handles at a
+    time and that have the same members are one group, at the first of their shingles in the global
+    order. Rows come sorted by shingle and set; a group above ``LARGE_GROUP`` rows is handled in parts
+    (its n is that bound).
     """
+    names = ["group_id", "a", "b", "size", "pos", "n"]
+    kinds = (np.int64, np.int64, np.int64, np.int32, np.int32, np.int32)
 
-    def run(batches):
-        got = [[c.to_numpy() for c in b.columns] for b in batches if b.num_rows]
-        if not got:
-            return
-        keys, sets, size, pos = (np.concatenate(x) for x in zip(*got, strict=True))
-        order = np.lexsort((sets, keys))
-        keys, sets, size, pos = keys[order], sets[order], size[order], pos[order]
+    def batch(*columns) -> pa.RecordBatch:
+        arrays = [pa.array(c.astype(k)) for c, k in zip(columns, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names=names)
+
+    def stars(first, second) -> pa.RecordBatch:
+        pairs = np.unique(np.stack((first, second), axis=1), axis=0)
+        none = np.zeros(len(pairs), np.int32)
+        return batch(none, pairs[:, 0], pairs[:, 1], none, none, none)
+
+    def whole(keys, sets, size, pos):
         fresh = np.concatenate(([True], (keys[1:] != keys[:-1]) | (sets[1:] != sets[:-1])))
         keys, sets, size, pos = keys[fresh], sets[fresh], size[fresh], pos[fresh]
         starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
@@ -302,21 +324,54 @@ def group_rows(rows: DataFrame, parts: int, percent: int) -> DataFrame:
         at = np.repeat(begin, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         first = np.repeat(begin, n)
         star = (at != first) & may_share(size[first], pos[first], size[at], pos[at], percent)
-        pairs = np.unique(np.stack((sets[first][star], sets[at][star]), axis=1), axis=0)
+        yield stars(sets[first][star], sets[at][star])
         large = np.repeat(n, n) > 2
-        members = [
-            np.repeat(named, n)[large], sets[at][large], sets[at][large], size[at][large],
-            pos[at][large], np.repeat(n, n)[large],
-        ]
-        none = np.zeros(len(pairs), np.int32)
-        stars = [np.zeros(len(pairs), np.int64), pairs[:, 0], pairs[:, 1], none, none, none]
-        names = ["group_id", "a", "b", "size", "pos", "n"]
-        for columns in (stars, members):
-            kinds = (np.int64, np.int64, np.int64, np.int32, np.int32, np.int32)
-            arrays = [pa.array(c.astype(k)) for c, k in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+        of, at = np.repeat(named, n)[large], at[large]
+        yield batch(of, sets[at], sets[at], size[at], pos[at], np.repeat(n, n)[large])
 
-    return rows.repartition(parts, "key").mapInArrow(run, GROUPS)
+    def part(first, keys, sets, size, pos):
+        star = (sets != first[1]) & may_share(first[2], first[3], size, pos, percent)
+        yield stars(np.repeat(first[1], star.sum()), sets[star])
+        yield batch(keys, sets, sets, size, pos, np.full(len(keys), LARGE_GROUP))
+
+    def run(batches):
+        held: list[list[np.ndarray]] = []
+        n, first = 0, None  # first: row of the smallest set of a group that is handled in parts
+        for got in batches:
+            if not got.num_rows:
+                continue
+            held.append([c.to_numpy() for c in got.columns])
+            n += got.num_rows
+            if n < GROUP_ROWS:
+                continue
+            rows_ = [np.concatenate(x) for x in zip(*held, strict=True)]
+            if first is not None:
+                cut = int(np.searchsorted(rows_[0], first[0], side="right"))
+                if cut:
+                    yield from part(first, *(c[:cut] for c in rows_))
+                rows_ = [c[cut:] for c in rows_]
+                first = first if not len(rows_[0]) else None
+            if len(rows_[0]):
+                cut = int(np.searchsorted(rows_[0], rows_[0][-1]))
+                if cut:
+                    yield from whole(*(c[:cut] for c in rows_))
+                rows_ = [c[cut:] for c in rows_]
+                if len(rows_[0]) >= LARGE_GROUP:
+                    first = [int(c[0]) for c in rows_]
+                    yield from part(first, *rows_)
+                    rows_ = [c[:0] for c in rows_]
+            held, n = [rows_], len(rows_[0])
+        rows_ = [np.concatenate(x) for x in zip(*held, strict=True)] if held else []
+        if rows_ and first is not None and len(rows_[0]):
+            cut = int(np.searchsorted(rows_[0], first[0], side="right"))
+            if cut:
+                yield from part(first, *(c[:cut] for c in rows_))
+            rows_ = [c[cut:] for c in rows_]
+        if rows_ and len(rows_[0]):
+            yield from whole(*rows_)
+
+    dealt = rows.repartition(parts, "key").sortWithinPartitions("key", "set_id")
+    return dealt.mapInArrow(run, GROUPS)
 
 
 def bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -347,35 +402,43 @@ def bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs that link: both sets are built again from texts and intersected."""
-    pairs = pin(pairs)
-    wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+def shingle_arrays(wanted: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """``set_id, hashes``: the sorted shingles of the wanted sets, built again from their texts."""
     where = wanted.join(sets, "set_id").select("set_id", F.col("first_doc").alias("of_doc"))
     found = docs.join(where, F.col("doc_id").eqNullSafe(F.col("of_doc"))).select("set_id", "text")
 
     def build(batches):
         for ids, texts_ in chunks(batches, CHUNK_BYTES):
-            kept = [
-                (name, hashes.tobytes())
+            kept = {
+                name: hashes.tobytes()
                 for name, hashes in zip(ids, shingle_sets(texts_), strict=True)
                 if len(hashes) and set_name(hashes) == name  # ids may repeat with other texts
-            ]
-            names, arrays = zip(*kept, strict=True) if kept else ((), ())
+            }
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.int64()), pa.array(arrays, pa.binary())],
+                [pa.array(list(kept), pa.int64()), pa.array(list(kept.values()), pa.binary())],
                 names=["set_id", "hashes"],
             )
 
-    arrays = pin(found.mapInArrow(build, "set_id long, hashes binary"))
+    return found.mapInArrow(build, "set_id long, hashes binary")
+
+
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets link."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """The pairs that link: both sets are built again from texts and intersected."""
+    pairs = pin(pairs)
+    wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+    arrays = pin(shingle_arrays(wanted, sets, docs))
 
     def run(batches):
         for batch in batches:
             kept = []
             for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                x, y = np.frombuffer(x, U64), np.frombuffer(y, U64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= percent * (len(x) + len(y) - both):
+                if linked(np.frombuffer(x, U64), np.frombuffer(y, U64), percent):
                     kept.append((a, b))
             a, b = zip(*kept, strict=True) if kept else ((), ())
             yield pa.RecordBatch.from_arrays(
@@ -390,17 +453,16 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int) -
 def tiles(live: DataFrame, percent: int, block: int) -> DataFrame:
     """Members of live groups dealt to tiles: ``tile`` and ``side`` beside the member's columns.
 
-    A group of at most ``block`` sets is one tile. A larger one is cut by size band and then into
-    blocks; every pair of blocks of one band (side 0) or of neighbouring bands (sides 1 and 2) is a
+    A group of at most ``block`` sets and ``TILE_BYTES`` of shingles is one tile. A larger one is cut by
+    size band and then into blocks below these bounds; every pair of blocks of one band (side 0) or of neighbouring bands (sides 1 and 2) is a
     tile, and a member is repeated once per tile of its block.
     """
     band = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9)
-    small = live.where(F.col("n") <= block).select(
-        "*", F.xxhash64("group_id").alias("tile"), F.lit(0).alias("side")
-    )
-    banded = live.where(F.col("n") > block).withColumn("band", band.cast("int"))
-    counts = banded.groupBy("group_id", "band").agg(F.ceil(F.count("*") / block).cast("int").alias("k"))
-    counts = pin(counts)
+    fits = (F.col("n") <= block) & (8 * F.col("total") <= TILE_BYTES)
+    small = live.where(fits).select("*", F.xxhash64("group_id").alias("tile"), F.lit(0).alias("side"))
+    banded = live.where(~fits).withColumn("band", band.cast("int"))
+    k = F.ceil(F.greatest(F.count("*") / block, 8 * F.sum("size") / TILE_BYTES)).cast("int")
+    counts = pin(banded.groupBy("group_id", "band").agg(k.alias("k")))
     own = banded.join(counts, ["group_id", "band"])
     own = own.withColumn("at", F.pmod(F.xxhash64("set_id"), F.col("k")).cast("int"))
     for name, step in (("above", 1), ("below", -1)):
@@ -422,18 +484,45 @@ def tiles(live: DataFrame, percent: int, block: int) -> DataFrame:
     return small.unionByName(spread.select(*live.columns, "t.tile", "t.side"))
 
 
+class Trees:
+    """The components that the pairs of a task have joined so far; forgets all when it gets too large."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        top = x
+        while (y := self.up.get(top, top)) != top:
+            top = y
+        while x != top:
+            x, self.up[x] = self.up.get(x, x), top
+        return top
+
+    def join(self, x: int, y: int) -> None:
+        if len(self.up) > REMEMBERED:
+            self.up.clear()
+        x, y = self.root(x), self.root(y)
+        if x != y:
+            self.up[max(x, y)] = min(x, y)
+
+
 def tile_pairs(live: DataFrame, percent: int, block: int, parts: int) -> DataFrame:
-    """Pairs ``a, b`` of different components whose sizes, positions and signatures allow a link.
+    """Pairs of different components whose sizes, positions and signatures allow a link, as a forest.
 
-    ``live`` holds ``group_id, set_id, component, size, pos, n, signature``. A task holds one tile at
-    a time.
+    ``live`` holds ``group_id, set_id, component, size, pos, n, total, signature``. With a column
+    ``hashes`` the pairs are verified, and the forest is one of links. A task holds one tile at a time.
+    Returns ``group_id, a, b``: the pairs, and a row with null ``a, b`` for every tile that lets one
+    through.
     """
-    names = ("tile", "side", "set_id", "component", "size", "pos", "signature")
+    exact = "hashes" in live.columns
+    names = ["tile", "side", "set_id", "component", "size", "pos", "group_id", "signature"]
+    names += ["hashes"] if exact else []
     dealt = tiles(live, percent, block).select(*names)
 
-    def pairs_of(columns: list[np.ndarray]) -> np.ndarray:
+    def pairs_of(columns: list[np.ndarray], trees: Trees) -> tuple[list[tuple[int, int]], bool]:
         order = np.argsort(columns[3], kind="stable")
-        side, name, comp, size, pos, maps = (x[order] for x in columns)
+        side, name, comp, size, pos, _, maps, *more = (x[order] for x in columns)
+        hashes = [np.frombuffer(h, U64) for h in more[0]] if exact else []
         ends = np.searchsorted(size, size * 100 // percent, side="right")
         lengths = np.array([len(m) for m in maps])
         row = np.zeros(len(maps), np.int64)  # of a set's bitmap among those of its length
@@ -444,7 +533,7 @@ def tile_pairs(live: DataFrame, percent: int, block: int, parts: int) -> DataFra
             full[n] = np.frombuffer(b"".join(maps[of]), np.uint8).reshape(len(of), n).view(U64)
             wide = full[n].shape[1] // 2
             half[n] = full[n][:, :wide] ^ full[n][:, wide:]
-        out = []
+        out, some = [], False
         for i in range(len(name)):
             j = slice(i + 1, ends[i])
             ok = (comp[j] != comp[i]) & ((side[j] != side[i]) | (side[i] == 0))
@@ -458,33 +547,54 @@ def tile_pairs(live: DataFrame, percent: int, block: int, parts: int) -> DataFra
                     continue
                 bits = side_maps[length][row[near]] ^ full[n][row[i]]
                 differing = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
-                found = name[near[may_link(size[i], size[near], differing, percent)]]
-                out.append(np.stack((np.minimum(found, name[i]), np.maximum(found, name[i])), axis=1))
-        return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+                for k in near[may_link(size[i], size[near], differing, percent)].tolist():
+                    some = True
+                    apart = trees.root(comp[i]) != trees.root(comp[k])
+                    if apart and (not exact or linked(hashes[i], hashes[k], percent)):
+                        trees.join(comp[i], comp[k])
+                        out.append((min(name[i], name[k]), max(name[i], name[k])))
+        return out, some
 
     def run(batches):
         held: list[np.ndarray] | None = None  # rows of the tile that may go on in the next batch
+        trees = Trees()
         for batch in batches:
-            columns = [c.to_numpy().astype(np.int64) for c in batch.columns[:-1]]
-            maps = np.empty(batch.num_rows, object)
-            maps[:] = batch.columns[-1].to_pylist()
-            columns.append(maps)
+            columns = []
+            for at, column in enumerate(batch.columns):
+                if at < 7:
+                    columns.append(column.to_numpy().astype(np.int64))
+                else:
+                    columns.append(np.empty(batch.num_rows, object))
+                    columns[-1][:] = column.to_pylist()
             if held is not None:
                 columns = [np.concatenate(x) for x in zip(held, columns, strict=True)]
             cut = np.flatnonzero(columns[0][1:] != columns[0][:-1]) + 1
             bounds = [0, *cut.tolist()]
-            found = [pairs_of([c[x:y] for c in columns[1:]]) for x, y in zip(bounds, bounds[1:], strict=False)]
-            yield batch_of(found)
+            for x, y in zip(bounds, bounds[1:], strict=False):
+                yield batch_of([c[x:y] for c in columns[1:]], trees)
             held = [c[bounds[-1] :] for c in columns]
         if held is not None and len(held[0]):
-            yield batch_of([pairs_of(held[1:])])
+            yield batch_of(held[1:], trees)
 
-    def batch_of(found: list[np.ndarray]) -> pa.RecordBatch:
-        pairs = np.concatenate([np.zeros((0, 2), np.int64), *found])
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+    def batch_of(columns: list[np.ndarray], trees: Trees) -> pa.RecordBatch:
+        found, some = pairs_of(columns, trees)
+        rows = [(columns[5][0], None, None)] * some + [(None, a, b) for a, b in found]
+        arrays = [pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else ((), (), ()))]
+        return pa.RecordBatch.from_arrays(arrays, names=["group_id", "a", "b"])
 
     sorted_ = dealt.repartition(parts, "tile").sortWithinPartitions("tile")
-    return sorted_.mapInArrow(run, "a long, b long").distinct()
+    return sorted_.mapInArrow(run, "group_id long, a long, b long")
+
+
+def in_several_components(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of groups that are not yet one component, with ``component`` and the group's ``total`` size."""
+    named = found.select(F.col("node").alias("set_id"), "component")
+    placed = members.join(named, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+    placed = pin(placed)
+    mixed = placed.groupBy("group_id").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.sum("size").alias("total")
+    )
+    return placed.join(mixed.where("x <> y").select("group_id", "total"), "group_id")
 
 
 def jaccard_components(
@@ -517,18 +627,25 @@ def jaccard_components(
     stars = groups.where("n = 0").select("a", "b").distinct()
     links = pin(verified(bounded(stars, sets, percent), sets, docs, percent))
     found = pin(components(links))
-
-    named = found.select(F.col("node").alias("a"), "component")
-    members = groups.where("n > 2").groupBy("group_id", "a").agg(
+    members = groups.where("n > 2").groupBy("group_id", F.col("a").alias("set_id")).agg(
         F.max("size").alias("size"), F.min("pos").alias("pos"), F.max("n").alias("n")
     )
-    placed = members.join(named, "a", "left").withColumn("component", F.coalesce("component", "a"))
-    placed = pin(placed.withColumnRenamed("a", "set_id"))
-    mixed = placed.groupBy("group_id").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    live = placed.join(mixed.where("x <> y").select("group_id"), "group_id")
-    live = live.join(sets.select("set_id", "signature"), "set_id")
-    across = tile_pairs(live, percent, block, parts)
-    found = components(links.unionByName(verified(across, sets, docs, percent)))
+    bits = sets.select("set_id", "signature")
+    for round_ in range(FORESTS + 1):
+        live = in_several_components(members, found).join(bits, "set_id")
+        if round_ == FORESTS:
+            live = pin(live)
+            live = live.join(shingle_arrays(live.select("set_id").distinct(), sets, docs), "set_id")
+        across = pin(tile_pairs(live, percent, block, parts))
+        if across.isEmpty():
+            break
+        pairs = across.where(F.col("a").isNotNull()).select("a", "b").distinct()
+        if round_ < FORESTS:
+            pairs = verified(pairs, sets, docs, percent)
+        links = pin(links.unionByName(pairs))
+        found = pin(components(links))
+        open_ = across.where(F.col("group_id").isNotNull()).select("group_id").distinct()
+        members = pin(members.join(open_, "group_id"))
 
     smallest = (
         sets.select("set_id", "first_doc")
@@ -550,7 +667,8 @@ def one_per_component(
 ) -> DataFrame:
     """One row of ``df``, all columns, per component: that of the smallest id (and text hash).
 
-    Documents with an empty set stay. Repeated rows of one id and text are one document.
+    Documents with an empty set stay. Repeated rows of one id and text are one document: the row whose
+    JSON form is the smallest.
     """
     rows = pin(jaccard_components(df, doc_id, text, percent))
     key = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
@@ -558,4 +676,5 @@ def one_per_component(
     alone = rows.where(F.col("class_id").isNull()).select("doc_id", "text_key")
     keys = linked.select("k.doc_id", "k.text_key").union(alone).distinct()
     found = filtered(df, keys, "left_semi", doc_id, text)
-    return found.dropDuplicates(["doc_id", "text_key"]).select("row.*")
+    one = found.groupBy("doc_id", "text_key").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return one.select("row.*")

@@ -85,6 +85,55 @@ def test_components_of_given_documents(spark):
     assert result(rows) == brute([(r.doc_id, r.text) for r in rows.collect()])
 
 
+def family(n, edits, seed=3):
+    rng = random.Random(seed)
+    vocabulary = [f"v{i}" for i in range(5000)]
+    first = rng.choices(vocabulary, k=300)
+    docs = []
+    for d in range(n):
+        words = list(first)
+        for at in rng.sample(range(300), edits):
+            words[at] = rng.choice(vocabulary)
+        docs.append((d, " ".join(words)))
+    return docs
+
+
+@pytest.mark.parametrize("edits", [4, 5, 6])
+def test_rows_of_tiles_grow_with_members(spark, monkeypatch, edits):
+    made_by, counts = ngram_join.tile_pairs, []
+
+    def counted(*args, **more):
+        rows = ngram_join.pin(made_by(*args, **more))
+        counts.append(rows.where("a is not null").count())
+        return rows
+
+    monkeypatch.setattr(ngram_join, "tile_pairs", counted)
+    totals = {}
+    for n in (100, 300):
+        counts.clear()
+        docs = family(n, edits)
+        got = result(spark.createDataFrame(docs, "doc_id long, text string"))
+        totals[n] = sum(counts)
+        if n == 100:
+            assert got == brute(docs)
+    assert totals[300] <= 5 * 300  # four tasks, each at most once a component and round
+
+
+@pytest.mark.parametrize("large", [3])
+def test_groups_in_parts(spark, monkeypatch, large):
+    monkeypatch.setattr(ngram_join, "GROUP_ROWS", 2)
+    monkeypatch.setattr(ngram_join, "LARGE_GROUP", large)
+    monkeypatch.setattr(ngram_join, "REMEMBERED", 5)
+    monkeypatch.setattr(ngram_join, "TILE_BYTES", 9000)
+    docs = made(9, 150) + [(1000 + d, t) for d, t in family(30, 4)]
+    assert result(spark.createDataFrame(docs, "doc_id long, text string")) == brute(docs)
+
+
+def test_one_row_of_repeated_ones(spark):
+    df = spark.createDataFrame([(1, "a b c", "y"), (1, "a b c", "x"), (2, "A B C", "a"), (3, None, "n")], "doc_id long, text string, row string")
+    assert sorted(map(tuple, ngram_join.one_per_component(df).collect())) == [(1, "a b c", "x"), (3, None, "n")]
+
+
 def test_empty_table(spark):
     assert result(spark.createDataFrame([], "doc_id long, text string")) == []
 
