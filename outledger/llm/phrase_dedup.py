@@ -47,12 +47,12 @@ WINDOW = 13
 ANCHOR = 7
 #: Windows in an automaton, about; anchors of one owner in a shard; bytes and stretches that a task
 #: streams through one automaton.
-PATTERNS = 20_000
+PATTERNS = 5_000
 OWNER_ANCHORS = PATTERNS // 4
 STREAM_BYTES = 4 << 20
 STREAM_ROWS = 10_000
 #: Bytes of text that are hashed at a time, and windows of one segment.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
 SEGMENT = 1 << 20
 
 U64 = np.uint64
@@ -97,8 +97,13 @@ def windows(found: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
         yield of[start], start + a - first[of[start]], anchor[start], (part, start)
 
 
-def rows_of(*columns: np.ndarray, names: str) -> pa.RecordBatch:
-    arrays = [pa.array(c.view(np.int64) if c.dtype == U64 else c) for c in columns]
+def differing(low: np.ndarray, high: np.ndarray) -> pa.Array:
+    """``high``, null where it says nothing: such rows are smaller."""
+    return pa.array(high, mask=low == high)
+
+
+def rows_of(*columns: np.ndarray | pa.Array, names: str) -> pa.RecordBatch:
+    arrays = [pa.array(c.view(np.int64)) if isinstance(c, np.ndarray) else c for c in columns]
     return pa.RecordBatch.from_arrays(arrays, names=names.split())
 
 
@@ -147,10 +152,11 @@ def anchor_owners(docs: DataFrame) -> DataFrame:
             start = fresh(anchor)
             if len(start):
                 low, high = np.minimum.reduceat(ids, start), np.maximum.reduceat(ids, start)
-                yield rows_of(anchor[start], low, high, names="anchor low high")
+                yield rows_of(anchor[start], low, differing(low, high), names="anchor low high")
 
     made = docs.select("doc_id", "text").mapInArrow(run, "anchor long, low long, high long")
-    counted = made.groupBy("anchor").agg(F.min("low").alias("owner"), F.max("high").alias("high"))
+    last = F.coalesce("high", "low")
+    counted = made.groupBy("anchor").agg(F.min("low").alias("owner"), F.max(last).alias("high"))
     return counted.where("owner < high").select("anchor", "owner")
 
 
@@ -220,10 +226,11 @@ def patterns(held: DataFrame) -> DataFrame:
             start = fresh(h, g)
             if len(start):
                 low, high = np.minimum.reduceat(doc, start), np.maximum.reduceat(doc, start)
-                yield rows_of(h[start], g[start], low, high, names="h g low high")
+                yield rows_of(h[start], g[start], low, differing(low, high), names="h g low high")
 
     made = held.select("doc_id", "text", "anchors", "homes").mapInArrow(run, "h long, g long, low long, high long")
-    counted = made.groupBy("h", "g").agg(F.min("low").alias("owner"), F.max("high").alias("high"))
+    last = F.coalesce("high", "low")
+    counted = made.groupBy("h", "g").agg(F.min("low").alias("owner"), F.max(last).alias("high"))
     return counted.where("owner < high").groupBy("owner").agg(F.collect_list("h").alias("windows"))
 
 
@@ -338,11 +345,10 @@ class Shard:
         return out
 
 
-def located(held: DataFrame, found: DataFrame) -> DataFrame:
+def located(visits: DataFrame, found: DataFrame) -> DataFrame:
     """``doc_id, text_key, ranges``: removed runs of words, one row per stretch that has some."""
-    spark = held.sparkSession
+    spark = visits.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    visits = pin(stretches(held))
     tasks = F.greatest(F.ceil(F.sum(F.octet_length("text")) / STREAM_BYTES), F.ceil(F.count("*") / STREAM_ROWS))
     dealt = pin(visits.groupBy("shard").agg(tasks.cast("int").alias("tasks")))
     copies = found.join(dealt, "shard").select(
@@ -410,8 +416,9 @@ def repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     held = pin(suspects(docs, owners))
     unpin(owners)
     found = pin(passages(held, patterns(held)))
-    runs = pin(located(held, found))
-    unpin(found)
+    visits = pin(stretches(held))
+    runs = pin(located(visits, found))
+    unpin(found, visits)
     lists = runs.groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
     return held.select("doc_id", "text_key", "text").join(lists, ["doc_id", "text_key"])
 
