@@ -81,11 +81,8 @@ def upsert_status(state: DataFrame, updates: DataFrame) -> DataFrame:
     return upsert(state, updates, ["master_type", "record_key"], ["last_pushed_at"])
 
 
-def bulk_upsert(state: DataFrame, updates: DataFrame, order: str) -> DataFrame:
-    """Many results at once, later ones win; equal to applying them one by one.
-
-    The push time is the latest one any of the results carries.
-    """
+def folded_results(updates: DataFrame, order: str) -> DataFrame:
+    """One update per key from many: the last one, with the latest push time any of them carries."""
     key = ["master_type", "record_key"]
     rest = [c for c in updates.columns if c not in key and c not in (order, "last_pushed_at")]
     carried = F.when(F.col("last_pushed_at").isNotNull(), F.col(order))
@@ -94,7 +91,12 @@ def bulk_upsert(state: DataFrame, updates: DataFrame, order: str) -> DataFrame:
         F.max_by("last_pushed_at", carried).alias("last_pushed_at"),
     )
     fields = [F.col(f"_last.{c}").alias(c) for c in rest]
-    return upsert_status(state, last.select(*key, *fields, "last_pushed_at"))
+    return last.select(*key, *fields, "last_pushed_at")
+
+
+def bulk_upsert(state: DataFrame, updates: DataFrame, order: str) -> DataFrame:
+    """Many results at once, later ones win; equal to applying them one by one."""
+    return upsert_status(state, folded_results(updates, order))
 
 
 def results_to_updates(results: DataFrame, master: str, now: Column) -> DataFrame:
@@ -103,12 +105,14 @@ def results_to_updates(results: DataFrame, master: str, now: Column) -> DataFram
     return status_updates(results, master, status, F.col("error_message"), now)
 
 
+def in_flight_updates(keys: DataFrame, master: str, now: Column) -> DataFrame:
+    """Status rows that set every given key to pushing."""
+    return status_updates(keys.distinct(), master, F.lit(PUSHING), F.lit(None).cast("string"), now)
+
+
 def mark_in_flight(state: DataFrame, keys: DataFrame, master: str, now: Column) -> DataFrame:
     """Set every given key to pushing; its last push time stays, its error goes."""
-    updates = status_updates(
-        keys.distinct(), master, F.lit(PUSHING), F.lit(None).cast("string"), now
-    )
-    return upsert_status(state, updates)
+    return upsert_status(state, in_flight_updates(keys, master, now))
 
 
 def fold_events(

@@ -10,12 +10,8 @@ from pyspark.sql import functions as F
 from outledger.operators.batching import assign_batches, outbox_write
 from outledger.operators.delivery import reconcile_missing
 from outledger.operators.filters import FilterSpec, apply_filters
-from outledger.operators.state import (
-    Snapshots,
-    mark_in_flight,
-    results_to_updates,
-    upsert_status,
-)
+from outledger.operators.state import results_to_updates
+from outledger.operators.status_store import StatusStore
 from outledger.session import pin
 
 _c = F.col
@@ -42,7 +38,7 @@ class PushRun:
     def __init__(
         self,
         master: str,
-        store: Snapshots,
+        store: StatusStore,
         extract: Callable[[DataFrame], DataFrame],
         document: Callable[[DataFrame], DataFrame],
         row_key: str,
@@ -64,8 +60,7 @@ class PushRun:
         facts = facts_of(outbox)
         keys.select("record_key").distinct().write.parquet(f"{facts}/keys")
         keys = self._fact(outbox, "keys")
-        state = mark_in_flight(self.store.read(self.master), keys, self.master, now)
-        self.store.write(state, self.master)
+        self.store.mark_in_flight(keys, self.master, now)
         try:
             rows = pin(self.extract(keys))
             fetched = rows.select(_c(self.row_key).cast("string").alias("record_key")).distinct()
@@ -93,7 +88,7 @@ class PushRun:
         keys, fetched = self._fact(outbox, "keys"), self._fact(outbox, "fetched")
         results = reconcile_missing(keys, fetched, mapped, failed)
         updates = results_to_updates(results, self.master, now)
-        self.store.write(upsert_status(self.store.read(self.master), updates), self.master)
+        self.store.upsert(updates, self.master)
         return results
 
     def abort(self, outbox: str, message: str, now: Column) -> None:
@@ -102,7 +97,7 @@ class PushRun:
             "record_key", F.lit(False).alias("success"), F.lit(message).alias("error_message")
         )
         updates = results_to_updates(results, self.master, now)
-        self.store.write(upsert_status(self.store.read(self.master), updates), self.master)
+        self.store.upsert(updates, self.master)
 
     def push_all(
         self, records: DataFrame, spec: FilterSpec, key: str, outbox: str, now: Column

@@ -14,7 +14,7 @@ from outledger.functions.dates import moment
 from outledger.operators.batching import assign_batches, outbox_write
 from outledger.operators.delivery import classify_response
 from outledger.operators.nesting import ChildList, json_text, nest_lists
-from outledger.operators.state import Snapshots
+from outledger.operators.status_store import StatusStore
 from outledger.plans import stock
 from outledger.plans.push import PushRun
 from outledger.queries.registry import query
@@ -22,7 +22,6 @@ from outledger.queries.sample_rules import RULES
 from outledger.queries.views import erp, views
 from outledger.session import scratch_dir
 from outledger.sources.pages import PAGE, incomplete_extracts, page_records, read_pages
-from outledger.sources.schemas import RECORD_STATUS
 from outledger.streaming import punches as streams
 
 _c = F.col
@@ -131,7 +130,7 @@ def push_run(spark, folder):
     keys = v("lineitem").filter("l_discount >= 0.1").select(
         _c("l_partkey").cast("string").alias("record_key")
     ).distinct()
-    store = Snapshots(spark, f"{path}/state", RECORD_STATUS)
+    store = StatusStore(spark, f"{path}/state", buckets=16)
     run = PushRun(
         "stockInventory",
         store,

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from outledger.fixed_values import DATASETS
 from outledger.functions.dates import moment
 from outledger.operators import state
+from outledger.operators.status_store import StatusStore
 from outledger.plans import attendance, dashboard
 from outledger.queries.q_aggregates import partner_states
+from outledger.queries.q_files import own_folder
 from outledger.queries.registry import query
 from outledger.queries.views import views
 from outledger.sources.schemas import BOARD
@@ -44,6 +46,13 @@ def _late_updates(v):
     )
 
 
+def _stored(spark, rows):
+    """A store of 16 buckets that holds the given rows."""
+    store = StatusStore(spark, f"{own_folder(spark)}/state", buckets=16)
+    store.upsert(rows.withColumn("record_key", _c("record_key").cast("string")), "partners")
+    return store
+
+
 _STATE_SQL = """early as (select cast(record_key as varchar) as k, arg_max(status, seq) as st,
  max(ts) filter (status in ('Pushed','Failed')) as pushed,
  nullif(arg_max(coalesce(error,''), seq),'') as err, max(ts) as upd
@@ -70,7 +79,9 @@ _STATE_SQL = """early as (select cast(record_key as varchar) as k, arg_max(statu
 def upsert_status(spark, folder):
     v = views(spark, folder)
     last = state.latest_per_record(_late_updates(v), ["master_type", "record_key"], "seq")
-    return _status_rows(state.upsert_status(_early_state(v), last))
+    store = _stored(spark, _early_state(v))
+    store.upsert(last, "partners")
+    return _status_rows(store.read("partners"))
 
 
 @query(
@@ -80,7 +91,9 @@ def upsert_status(spark, folder):
 )
 def bulk_upsert(spark, folder):
     v = views(spark, folder)
-    return _status_rows(state.bulk_upsert(_early_state(v), _late_updates(v), "seq"))
+    store = _stored(spark, _early_state(v))
+    store.store_results(_late_updates(v), "partners", "seq")
+    return _status_rows(store.read("partners"))
 
 
 @query(
@@ -100,7 +113,25 @@ def mark_in_flight(spark, folder):
     keys = v("si_partner").filter("grp = 'BUILDING'").select(
         _c("bp_id").cast("string").alias("record_key")
     )
-    return _status_rows(state.mark_in_flight(current, keys, "partners", moment(NOW)))
+    store = _stored(spark, current.select("master_type", *_status_rows(current).columns))
+    store.mark_in_flight(keys, "partners", moment(NOW))
+    return _status_rows(store.read("partners"))
+
+
+@query(
+    "status_counts",
+    """select case when k is not null then 'Pushing' else push_status end as push_status, count(*) as n
+    from si_status full join (select cast(bp_id as varchar) as k from si_partner where grp='BUILDING')
+    on record_key=k group by 1""",
+    "si_status si_partner",
+)
+def status_counts(spark, folder):
+    v = views(spark, folder)
+    current = v("si_status").withColumn("master_type", F.lit("partners"))
+    store = _stored(spark, current.select("master_type", *_status_rows(current).columns))
+    keys = v("si_partner").filter("grp = 'BUILDING'").select(_c("bp_id").cast("string").alias("record_key"))
+    store.mark_in_flight(keys, "partners", moment(NOW))
+    return store.status_counts("partners")
 
 
 @query(

@@ -17,6 +17,7 @@ from outledger.operators.filters import FilterSpec, exclude_values, include_valu
 from outledger.operators.paging import far_page, page_of
 from outledger.operators.skew import HotKeys, salted_join
 from outledger.operators.state import Snapshots
+from outledger.operators.status_store import StatusStore
 from outledger.plans.push import PushRun
 from outledger.fixed_values import NOT_FOUND_TEXT
 from outledger.sources.schemas import RECORD_STATUS
@@ -287,7 +288,7 @@ def test_listed_values_without_trailing_blanks(spark):
 
 def test_push_run_aborts_and_judges_what_was_sent(spark, tmp_path):
     now = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz")
-    store = Snapshots(spark, str(tmp_path / "state"), RECORD_STATUS)
+    store = StatusStore(spark, str(tmp_path / "state"), buckets=4)
     source = {"rows": [("a",), ("b",)]}
 
     def extract(keys):
