@@ -11,7 +11,6 @@ from outledger.operators.filters import exclude_values, valid_at
 from outledger.operators.joins import where_exists
 from outledger.operators.nesting import ChildList, distinct_children, nest_lists
 from outledger.operators.ranking import first_by, prefer
-from outledger.operators.skew import HotKeys
 from outledger.plans.items import SIZE_KEY, Tables, item_size_key, size_key
 from outledger.rules import Rules
 
@@ -24,35 +23,30 @@ PRICE_ORDER = ["PriceListID", "PriceID", "Price", "MRP"]
 def size_prices(t: Tables, rules: Rules, as_of: str) -> DataFrame:
     """The best size-book price per size key and state.
 
-    The books are reduced to that before any item is joined: which row wins does
-    not depend on the item, so items sharing a key never multiply price rows.
+    The books are reduced to that before any item is joined: which row wins does not depend on the
+    item, so items sharing a key never multiply price rows. Nor does it depend on the state within a
+    document, which offers all its prices in all its states: the best price per document and size key
+    is taken first, and only these meet the document's states.
     """
-    prices = (
-        t["size_book_prices"]
-        .filter("U_MRP > 0 and U_SelPrice > 0")
-        .withColumnRenamed("U_UniqID", "LineId")
+    prices = t["size_book_prices"].filter("U_MRP > 0 and U_SelPrice > 0").select(
+        "DocEntry", _c("U_UniqID").alias("PriceID"), "U_Size",
+        _c("U_SelPrice").alias("Price"), _c("U_MRP").alias("MRP"),
     )
     books = valid_at(t["size_books"], "U_ValidFrom", "U_ValidTo", moment(as_of)).select("DocEntry")
-    states = t["size_book_states"].filter("U_Selected = 'Y'").select("DocEntry", "U_Code")
+    states = t["size_book_states"].filter("U_Selected = 'Y'").select(
+        _c("DocEntry").alias("PriceListID"), _c("U_Code").alias("SubBrandCode")
+    )
     lines = exclude_values(t["size_book_lines"], "U_SubGroup1", rules.excluded_brands, trimmed=True)
-    # Counted on the raw table: a plain scan of one column, and an upper bound.
-    hot = HotKeys(t["size_book_prices"], ["DocEntry"])
-    on = hot.join_on
-    rows = (
-        hot.spread(prices)
-        .join(hot.repeat(books.distinct()), on)
-        .join(hot.repeat(lines), [*on, "LineId"])
-        .join(hot.repeat(states.distinct()), on)
+    valid = where_exists(lines, books, "DocEntry").select(
+        "DocEntry", _c("LineId").alias("PriceID"), "U_SubGroup7", "U_SubGroup4", "U_SubGroup1"
     )
-    keyed = rows.select(
+    rows = prices.join(valid, ["DocEntry", "PriceID"]).select(
+        _c("DocEntry").alias("PriceListID"), "PriceID", "Price", "MRP",
         *size_key("U_SubGroup7", "U_SubGroup4", "U_SubGroup1", "U_Size"),
-        _c("U_Code").alias("SubBrandCode"),
-        _c("DocEntry").alias("PriceListID"),
-        _c("LineId").alias("PriceID"),
-        _c("U_SelPrice").alias("Price"),
-        _c("U_MRP").alias("MRP"),
     )
-    return first_by(keyed, [*SIZE_KEY, "SubBrandCode"], PRICE_ORDER)
+    in_document = first_by(rows, ["PriceListID", *SIZE_KEY], PRICE_ORDER)
+    offered = in_document.join(states.distinct(), "PriceListID")
+    return first_by(offered, [*SIZE_KEY, "SubBrandCode"], PRICE_ORDER)
 
 
 def item_prices(t: Tables, rules: Rules) -> DataFrame:
@@ -60,11 +54,11 @@ def item_prices(t: Tables, rules: Rules) -> DataFrame:
     lines = exclude_values(
         t["item_book_lines"].filter("U_Lock = 'N'"), "U_Brand", rules.excluded_brands, trimmed=True
     ).select("DocEntry", _c("LineId").alias("U_RowId"), "U_CatalgCode")
+    # Lines meet their book first; prices then join on document and row, which spreads a large document.
     rows = (
         t["item_book_prices"]
         .filter("U_MRP > 0 and U_SelPrice > 0")
-        .join(lines, ["DocEntry", "U_RowId"])
-        .join(t["item_books"], "DocEntry")
+        .join(lines.join(t["item_books"], "DocEntry"), ["DocEntry", "U_RowId"])
         .select(
             _c("U_ItemCode").alias("ItemCode"),
             _c("U_State").alias("SubBrandCode"),
