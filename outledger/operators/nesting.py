@@ -65,20 +65,23 @@ def nest_lists(
     large = pin(sizes.filter(F.col("n") > part_rows).select(key))
     if large.isEmpty():  # the usual case: the same rows without the second branch
         return _folded(tall.withColumn("part_no", F.lit(0)), key, lists).withColumn("parts", F.lit(1))
-    small = tall.join(large, key, "left_anti").withColumn("part_no", F.lit(0))
-    ranked = with_position(tall.join(large, key, "left_semi"), [key, "_list", *lists])
-    first = ranked.groupBy(key, "_list").agg(F.min("pos").alias("_first"))
-    # Null keys are never large: the joins above keep them with the small ones.
-    ordinal = F.col("pos") - F.col("_first")
-    chunked = ranked.join(first, [key, "_list"]).withColumn(
-        "part_no", F.floor(ordinal / part_rows).cast("int")
+    # Null-safe throughout: the children of a null key are chunked like those of any other.
+    is_large = F.col(key).eqNullSafe(F.col("_large"))
+    large = large.withColumnRenamed(key, "_large")
+    small = tall.join(large, is_large, "left_anti").withColumn("part_no", F.lit(0))
+    ranked = with_position(tall.join(large, is_large, "left_semi"), [key, "_list", *lists])
+    first = ranked.groupBy(F.col(key).alias("_of"), F.col("_list").alias("_of_list")).agg(
+        F.min("pos").alias("_first")
     )
+    same = F.col(key).eqNullSafe(F.col("_of")) & (F.col("_list") == F.col("_of_list"))
+    ordinal = F.col("pos") - F.col("_first")
+    chunked = ranked.join(first, same).withColumn("part_no", F.floor(ordinal / part_rows).cast("int"))
     nested = _folded(small.unionByName(chunked.select(*small.columns)), key, lists)
-    parts = chunked.groupBy(key).agg((F.max("part_no") + 1).alias("_parts"))
+    parts = chunked.groupBy(F.col(key).alias("_of")).agg((F.max("part_no") + 1).alias("_parts"))
     return (
-        nested.join(parts, key, "left")
+        nested.join(parts, F.col(key).eqNullSafe(F.col("_of")), "left")
         .withColumn("parts", F.coalesce("_parts", F.lit(1)))
-        .drop("_parts")
+        .drop("_parts", "_of")
     )
 
 
@@ -167,6 +170,40 @@ def _parses(text: Column) -> Column:
     return F.try_parse_json(text).isNotNull()
 
 
+def checked_array(text: Column, element: str) -> Column:
+    """JSON text parsed once into ``items`` and, where it is not usable, a ``reject`` reason.
+
+    As ``json_array``, but text that gives no list says why: it is no JSON, or JSON of another kind.
+    Null, blank and JSON null stand for an empty list and are no rejects.
+    """
+    trimmed = F.trim(text)
+    parsed = F.try_parse_json(trimmed)
+    kind = F.regexp_extract(F.schema_of_variant(parsed), "^[A-Z]+", 0)
+    items = json_array(text, element)
+    reason = (
+        F.when(trimmed.isNull() | (trimmed == ""), None)
+        .when(parsed.isNull(), "not JSON")
+        .when(kind == "VOID", None)
+        .when(~kind.isin("ARRAY", "OBJECT"), "no list")
+    )
+    return F.struct(items.alias("items"), reason.alias("reject"))
+
+
+def split_rejects(
+    df: DataFrame, key: Sequence[str], column: str, element: str, name: str = "items"
+) -> tuple[DataFrame, DataFrame]:
+    """All rows with the parsed list as ``name``, and (key, text, reason) of the unusable texts.
+
+    The texts are parsed once: both results read the same written rows.
+    """
+    parsed = pin(df.withColumn("_checked", checked_array(F.col(column), element)))
+    rows = parsed.withColumn(name, F.col("_checked.items")).drop("_checked")
+    rejects = parsed.filter(F.col("_checked.reject").isNotNull()).select(
+        *key, F.col(column).alias("text"), F.col("_checked.reject").alias("reason")
+    )
+    return rows, rejects
+
+
 def json_text(col: Column, keep_nulls: bool) -> Column:
     """Struct or array as JSON text, with null fields kept or dropped."""
     return F.to_json(col, {"ignoreNullFields": "false" if keep_nulls else "true"})

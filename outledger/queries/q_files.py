@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from outledger.fixed_values import BATCH_SIZES
@@ -21,8 +22,9 @@ from outledger.queries.registry import query
 from outledger.queries.sample_rules import RULES
 from outledger.queries.views import erp, views
 from outledger.session import scratch_dir
-from outledger.sources.pages import PAGE, incomplete_extracts, page_records, read_pages
+from outledger.sources.pages import PAGE, chain_faults, folder_of, page_records, read_pages
 from outledger.streaming import punches as streams
+from outledger.streaming.replies import NO_REPLY, judged
 
 _c = F.col
 NOW = "2024-02-01 00:00:00"
@@ -53,20 +55,48 @@ def paged_json_source(spark, folder):
     pages = nest_lists(
         {"records": ChildList(punches.withColumn("r", record), ["r"], ["ref_id"])}, "day"
     )
-    last = punches.agg(F.max("day")).scalar()
-    done = (_c("day") == last) & (_c("part_no") == 0)
-    body = pages.select(
-        done.alias("done"),
-        F.when(~done, F.concat(F.lit("/next/"), _c("day").cast("string"))).alias("nextRecordsUrl"),
+    url = F.concat_ws("/", F.lit("/next"), _c("day"), _c("part_no"))
+    following = F.lead(url).over(Window.partitionBy(F.trunc("day", "year")).orderBy("day", "part_no"))
+    linked = pages.withColumn("url", url).withColumn("next", following)
+    # One extract a year of punches.
+    body = linked.select(
+        F.year("day").alias("year"), "url", _c("next").isNull().alias("done"), _c("next").alias("nextRecordsUrl"),
         F.transform("records", lambda x: x["r"]).alias("records"),
-    )
-    body.write.json(path)
+    )
+    body.write.partitionBy("year").json(path)
     landed = read_pages(spark, path, PAGE, page_per_file=False)
-    if not incomplete_extracts(landed).isEmpty():
-        raise RuntimeError("an extract has no final page")
+    if not chain_faults(landed, folder_of(landed)).isEmpty():
+        raise RuntimeError("an extract is not complete")
     return page_records(landed)
 
 
+@query(
+    "page_chain_faults",
+    """with p as (select distinct cast(punch_time as date) as d from si_punch), l as
+    (select d, strftime(d,'%Y-%m') as extract, lead(d) over (partition by strftime(d,'%Y-%m') order by d) as n
+    from p), k as (select *, day(d)<>15 as kept from l), f as (
+    select extract, 'missing page' as fault, count(*) as n from k a where kept and exists
+    (select 1 from k b where b.d=a.n and not b.kept) group by 1
+    union all
+    select extract, 'first pages', count(*) from k a where kept and not exists
+    (select 1 from k b where b.n=a.d and b.kept) group by 1 having count(*)<>1
+    union all
+    select extract, 'final pages', count(*) filter (n is null) from k where kept group by 1
+    having count(*) filter (n is null)<>1) select * from f""",
+    "si_punch",
+)
+def page_chain_faults(spark, folder):
+    # An extract a month, a page a day; the pages of the fifteenth got lost.
+    days = views(spark, folder)("si_punch").select(F.to_date("punch_time").alias("day")).distinct()
+    month = F.date_format("day", "yyyy-MM")
+    following = F.lead("day").over(Window.partitionBy(month).orderBy("day"))
+    pages = days.select(
+        month.alias("extract"), "day", _c("day").cast("string").alias("url"),
+        following.isNull().alias("done"), following.cast("string").alias("nextRecordsUrl"),
+    )
+    return chain_faults(pages.filter(F.dayofmonth("day") != 15), _c("extract"))
+
+
 @query(
     "nest_keep_nulls",
     """select bp_id, '{"area":'||coalesce('"'||area||'"','null')||',"phone":'||
@@ -152,14 +182,22 @@ def push_run(spark, folder):
     return store.read().select("record_key", "push_status", "error_message")
 
 
-def _land_punches(spark, folder) -> str:
-    """All punches as JSON files."""
+def _land_punches(spark, folder) -> tuple[str, int]:
+    """All punches as JSON files: their folder, and the number of files of a batch."""
     path = own_folder(spark)
     punches = views(spark, folder)("si_punch").select(
         "ref_id", _c("emp_id").cast("string").alias("employee_id"), "punch_type", "punch_time"
     )
-    punches.repartition(2, "ref_id").write.json(f"{path}/in")
-    return path
+    # A day lies in one file, hence in one batch: which punch of a day is kept depends on the batch.
+    day = F.to_date("punch_time")
+    return path, _in_files(spark, punches, day, "json", f"{path}/in")
+
+
+def _in_files(spark, rows, key, kind, path) -> int:
+    """Write rows with as many files as the session has shuffle partitions; half of them make a batch."""
+    parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows.repartition(parts, key).write.format(kind).save(path)
+    return parts // 2
 
 
 @query(
@@ -172,8 +210,8 @@ def _land_punches(spark, folder) -> str:
     "si_punch",
 )
 def punch_ingest_stream(spark, folder):
-    path = _land_punches(spark, folder)
-    arrived = streams.punch_files(spark, f"{path}/in")
+    path, files = _land_punches(spark, folder)
+    arrived = streams.punch_files(spark, f"{path}/in", files_per_batch=files)
     streams.ingest_stream(arrived, f"{path}/log", f"{path}/checkpoint", moment(NOW)).awaitTermination()
     return streams.read_log(spark, f"{path}/log").select(
         "employee_id", "punch_type", "punch_day", "ref_id", "push_status"
@@ -187,8 +225,8 @@ def punch_ingest_stream(spark, folder):
     "si_punch",
 )
 def stateful_dedupe_stream(spark, folder):
-    path = _land_punches(spark, folder)
-    arriving = streams.punch_files(spark, f"{path}/in", files_per_batch=1)
+    path, files = _land_punches(spark, folder)
+    arriving = streams.punch_files(spark, f"{path}/in", files_per_batch=files)
     run = streams.dedupe_to(arriving, f"{path}/out", f"{path}/late", f"{path}/checkpoint")
     run.awaitTermination()
     schema = f"{streams.PUNCH}, punch_day date"
@@ -197,6 +235,63 @@ def stateful_dedupe_stream(spark, folder):
     )
 
 
+@query(
+    "punch_run_counts",
+    """select count(*) as arrived, count(*) filter (emp_id is null) as rejected,
+    count(distinct (emp_id, punch_type, cast(punch_time as date))) filter (emp_id is not null) as inserted,
+    count(*) - count(*) filter (emp_id is null) - count(distinct (emp_id, punch_type,
+    cast(punch_time as date))) filter (emp_id is not null) as duplicate from si_punch""",
+    "si_punch",
+)
+def punch_run_counts(spark, folder):
+    path, files = _land_punches(spark, folder)
+    arrived = streams.punch_files(spark, f"{path}/in", files_per_batch=files)
+    streams.ingest_stream(arrived, f"{path}/log", f"{path}/checkpoint", moment(NOW)).awaitTermination()
+    names = ["arrived", "rejected", "inserted", "duplicate"]
+    return streams.run_counts(spark, f"{path}/log").agg(*[F.sum(c).alias(c) for c in names])
+
+
+@query(
+    "reply_timeouts",
+    f"""select s.event_id as batch_no, r.event_id is not null and r.event_type<>'error' as ok,
+    case when r.event_id is null then '{NO_REPLY}' when r.event_type='error' then 'HTTP 500' end as error_message
+    from events s left join events r on r.event_id=s.event_id+1 and r.ts>=s.ts
+    and r.ts<=s.ts+interval 10 day where s.event_type in ('click','view','signup')""",
+)
+def reply_timeouts(spark, folder):
+    # Clicks, views and signups stand for sendings, the event after each for its reply.
+    path = own_folder(spark)
+    events = views(spark, folder)("events")
+    sent = events.filter(_c("event_type").isin("click", "view", "signup")).select(
+        _c("event_id").alias("batch_no"), _c("ts").alias("sent_at")
+    )
+    bad = _c("event_type") == "error"
+    replies = events.select(
+        (_c("event_id") - 1).alias("batch_no"), _c("ts").alias("replied_at"), (~bad).alias("ok"),
+        F.when(bad, "HTTP 500").alias("error_message"),
+    )
+    far = moment("2100-01-01 00:00:00")  # a last row of both streams that closes every wait
+    none = F.lit(-1).cast("bigint")  # a real key: null ones never reach the watermark
+    ends = {
+        "sent": spark.range(1).select(none.alias("batch_no"), far.alias("sent_at")),
+        "replies": spark.range(1).select(
+            none.alias("batch_no"), far.alias("replied_at"), F.lit(True).alias("ok"),
+            F.lit(None).cast("string").alias("error_message"),
+        ),
+    }
+    for name, rows in (("sent", sent), ("replies", replies)):
+        rows.write.parquet(f"{path}/{name}")
+    for _ in range(2):
+        arriving = {
+            name: spark.readStream.schema(end.schema).parquet(f"{path}/{name}") for name, end in ends.items()
+        }
+        results = judged(arriving["sent"], arriving["replies"], within="10 days", lateness="3650 days")
+        streams.append_to(results, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+        for name, end in ends.items():
+            end.write.mode("append").parquet(f"{path}/{name}")
+    return spark.read.schema(results.schema).parquet(f"{path}/out").filter("batch_no >= 0")
+
+
 @query(
     "daily_status_stream",
     """select cast(punch_time as date) as punch_day, punch_type, push_status, count(*) as n
@@ -206,8 +301,8 @@ def stateful_dedupe_stream(spark, folder):
 def daily_status_stream(spark, folder):
     path = own_folder(spark)
     log = views(spark, folder)("si_punch_log").select("punch_type", "push_status", "punch_time")
-    log.repartition(2, "punch_time").write.parquet(f"{path}/in")
-    reader = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", "1")
+    files = _in_files(spark, log, "punch_time", "parquet", f"{path}/in")
+    reader = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", str(files))
     arriving = reader.parquet(f"{path}/in")
     counts = streams.daily_counts(arriving)
     streams.changes_to(counts, f"{path}/out", f"{path}/checkpoint").awaitTermination()

@@ -109,14 +109,15 @@ def in_subquery(spark, folder):
 @query(
     "not_exists_insert",
     """select distinct emp_id, punch_type, cast(punch_time as date) as day from si_punch p
-    where emp_id is not null and not exists
+    where not exists
     (select 1 from si_punch l where l.emp_id=p.emp_id and l.punch_type=p.punch_type
     and cast(l.punch_time as date)=cast(p.punch_time as date)
     and l.punch_time<timestamp '2024-01-20')""",
     "si_punch",
 )
 def not_exists_insert(spark, folder):
-    punches = views(spark, folder)("si_punch").filter("emp_id is not null").select(
+    # A punch without a person matches none of the log, so all of them are new.
+    punches = views(spark, folder)("si_punch").select(
         "emp_id", "punch_type", "punch_time", F.to_date("punch_time").alias("day")
     )
     key = ["emp_id", "punch_type", "day"]

@@ -15,6 +15,7 @@ from outledger.operators.nesting import (
     nest_lists,
     none_if_empty,
     places,
+    split_rejects,
 )
 from outledger.plans import items, partners, prices, receivables, schemes, stock
 from outledger.queries.registry import query
@@ -353,21 +354,41 @@ def address_struct(spark, folder):
     else 0 end as total from events""",
 )
 def safe_json_array(spark, folder):
+    items_of = json_array(_list_text(), "struct<k:bigint>")
+    total = F.aggregate("items", F.lit(0).cast("bigint"), lambda acc, x: acc + x["k"])
+    return (
+        views(spark, folder)("events")
+        .select("event_id", items_of.alias("items"))
+        .select("event_id", F.size("items").alias("elements"), total.alias("total"))
+    )
+
+
+@query(
+    "json_rejects",
+    """select case event_type when 'signup' then 'not JSON' else 'no list' end as reason,
+    event_type, count(*) as n, min(event_id) as first_id from events
+    where event_type in ('signup', 'purchase') group by 1, 2""",
+)
+def json_rejects(spark, folder):
+    number = F.get_json_object("props", "$.k")  # JSON, but no list
+    text = F.when(_c("event_type") == "purchase", number).otherwise(_list_text())
+    rows = views(spark, folder)("events").withColumn("text", text)
+    _, rejects = split_rejects(rows, ["event_id", "event_type"], "text", "struct<k:bigint>")
+    return rejects.groupBy("reason", "event_type").agg(
+        F.count("*").alias("n"), F.min("event_id").alias("first_id")
+    )
+
+
+def _list_text():
+    """Event properties as lists, objects, null, blank and broken text, by kind of event."""
     kind, props = _c("event_type"), _c("props")
-    text = (
+    return (
         F.when(kind == "click", F.concat(F.lit(" ["), props, F.lit(","), props, F.lit("]")))
         .when(kind == "view", props)
         .when(kind == "error", "null")
         .when(kind == "signup", F.concat(F.lit("["), props, F.lit(", oops")))
         .when(kind == "purchase", "")
     )
-    items_of = json_array(text, "struct<k:bigint>")
-    total = F.aggregate("items", F.lit(0).cast("bigint"), lambda acc, x: acc + x["k"])
-    return (
-        views(spark, folder)("events")
-        .select("event_id", items_of.alias("items"))
-        .select("event_id", F.size("items").alias("elements"), total.alias("total"))
-    )
 
 
 @query(

@@ -55,15 +55,15 @@ def page_metadata(spark, folder):
 @query(
     "direction_sort",
     """select punch_type, emp_id, ref_id, row_number() over (partition by punch_type
-    order by emp_id, punch_time, ref_id) - 1 as pos from si_punch where punch_type='I' and emp_id is not null
+    order by emp_id nulls first, punch_time, ref_id) - 1 as pos from si_punch where punch_type='I'
     union all select punch_type, emp_id, ref_id, row_number() over (partition by punch_type
-    order by emp_id desc, punch_time desc, ref_id desc) - 1 from si_punch
-    where punch_type='O' and emp_id is not null""",
+    order by emp_id desc nulls first, punch_time desc, ref_id desc) - 1 from si_punch
+    where punch_type='O'""",
     "si_punch",
 )
 def direction_sort(spark, folder):
     # The order key of one kind is negated, so one ascending order serves both.
-    punches = views(spark, folder)("si_punch").filter("emp_id is not null")
+    punches = views(spark, folder)("si_punch")
     sign = lookup(_c("punch_type"), {"I": 1, "O": -1})
     keyed = punches.select(
         "punch_type",

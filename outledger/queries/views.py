@@ -66,10 +66,10 @@ VIEWS: dict[str, tuple[str, str]] = {
         from {customer} join {nation} on c_nationkey=n_nationkey
         join {region} on n_regionkey=r_regionkey
         union all
-        select c_custkey, 'S', c_custkey*10+2, n_name,
+        select c_custkey, case when c_custkey%3=0 then 'T' else 'S' end, c_custkey*10+2, n_name,
         case when c_custkey%5=0 then null else r_name end
         from {customer} join {nation} on c_nationkey=n_nationkey
-        join {region} on n_regionkey=r_regionkey where not c_custkey%3=0""",
+        join {region} on n_regionkey=r_regionkey""",
     ),
     "si_contact": (
         "orders",

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from outledger.functions.dates import local_day
 from outledger.operators.filters import missing_reason, split_valid
+from outledger.operators.joins import anti
 from outledger.plans.attendance import DAY_KEY, new_punches
-from outledger.session import pin
+from outledger.session import pin, run_dir
 from outledger.sources.schemas import PUNCH_LOG
 
 PUNCH = "ref_id bigint, employee_id string, punch_type string, punch_time timestamp_ntz"
@@ -43,28 +46,42 @@ def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def ingest_batch(
-    punches: DataFrame, log_path: str, now: Column, timezone: str | None = None
-) -> None:
-    """Append the accepted punches of one batch to the log.
+    punches: DataFrame, log_path: str, now: Column, timezone: str | None = None, plan: str | None = None
+) -> int:
+    """Append the accepted punches of one batch to the log; returns how many the batch accepts.
 
     Only the log days that the batch holds punches of are read: the distinct days join the log on
-    its partition column. A batch that is replayed, wholly or after a partial write, finds its rows
-    in the log and adds just what is missing.
+    its partition column. With ``plan``, a folder of the batch's own, the accepted rows are written
+    there first: a replay, also after a partial append, takes them from there and adds just what the
+    log lacks, so it accepts and reports the same rows as the first attempt.
     """
     spark = punches.sparkSession
     day = local_day(F.col("punch_time"), timezone)
     days = pin(punches.select(day.alias("punch_day")).where("punch_day is not null").distinct())
     if days.isEmpty():
-        return
+        return 0
     log = read_log(spark, log_path).join(days, "punch_day", "left_semi")
-    fresh = new_punches(punches, log, now, timezone)
-    (
-        fresh.withColumn("punch_day", day)
-        .withColumn("ref_id", F.col("ref_id").cast("string"))
-        .write.mode("append")
-        .partitionBy("punch_day")
-        .parquet(log_path)
-    )
+    plan = plan or f"{run_dir(spark)}/punches-{uuid.uuid4().hex}"
+    if not written(spark, plan):
+        fresh = new_punches(punches, log, now, timezone).withColumn("punch_day", day)
+        seen = Observation()
+        counted = fresh.withColumn("ref_id", F.col("ref_id").cast("string")).observe(
+            seen, F.count(F.lit(1)).alias("n")
+        )
+        counted.write.mode("overwrite").parquet(plan)
+        accepted = seen.get.get("n", 0)
+    else:
+        accepted = spark.read.parquet(plan).count()
+    rows = spark.read.schema(LOG).parquet(plan)
+    missing = anti(rows, log, DAY_KEY).select(*rows.columns)
+    missing.write.mode("append").partitionBy("punch_day").parquet(log_path)
+    return accepted
+
+
+def written(spark: SparkSession, path: str) -> bool:
+    """Whether a folder has been written to its end."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)
 
 
 def side_paths(log_path: str) -> tuple[str, str]:
@@ -73,6 +90,9 @@ def side_paths(log_path: str) -> tuple[str, str]:
     return f"{base}_rejected", f"{base}_counts"
 
 
+COUNTS = "arrived bigint, rejected bigint, inserted bigint, duplicate bigint, batch bigint"
+
+
 def ingest_stream(
     punches: DataFrame,
     log_path: str,
@@ -83,25 +103,32 @@ def ingest_stream(
     """Process everything that has arrived, then stop; the checkpoint remembers what was read.
 
     Every batch also writes its rejected punches with their reason and one row of counts (arrived,
-    rejected, complete, log rows after it) into folders of its own beside the log, which a replay
-    replaces.
+    rejected, inserted, duplicate) into folders of its own beside the log, which a replay replaces by
+    equal ones. Arrived and rejected rows are observed on the write that stores the batch, inserted ones
+    on the write of its plan; the log is not counted.
     """
     rejected_path, counts_path = side_paths(log_path)
+    required = ["employee_id", "punch_time"]
 
     def run(batch: DataFrame, number: int) -> None:
-        arrived = pin(batch)
-        good, rejected = split_valid(arrived, ["employee_id", "punch_time"])
-        rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch={number}")
-        ingest_batch(good, log_path, now, timezone)
-        counts = arrived.agg(
-            F.count("*").alias("arrived"),
-            F.count_if(missing_reason(["employee_id", "punch_time"]).isNotNull()).alias("rejected"),
-        )
-        counts = counts.withColumn("complete", F.col("arrived") - F.col("rejected"))
-        stored = read_log(arrived.sparkSession, log_path).agg(F.count("*")).scalar()
-        counts.withColumn("log_rows", stored).write.mode("overwrite").parquet(
-            f"{counts_path}/batch={number}"
+        seen = Observation()
+        arrived = pin(
+            batch.observe(
+                seen,
+                F.count(F.lit(1)).alias("arrived"),
+                F.count_if(missing_reason(required).isNotNull()).alias("rejected"),
+                F.bit_xor(F.xxhash64(*batch.columns)).alias("print"),
+            )
         )
+        n, bad = seen.get.get("arrived", 0), seen.get.get("rejected", 0)
+        good, rejected = split_valid(arrived, required)
+        rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch={number}")
+        # Named by the rows too: another run's batch of that number is another batch.
+        plan = f"{log_path.rstrip('/')}_plans/{number}-{n}-{(seen.get.get('print') or 0) & (2**64 - 1):016x}"
+        inserted = ingest_batch(good, log_path, now, timezone, plan)
+        counts = (F.lit(v).cast("bigint").alias(c) for c, v in
+                  (("arrived", n), ("rejected", bad), ("inserted", inserted), ("duplicate", n - bad - inserted)))
+        arrived.sparkSession.range(1).select(*counts).write.mode("overwrite").parquet(f"{counts_path}/batch={number}")
 
     return (
         punches.writeStream.foreachBatch(run)
@@ -111,6 +138,11 @@ def ingest_stream(
     )
 
 
+def run_counts(spark: SparkSession, log_path: str) -> DataFrame:
+    """One row of counts per batch."""
+    return read_table(spark, side_paths(log_path)[1], COUNTS)
+
+
 def dedupe_stream(punches: DataFrame, lateness: str = "2 days") -> DataFrame:
     """First arrival per person, kind and day, with state bounded by the watermark.
 
@@ -136,16 +168,20 @@ def dedupe_to(
 
     The table at ``path`` is the state: a batch keeps the first of its own rows by ``ref_id`` and
     adds those whose person, kind and day the table does not know, reading only the days it
-    touches. Punches of days before the latest one already stored are also written to ``late_path``,
-    one folder per batch, so that they can be counted.
+    touches. Punches of days before the latest one of earlier batches are also written to
+    ``late_path``, one folder per batch, so that they can be counted. Each batch stores its own latest
+    day beside it and compares with those of lower numbers, so a replay finds the same rows late.
     """
+    newest_path = f"{late_path.rstrip('/')}_newest"
 
     def run(batch: DataFrame, number: int) -> None:
         timed = batch.filter("employee_id is not null and punch_time is not null")
         rows = pin(timed.withColumn("punch_day", F.to_date("punch_time")))
         spark = rows.sparkSession
         known = read_table(spark, path, rows.schema)
-        late = rows.filter(F.col("punch_day") < known.agg(F.max("punch_day")).scalar())
+        newest = read_table(spark, newest_path, "newest date, batch bigint").where(F.col("batch") < number)
+        late = rows.filter(F.col("punch_day") < newest.agg(F.max("newest")).scalar())
+        rows.agg(F.max("punch_day").alias("newest")).write.mode("overwrite").parquet(f"{newest_path}/batch={number}")
         late.write.mode("overwrite").parquet(f"{late_path}/batch={number}")
         days = pin(rows.select("punch_day").distinct())
         seen = known.join(days, "punch_day", "left_semi").select(*DAY_KEY)

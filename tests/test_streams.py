@@ -9,6 +9,7 @@ from outledger.functions.dates import moment
 from outledger.plans.attendance import new_punches
 from outledger.sources.schemas import PUNCH_LOG
 from outledger.streaming import punches as streams
+from outledger.streaming.replies import NO_REPLY, judged
 
 def now():
     return moment("2026-02-01 00:00:00")
@@ -124,7 +125,8 @@ def test_rejected_punches_are_stored_and_counted(spark, tmp_path):
     assert {r.reason for r in rejected.select("reason").collect()} == {"employee_id"}
     counts = spark.read.parquet(counts_path).orderBy("batch").collect()
     assert sum(r.arrived for r in counts) == 60 and sum(r.rejected for r in counts) == len(bad)
-    assert counts[-1].log_rows == log.count()
+    assert sum(r.inserted for r in counts) == log.count()
+    assert all(r.arrived == r.rejected + r.inserted + r.duplicate for r in counts)
 
 
 def test_counts_and_dedupe_take_late_files(spark, tmp_path):
@@ -149,3 +151,49 @@ def test_counts_and_dedupe_take_late_files(spark, tmp_path):
     changes = spark.read.parquet(str(tmp_path / "n"))
     latest = streams.latest_changes(changes, ["punch_day", "punch_type", "push_status"], "n")
     assert sorted((r.punch_day.day, r.n) for r in latest.collect()) == [(2, 3), (20, 2), (21, 1)]
+
+
+def test_replies_in_time_late_and_none(spark, tmp_path):
+    sent_schema = "batch_no long, sent_at timestamp_ntz"
+    reply_schema = "batch_no long, replied_at timestamp_ntz, ok boolean, error_message string"
+    at = lambda minute, second=0: f"2026-01-01 10:{minute:02d}:{second:02d}"
+
+    def step(name, sent, replies):
+        land(tmp_path / "sent", f"{name}.json", [{"batch_no": b, "sent_at": t} for b, t in sent])
+        rows = [{"batch_no": b, "replied_at": t, "ok": ok, "error_message": e} for b, t, ok, e in replies]
+        land(tmp_path / "replies", f"{name}.json", rows)
+        results = judged(
+            spark.readStream.schema(sent_schema).json(str(tmp_path / "sent")),
+            spark.readStream.schema(reply_schema).json(str(tmp_path / "replies")),
+        )
+        streams.append_to(results, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+        return sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect()), key=str)
+
+    first = step("a", [(1, at(0)), (2, at(0)), (3, at(0)), (4, at(0))], [(1, at(0, 5), True, None), (2, at(0, 30), False, "bad")])
+    assert first == [(1, True, None), (2, False, "bad")]  # 3 and 4 still wait
+    last = step("b", [(5, at(9))], [(3, at(0, 40), True, None), (5, at(9, 1), True, None)])
+    late = (False, NO_REPLY)
+    assert last == [(1, True, None), (2, False, "bad"), (3, *late), (4, *late), (5, True, None)]
+
+
+def test_counts_and_late_rows_survive_a_replay(spark, tmp_path):
+    rows = make_punches(80)
+    land(tmp_path / "in", "a.json", rows[:40])
+    land(tmp_path / "in", "b.json", rows[40:])
+    log = str(tmp_path / "log")
+    stream = lambda: streams.punch_files(spark, str(tmp_path / "in"), files_per_batch=1)
+    counts = lambda: sorted(map(tuple, streams.run_counts(spark, log).select(
+        "batch", "arrived", "rejected", "inserted", "duplicate").collect()))
+    streams.ingest_stream(stream(), log, str(tmp_path / "cp"), now()).awaitTermination()
+    before, kept = counts(), columns(streams.read_log(spark, log))
+    streams.ingest_stream(stream(), log, str(tmp_path / "cp2"), now()).awaitTermination()  # both batches again
+    assert counts() == before and columns(streams.read_log(spark, log)) == kept
+    assert sum(c[1] for c in before) == 80 and sum(c[3] for c in before) == len(kept)
+
+    late = str(tmp_path / "late")
+    for checkpoint in ("cp3", "cp4"):
+        streams.dedupe_to(stream(), str(tmp_path / "out"), late, str(tmp_path / checkpoint)).awaitTermination()
+        found = sorted(r.ref_id for r in spark.read.parquet(late).collect())
+        if checkpoint == "cp3":
+            first = found
+    assert found == first
