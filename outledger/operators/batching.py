@@ -15,10 +15,19 @@ _SLOT_BITS = 33  # monotonically_increasing_id keeps the row number in its low 3
 def with_position(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """0-based ``pos`` of every row in a unique order, and the row count as ``total``.
 
-    Rows are range-partitioned and sorted by the whole order, so equal leading
-    values still spread. The sorted rows are written once to shared storage;
-    one count per partition comes to the driver and goes back as a small table.
+    The rows are written once, so what leads to them runs once; only the order columns and a row
+    number are range-partitioned and sorted, by the whole order, so equal leading values still spread.
+    Positions then join the rows by number. One count per partition comes to the driver and goes back
+    as a small table. Rows that have no other columns are sorted as they are.
     """
+    if set(df.columns) - set(order):
+        rows = pin(df.withColumn("_row", F.monotonically_increasing_id()))
+        placed = _positions(rows.select(*order, "_row"), order)
+        return rows.join(placed.select("_row", "pos", "total"), "_row").drop("_row")
+    return _positions(df, order)
+
+
+def _positions(df: DataFrame, order: Sequence[str]) -> DataFrame:
     ranged = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)

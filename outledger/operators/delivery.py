@@ -55,6 +55,10 @@ def classify_response(df: DataFrame, status: str = "http_status", body: str = "b
     return df.withColumn("ok", accepted(F.col(status)) & ~body_failed(F.col(body)))
 
 
+# HTTP status codes lie below this.
+_CODES = 2048
+
+
 def retry_fold(
     attempts: DataFrame,
     keys: Sequence[str],
@@ -67,35 +71,48 @@ def retry_fold(
     Attempts end with the first accepted one (or the first 4xx, if that stops);
     otherwise the last allowed attempt decides and the request is exhausted.
     Later attempts in the log are counted, not used. Errors reported in a body
-    are final: they are judged on the accepted attempt.
+    are final: they are judged on the accepted attempt. Number, status and the
+    judgement of the body are packed into one number that both aggregates carry;
+    bodies themselves are not grouped, ``used_bodies`` fetches those that decided.
+    Of several log rows of one attempt the lower status counts if it ended the
+    request, else the higher.
     """
     status, number = F.col("http_status"), F.col("attempt")
     ends = accepted(status)
     if stop_on_4xx:
         ends = ends | ((status >= 400) & (status < 500))
     allowed = number <= max_attempts
-    reply = F.struct("attempt", "http_status", "body")
+    bad_body = F.coalesce(body_failed(F.col("body")), F.lit(False)) if check_body else F.lit(False)
+    code = F.coalesce(status.cast("bigint"), F.lit(-1)) + 1  # 0 stands for no status
+    packed = (number.cast("bigint") * _CODES + code) * 2 + bad_body.cast("bigint")
     folded = attempts.groupBy(*keys).agg(
-        F.min_by(reply, F.when(allowed & ends, number)).alias("_end"),
-        F.max_by(reply, F.when(allowed, number)).alias("_last"),
+        F.min(F.when(allowed & ends, packed)).alias("_end"),
+        F.max(F.when(allowed, packed)).alias("_last"),
         F.max(number).alias("_logged"),
     )
     used = F.coalesce("_end", "_last")
-    done = folded.withColumn("_used", used)
-    good = accepted(F.col("_used.http_status"))
-    if check_body:
-        good = good & ~body_failed(F.col("_used.body"))
+    of = dict(attempts.dtypes)
+    code_used = F.floor(used / 2) % _CODES
+    attempt = F.floor(used / (2 * _CODES)).cast(of["attempt"])
+    http = F.when(code_used > 0, code_used - 1).cast(of["http_status"])
+    done = folded.select("*", attempt.alias("_attempt"), http.alias("_http"))
+    good = accepted(F.col("_http")) & (used % 2 == 0)
     return done.select(
         *keys,
-        F.col("_used.attempt").alias("attempts_used"),
-        F.col("_used.http_status").alias("http_status"),
-        F.col("_used.body").alias("body"),
+        F.col("_attempt").alias("attempts_used"),
+        F.col("_http").alias("http_status"),
         good.alias("ok"),
-        (F.col("_end").isNull() & (F.col("_used.attempt") >= max_attempts)).alias("exhausted"),
-        (F.col("_logged") - F.col("_used.attempt")).alias("ignored_attempts"),
+        (F.col("_end").isNull() & (F.col("_attempt") >= max_attempts)).alias("exhausted"),
+        (F.col("_logged") - F.col("_attempt")).alias("ignored_attempts"),
     )
 
 
+def used_bodies(outcomes: DataFrame, attempts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``outcomes`` with the body of the attempt that decided; the least one where it was logged twice."""
+    bodies = attempts.groupBy(*keys, F.col("attempt").alias("attempts_used")).agg(F.min("body").alias("body"))
+    return outcomes.join(bodies, [*keys, "attempts_used"], "left")
+
+
 def wait_report(
     outcomes: DataFrame, keys: Sequence[str], base_ms: int, linear: bool
 ) -> DataFrame:

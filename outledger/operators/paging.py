@@ -13,6 +13,8 @@ from outledger.fixed_values import PAGE_DEFAULT, PAGE_MAX, PAGE_MIN, PENDING, RE
 from outledger.operators.aggregates import rollup_columns
 from outledger.operators.batching import with_position
 from outledger.operators.filters import FilterSpec, apply_filters, conditions
+from outledger.session import pin
+
 
 def clamp(page: int | None, limit: int | None) -> tuple[int, int]:
     """Page from 1, limit within its bounds."""
@@ -91,9 +93,11 @@ def worklist(
 
     Total and status counts come from one aggregate over the base, as a scalar
     subquery; only the page itself is sorted, as a top-n. ``tracked`` replaces the
-    rows whose states are counted where they are not the rows of the list.
+    rows whose states are counted where they are not the rows of the list. The base is computed and
+    written once; page and figures read the columns they need of it.
     """
     page, limit = clamp(page, limit)
+    base = pin(base)
     wanted = reduce(and_, conditions(spec), F.lit(True))
     total = F.count_if(wanted).alias("total")
     rollup = rollup_columns("push_status", statuses)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from outledger.functions.choose import lookup
 from outledger.operators import batching, paging
+from outledger.operators.stored_list import store_list
 from outledger.queries.q_aggregates import partner_states
 from outledger.queries.registry import query
 from outledger.queries.views import views
-from outledger.functions.choose import lookup
+from outledger.session import run_dir
 
 _c = F.col
 
@@ -52,6 +56,30 @@ def page_metadata(spark, folder):
     return paging.page_meta(views(spark, folder)("si_item").filter("valid = 'Y'"), 50)
 
 
+@query(
+    "stored_page",
+    """with o as (select *, row_number() over (order by o_orderdate, o_orderkey)-1 as pos from orders),
+    f as (select *, row_number() over (order by pos)-1 as r from o where o_orderstatus='F')
+    select 'all' as list, o_orderkey, o_totalprice, (select count(*) from o) as total_count from o
+    where pos>=(select count(*)//2//50*50 from o) and pos<(select count(*)//2//50*50+50 from o)
+    union all select 'F', o_orderkey, o_totalprice, (select count(*) from f) from f
+    where r>=(select count(*)//100*50 from f) and r<(select count(*)//100*50+50 from f)""",
+)
+def stored_page(spark, folder):
+    # The page in the middle of all orders by date, and the one in the middle of the finished ones.
+    orders = views(spark, folder)("orders").select("o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice")
+    path = f"{run_dir(spark)}/list-{uuid.uuid4().hex}"
+    stored = store_list(orders, path, ["o_orderdate", "o_orderkey"])
+    finished = _c("o_orderstatus") == "F"
+    stored.count_where("finished", finished)
+    middle = stored.total() // 2 // 50 + 1
+    done = stored.page(1, 50, "finished", finished).first()["total_count"]
+    shown = stored.page(middle, 50).withColumn("list", F.lit("all")).unionByName(
+        stored.page(done // 100 + 1, 50, "finished", finished).withColumn("list", F.lit("F"))
+    )
+    return shown.select("list", "o_orderkey", "o_totalprice", "total_count")
+
+
 @query(
     "direction_sort",
     """select punch_type, emp_id, ref_id, row_number() over (partition by punch_type

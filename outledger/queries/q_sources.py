@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from outledger.functions import choose
 from outledger.functions.dates import moment
 from outledger.operators import filters as flt
-from outledger.operators import joins
+from outledger.operators import joins, search
 from outledger.queries.registry import query
 from outledger.queries.views import AS_OF, views
+from outledger.session import run_dir
 from outledger.sources import tables as src
 
 SEGMENTS = [
@@ -291,6 +294,23 @@ def optional_filters(spark, folder):
     return flt.apply_filters(base, spec).select("bp_id", "bp_name", "grp", "push_status")
 
 
+@query(
+    "trigram_search",
+    """select 'OLT' as needle, item_id, item_name, brand from si_item where item_name ilike '%OLT%' or brand ilike '%OLT%'
+    union all select 'brand#1', item_id, item_name, brand from si_item
+    where item_name ilike '%brand#1%' or brand ilike '%brand#1%'
+    union all select '#2', item_id, item_name, brand from si_item where item_name ilike '%#2%' or brand ilike '%#2%'""",
+    "si_item",
+)
+def trigram_search(spark, folder):
+    items = views(spark, folder)("si_item").select("item_id", "item_name", "brand")
+    path, columns = f"{run_dir(spark)}/postings-{uuid.uuid4().hex}", ["item_name", "brand"]
+    search.store_postings(items, "item_id", columns, path)
+    needles = ("OLT", "brand#1", "#2")  # the last one is too short for a trigram
+    found = [search.search(spark, items, "item_id", columns, n, path).withColumn("needle", F.lit(n)) for n in needles]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 @query(
     "contains_search",
     "select item_id, item_name, brand from si_item where item_name ilike '%OLT%' or brand ilike '%OLT%'",
