@@ -170,13 +170,17 @@ def homes(owners: DataFrame) -> DataFrame:
     return owners.join(heavy, "owner", "left").select("anchor", shard.alias("shard"))
 
 
-def suspects(docs: DataFrame, owners: DataFrame) -> DataFrame:
+def anchor_lists(docs: DataFrame, owners: DataFrame) -> DataFrame:
+    """``doc_id, a``: the recurring anchors of every id with their shards."""
+    held = anchor_rows(docs).join(homes(owners), "anchor")
+    return held.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("anchor", "shard"))).alias("a"))
+
+
+def suspects(docs: DataFrame, lists: DataFrame) -> DataFrame:
     """Distinct documents with a recurring anchor: ``doc_id, text_key, text, anchors, homes``.
 
     ``homes`` holds the shard of each of the anchors; documents of one first shard lie together.
     """
-    held = anchor_rows(docs).join(homes(owners), "anchor")
-    lists = held.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("anchor", "shard"))).alias("a"))
     found = docs.join(lists, "doc_id").dropDuplicates(["doc_id", "text_key"])
     out = found.select(
         "doc_id", "text_key", "text",
@@ -412,10 +416,14 @@ def repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     ``ranges`` holds start and end of every located run, in words; runs may overlap.
     """
     docs = texts(df, doc_id, text).where("doc_id is not null").withColumn("text_key", text_key())
+    # Each shuffle ends with a written table, so its files are gone before the next one begins.
     owners = pin(anchor_owners(docs))
-    held = pin(suspects(docs, owners))
-    unpin(owners)
-    found = pin(passages(held, patterns(held)))
+    lists = pin(anchor_lists(docs, owners))
+    held = pin(suspects(docs, lists))
+    unpin(owners, lists)
+    owned = pin(patterns(held))
+    found = pin(passages(held, owned))
+    unpin(owned)
     visits = pin(stretches(held))
     runs = pin(located(visits, found))
     unpin(found, visits)
