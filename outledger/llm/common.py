@@ -47,7 +47,7 @@ def filtered(
         "row", F.col("row")[doc_id].cast("long").alias("doc_id"), F.col("row")[text].cast("string").alias("text")
     ).withColumn("text_key", text_key())
     if also is not None:
-        keyed = keyed.withColumn("text_key", F.xxhash64("text_key", F.col("row")[also]))
+        keyed = keyed.withColumn("text_key", F.xxhash64("text_key", F.col("row")[also].cast("string")))
     other = keys.select(F.col("doc_id").alias("of_doc"), F.col("text_key").alias("of_key"))
     same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_key") == F.col("of_key"))
     return keyed.drop("text").join(other, same, how)

@@ -157,15 +157,24 @@ def form(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+BLOCK = 256
 SPAN = "array<struct<start:int,end:int,match:string>>"
 
 
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def spans_of(text: Column, pattern: str) -> Column:
-    """Leftmost non-overlapping matches with offsets: lengths of the pieces between them add up."""
+    """Leftmost non-overlapping matches with offsets: lengths of the pieces between them add up.
+
+    A fold copies its array with every element, so pieces are folded in blocks of ``BLOCK`` and the
+    blocks then joined: a text with very many matches takes time in proportion to them.
+    """
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
     pairs = F.arrays_zip(pieces.alias("p"), matches.alias("m"))  # the last piece has no match
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
 
     def step(state: Column, pair: Column) -> Column:
         begin = state["at"] + F.length(pair["p"])
@@ -174,7 +183,22 @@ def spans_of(text: Column, pattern: str) -> Column:
         more = F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
         return F.when(pair["m"].isNull(), state).otherwise(more)
 
-    return F.aggregate(pairs, start, step, lambda state: state["out"])
+    def block(state: Column, part: Column) -> Column:
+        empty = F.struct(state["at"].alias("at"), F.array().cast(SPAN).alias("out"))
+        return bound(
+            F.aggregate(part, empty, step),
+            lambda x: F.struct(x["at"].alias("at"), F.concat(state["out"], F.array(x["out"])).alias("out")),
+        )
+
+    def whole(all_: Column) -> Column:
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / BLOCK).cast("int")),
+            lambda k: F.slice(all_, k * BLOCK + 1, F.lit(BLOCK)),
+        )
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+        return F.flatten(F.aggregate(blocks, start, block, lambda state: state["out"]))
+
+    return bound(pairs, whole)
 
 
 def guarded(text: Column, pattern: str, guard: str) -> Column:
@@ -465,8 +489,8 @@ def redacted_documents(
     """
     models = trained(candidates(df, doc_id, text))
     rows = select(candidates(df, doc_id, text, whole=True), models)
-    clean = redacted(F.col("row")[text], F.col("spans"))
-    out = rows.select("row.*", clean.alias("clean text")).withColumn(text, F.col("clean text"))
+    clean = rows.select("row", redacted(F.col("row")[text], F.col("spans")).alias("clean"))
+    new = {text: F.col("clean")}
     if length is not None:
-        out = out.withColumn(length, F.length("clean text").cast(df.schema[length].dataType))
-    return out.select(*(F.col(f"`{c}`") for c in df.columns))
+        new[length] = F.length("clean").cast(df.schema[length].dataType)
+    return clean.select(*(new.get(c, F.col("row")[c]).alias(c) for c in df.columns))

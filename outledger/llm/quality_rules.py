@@ -174,6 +174,5 @@ def kept_documents(
     """The rows of ``df`` that the rules keep, with all columns."""
     rows = quality(df, doc_id, text, host, limits)
     hosted = rows.where("kept").select("doc_id", F.xxhash64("text_key", "host").alias("text_key"))
-    whole = df.withColumn("row host", F.col(f"`{host}`").cast("string"))
-    found = filtered(whole, hosted, "left_semi", doc_id, text, "row host")
-    return found.select("row.*").drop("row host")
+    found = filtered(df, hosted, "left_semi", doc_id, text, host)
+    return found.select("row.*")

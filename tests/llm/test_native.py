@@ -249,3 +249,22 @@ def test_boosting_learns_and_calibrates():
     pii.calibrate(model, halves[1], 0.9)
     assert model.probability(1) > 0.85 and model.probability(5) < 0.2 and model.probability(0) < 0.2
     assert 0.5 <= model.threshold <= model.probability(1)
+
+
+def test_many_matches_in_one_text_and_clashing_names(spark):
+    text = " ".join(f"a{i}@b.example" for i in range(3000))
+    df = spark.createDataFrame([(1, text, "x", "y")], "doc_id long, text string, `clean text` string, clean string")
+    [row] = pii.redacted_documents(df).collect()
+    assert row.text == " ".join(["[EMAIL]"] * 3000) and row["clean text"] == "x" and row.clean == "y"
+    spans = spark.range(1).select(pii.spans_of(F.lit(text), pii.STRICT["email"]).alias("s")).first().s
+    assert [text[s.start : s.end] for s in spans] == text.split() and len(spans) == 3000
+    assert spark.range(1).select(pii.spans_of(F.lit(""), pii.STRICT["email"]).alias("s")).first().s == []
+
+
+def test_rules_keep_a_column_named_like_their_own(spark):
+    from outledger.llm import quality_rules
+
+    rng = random.Random(6)
+    good = " ".join("".join(rng.choices("aeinorst", k=rng.randint(3, 8))) for _ in range(120)) + "."
+    df = spark.createDataFrame([(1, good, "h", "mine"), (2, "short", "h", "b")], "doc_id long, text string, source string, `row host` string")
+    assert [(r.doc_id, r["row host"]) for r in quality_rules.kept_documents(df).collect()] == [(1, "mine")]
