@@ -93,6 +93,7 @@ def scheme_groups(t: Tables, schemes: DataFrame) -> DataFrame:
     )
 
 
+# Names of outgoing fields.
 GROUP_FIELDS = [
     "MappingID",
     "GroupCode",
@@ -168,6 +169,7 @@ def scheme_products(t: Tables, schemes: DataFrame) -> DataFrame:
     )
 
 
+# Names of outgoing fields.
 PRODUCT_FIELDS = [
     "ProductCode",
     "SizeCode",
