@@ -14,7 +14,7 @@ also stand in a document with a smaller id is removed; windows are judged on the
    stay together; owners with very many anchors are spread. There are as many shards as keep an
    automaton at about ``PATTERNS`` windows. The stretches of a document under recurring anchors go to
    the shards of these anchors, which hold every pattern they can contain; the rest of its text cannot
-   match. Shards with many stretches are dealt to several tasks, each with a copy of the patterns.
+   match. Nor can windows under anchors whose smallest id is the document's own: no smaller id holds them. Shards with many stretches are dealt to several tasks, each with a copy of the patterns.
 4. Automata. A task reads the passages of a shard, numbers their words, compiles one automaton
    (pyahocorasick over word numbers) with every window and its owner, and streams the shard's
    stretches through it. A hit of a smaller owner marks its words. Matches compare whole words,
@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import compress
 
 import ahocorasick
 import numpy as np
@@ -161,30 +162,32 @@ def anchor_owners(docs: DataFrame) -> DataFrame:
 
 
 def homes(owners: DataFrame) -> DataFrame:
-    """``anchor, shard``: anchors of one owner together, unless they are very many."""
+    """``anchor, owner, shard``: anchors of one owner together, unless they are very many."""
     shards = max(1, -(-owners.count() * (WINDOW - ANCHOR + 2) // (2 * PATTERNS)))
     heavy = owners.groupBy("owner").agg(F.ceil(F.count("*") / OWNER_ANCHORS).cast("int").alias("parts"))
     heavy = heavy.where("parts > 1")
     part = F.pmod("anchor", F.coalesce("parts", F.lit(1)))
     shard = F.pmod(F.xxhash64("owner", part), F.lit(shards)).cast("int")
-    return owners.join(heavy, "owner", "left").select("anchor", shard.alias("shard"))
+    return owners.join(heavy, "owner", "left").select("anchor", "owner", shard.alias("shard"))
 
 
 def anchor_lists(docs: DataFrame, owners: DataFrame) -> DataFrame:
-    """``doc_id, a``: the recurring anchors of every id with their shards."""
+    """``doc_id, a``: the recurring anchors of every id with their shards, and whether a smaller id holds them."""
     held = anchor_rows(docs).join(homes(owners), "anchor")
-    return held.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("anchor", "shard"))).alias("a"))
+    later = (F.col("owner") < F.col("doc_id")).alias("later")
+    return held.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("anchor", "shard", later))).alias("a"))
 
 
 def suspects(docs: DataFrame, lists: DataFrame) -> DataFrame:
-    """Distinct documents with a recurring anchor: ``doc_id, text_key, text, anchors, homes``.
+    """Distinct documents with a recurring anchor: ``doc_id, text_key, text, anchors, homes, later``.
 
-    ``homes`` holds the shard of each of the anchors; documents of one first shard lie together.
+    ``homes`` holds the shard of each of the anchors, ``later`` whether a smaller id holds it; documents
+    of one first shard lie together.
     """
     found = docs.join(lists, "doc_id").dropDuplicates(["doc_id", "text_key"])
     out = found.select(
         "doc_id", "text_key", "text",
-        F.col("a.anchor").alias("anchors"), F.col("a.shard").alias("homes"),
+        F.col("a.anchor").alias("anchors"), F.col("a.shard").alias("homes"), F.col("a.later").alias("later"),
     )
     first = F.array_min("homes")
     spread = F.pmod(F.col("text_key"), F.lit(16))
@@ -288,12 +291,14 @@ def stretches(held: DataFrame) -> DataFrame:
     schema = arrow_schema(held.sparkSession, STRETCH)
 
     def run(batches):
-        for rows, texts_ in chunks(batches):
-            own = [sorted_anchors(r[1], r[2]) for r in rows]
+        for every, found in chunks(batches):
+            rows = [r for r in every if any(r[4])]
+            texts_ = [text for r, text in zip(every, found, strict=True) if any(r[4])]
+            own = [sorted_anchors(list(compress(r[1], r[4])), list(compress(r[2], r[4]))) for r in rows]
             out = [(home, rows[i][0], rows[i][3], at, text) for i, home, at, text in cut_runs(texts_, own)]
             yield batch_of(out, schema)
 
-    return held.select("doc_id", "text", "anchors", "homes", "text_key").mapInArrow(run, STRETCH)
+    return held.select("doc_id", "text", "anchors", "homes", "text_key", "later").mapInArrow(run, STRETCH)
 
 
 def batch_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:

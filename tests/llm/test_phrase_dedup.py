@@ -78,6 +78,16 @@ def test_given_documents(spark):
     assert result(rows) == brute([(r.doc_id, r.text) for r in rows.collect()])
 
 
+def test_smallest_holder_is_not_streamed(spark):
+    words = " ".join(f"k{i}" for i in range(40))
+    docs = [(5, words), (7, "a " + words), (9, words + " b"), (11, "c " * 40)]
+    df = pd_.texts(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text")
+    df = df.withColumn("text_key", pd_.text_key())
+    held = pd_.pin(pd_.suspects(df, pd_.anchor_lists(df, pd_.pin(pd_.anchor_owners(df)))))
+    assert {r.doc_id for r in held.collect()} == {5, 7, 9}
+    assert {r.doc_id for r in pd_.stretches(held).collect()} == {7, 9}
+
+
 def test_kept_texts(spark):
     words = [f"k{i}" for i in range(20)]
     docs = [(1, " ".join(words)), (2, "a " + " ".join(words[:14]) + " b"), (3, None)]
