@@ -22,7 +22,7 @@ from outledger.queries.registry import query
 from outledger.queries.sample_rules import RULES
 from outledger.queries.views import erp, views
 from outledger.session import scratch_dir
-from outledger.sources.pages import PAGE, chain_faults, folder_of, page_records, read_pages
+from outledger.sources.pages import PAGE, chain_faults, folder_of, linked_pages, page_records, read_pages
 from outledger.streaming import punches as streams
 from outledger.streaming.replies import NO_REPLY, judged
 
@@ -55,11 +55,8 @@ def paged_json_source(spark, folder):
     pages = nest_lists(
         {"records": ChildList(punches.withColumn("r", record), ["r"], ["ref_id"])}, "day"
     )
-    url = F.concat_ws("/", F.lit("/next"), _c("day"), _c("part_no"))
-    following = F.lead(url).over(Window.partitionBy(F.trunc("day", "year")).orderBy("day", "part_no"))
-    linked = pages.withColumn("url", url).withColumn("next", following)
     # One extract a year of punches.
-    body = linked.select(
+    body = linked_pages(pages, punches).select(
         F.year("day").alias("year"), "url", _c("next").isNull().alias("done"), _c("next").alias("nextRecordsUrl"),
         F.transform("records", lambda x: x["r"]).alias("records"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from outledger.session import pin
@@ -47,6 +47,30 @@ def folder_of(pages: DataFrame) -> Column:
     return F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
 
 
+def linked_pages(pages: DataFrame, days: DataFrame) -> DataFrame:
+    """``pages`` (day, part_no, parts, ...) with their cursor ``url`` and ``next``, that of the page after each.
+
+    An extract is a year, in order of day and part; its last page has no next. Inside a day the next
+    part is known, so only the calendar is put in order: pages of a year never meet in one task. The
+    calendar, a row a day, is sent to the pages.
+    """
+    later = F.lead("day").over(Window.partitionBy(F.trunc("day", "year")).orderBy("day"))
+    calendar = days.select("day").distinct().select(F.col("day").alias("_day"), later.alias("_later"))
+
+    def cursor(day: Column, part: Column) -> Column:
+        return F.concat_ws("/", F.lit("/next"), day, part)
+
+    day, part = F.col("day"), F.col("part_no")
+    following = F.when(part + 1 < F.col("parts"), cursor(day, part + 1)).when(
+        F.col("_later").isNotNull(), cursor(F.col("_later"), F.lit(0))
+    )
+    return (
+        pages.join(F.broadcast(calendar), day.eqNullSafe(F.col("_day")), "left")
+        .withColumns({"url": cursor(day, part), "next": following})
+        .drop("_day", "_later")
+    )
+
+
 def chain_places(links: DataFrame) -> DataFrame:
     """``extract, url, steps, open``: how many pages follow a page, by list ranking.
 

@@ -2,7 +2,10 @@
 
 from itertools import groupby
 
+from pyspark.sql import functions as F
+
 from outledger.operators import joins
+from outledger.sources.pages import linked_pages
 
 
 def test_rows_of_a_concatenated_key_are_written_as_repeated_runs(spark):
@@ -20,3 +23,30 @@ def test_rows_of_a_concatenated_key_are_written_as_repeated_runs(spark):
     runs = [(j, [r.i for r in run], key) for (j, key), run in groupby(rows, lambda r: (r.j, r.b))]
     assert len(runs) == 90
     assert len({(key, tuple(run)) for _, run, key in runs}) == 3
+
+
+def test_pages_of_a_year_are_linked_without_meeting_in_one_task(spark):
+    # Day, its parts: two years, a gap in the calendar, and punches without a day.
+    days = [("2023-12-30", 2), ("2024-01-01", 3), ("2024-01-05", 1), ("2024-03-01", 2), (None, 2)]
+    rows = [(d, part, n, [part]) for d, n in days for part in range(n)]
+    pages = spark.createDataFrame(rows, "day string, part_no int, parts int, records array<int>").withColumn(
+        "day", F.col("day").cast("date")
+    )
+    linked = linked_pages(pages, pages)
+    assert {(r.url, r.next) for r in linked.collect()} == {
+        ("/next/2023-12-30/0", "/next/2023-12-30/1"), ("/next/2023-12-30/1", None),
+        ("/next/2024-01-01/0", "/next/2024-01-01/1"), ("/next/2024-01-01/1", "/next/2024-01-01/2"),
+        ("/next/2024-01-01/2", "/next/2024-01-05/0"), ("/next/2024-01-05/0", "/next/2024-03-01/0"),
+        ("/next/2024-03-01/0", "/next/2024-03-01/1"), ("/next/2024-03-01/1", None),
+        ("/next/0", "/next/1"), ("/next/1", None),
+    }
+    # What is put in order per year holds no records.
+    plan = [linked._jdf.queryExecution().optimizedPlan()]
+    windows = []
+    while plan:
+        node = plan.pop()
+        children = node.children()
+        plan += [children.apply(i) for i in range(children.size())]
+        if node.nodeName() == "Window":
+            windows.append(node.output().mkString(" "))
+    assert len(windows) == 1 and "records" not in windows[0]
