@@ -15,6 +15,7 @@ from outledger.operators.nesting import ChildList, constant_list, nest_lists
 from outledger.operators.ranking import first_by
 from outledger.plans.items import Tables
 from outledger.rules import Rules
+from outledger.session import pin
 
 _c = F.col
 
@@ -27,11 +28,21 @@ def valid_schemes(t: Tables, as_of: str) -> DataFrame:
     return valid_at(t["schemes"], "U_FrmDt", "U_ToDt", moment(as_of))
 
 
+def lines_of(t: Tables, schemes: DataFrame) -> DataFrame:
+    """The lines of the schemes."""
+    return where_exists(t["scheme_lines"], schemes, "DocEntry")
+
+
 def scheme_headers(
-    t: Tables, schemes: DataFrame, rules: Rules, now: Column, number: str = "DocEntry"
+    t: Tables,
+    schemes: DataFrame,
+    rules: Rules,
+    now: Column,
+    number: str = "DocEntry",
+    lines: DataFrame | None = None,
 ) -> DataFrame:
     """One row per scheme that has lines; discount kind and brand come from its first line."""
-    lines = where_exists(t["scheme_lines"], schemes, "DocEntry")
+    lines = lines_of(t, schemes) if lines is None else lines
     first = first_by(lines, ["DocEntry"], LINE_ORDER).select("DocEntry", "U_Discunt", "U_bran")
     return schemes.join(first, "DocEntry").select(
         F.concat_ws("", "Object", _c(number).cast("string")).alias("PolicyNumber"),
@@ -51,30 +62,47 @@ def scheme_headers(
     )
 
 
-def scheme_states(t: Tables, schemes: DataFrame) -> DataFrame:
+def scheme_states(t: Tables, schemes: DataFrame, lines: DataFrame | None = None) -> DataFrame:
     """Distinct (PolicyID, StateCode): names of the states on the lines of a scheme."""
-    lines = where_exists(t["scheme_lines"], schemes, "DocEntry")
+    lines = lines_of(t, schemes) if lines is None else lines
     codes = lines.select("DocEntry", _c("U_Stat").alias("Code")).distinct()
     return codes.join(t["states"], "Code").select(
         _c("DocEntry").alias("PolicyID"), _c("Name").alias("StateCode")
     ).distinct()
 
 
-def scheme_groups(t: Tables, schemes: DataFrame) -> DataFrame:
-    """First line per (group, style) of a scheme, with the alternates of the group.
-
-    Items only contribute the styles of a group, so they are reduced to distinct
-    (group, style) pairs first; lines are never multiplied by items.
-    """
-    styles = (
+def group_styles(t: Tables) -> DataFrame:
+    """Distinct (group, style) of the valid items."""
+    return (
         t["items"]
         .filter("validFor = 'Y' and U_SubGrp4 is not null")
         .select(F.rtrim("U_SubGrp7").alias("U_Qual"), _c("U_SubGrp4").alias("StyleCode"))
         .distinct()
     )
-    lines = where_exists(t["scheme_lines"], schemes, "DocEntry")
-    lines = lines.withColumn("U_Qual", F.rtrim("U_Qual"))
-    per_group = first_by(lines, ["DocEntry", "U_Qual"], LINE_ORDER)
+
+
+def group_lines(lines: DataFrame) -> DataFrame:
+    """The first line per group of a scheme."""
+    return first_by(lines.withColumn("U_Qual", F.rtrim("U_Qual")), ["DocEntry", "U_Qual"], LINE_ORDER)
+
+
+def scheme_group_counts(t: Tables, lines: DataFrame) -> DataFrame:
+    """Rows of ``scheme_groups`` per scheme (PolicyID, n), without forming them."""
+    styles = group_styles(t).groupBy("U_Qual").agg(F.count("*").alias("_styles"))
+    groups = lines.select("DocEntry", F.rtrim("U_Qual").alias("U_Qual")).distinct()
+    return groups.join(styles, "U_Qual").groupBy(_c("DocEntry").alias("PolicyID")).agg(
+        F.sum("_styles").alias("n")
+    )
+
+
+def scheme_groups(t: Tables, schemes: DataFrame, lines: DataFrame | None = None) -> DataFrame:
+    """First line per (group, style) of a scheme, with the alternates of the group.
+
+    Items only contribute the styles of a group, so they are reduced to distinct
+    (group, style) pairs first; lines are never multiplied by items.
+    """
+    styles = group_styles(t)
+    per_group = group_lines(lines_of(t, schemes) if lines is None else lines)
     group = _c("U_Qual")
     return per_group.join(styles, "U_Qual").select(
         _c("DocEntry").alias("PolicyID"),
@@ -189,23 +217,28 @@ PRODUCT_FIELDS = [
 def scheme_documents(
     t: Tables, schemes: DataFrame, rules: Rules, now: Column, part_rows: int = 10_000
 ) -> DataFrame:
-    """One document per scheme, in chunks."""
-    headers = scheme_headers(t, schemes, rules, now)
+    """One document per scheme, in chunks.
+
+    The lines are stored once; headers, states and groups read them.
+    """
+    lines = pin(lines_of(t, schemes).select("DocEntry", *LINE_ORDER))
+    headers = scheme_headers(t, schemes, rules, now, lines=lines)
     # The states of a scheme are bounded by the state dimension, so they stay whole
     # and repeat on every part.
     states = nest_lists(
-        {"states": ChildList(scheme_states(t, schemes), ["StateCode"], ["StateCode"])},
+        {"states": ChildList(scheme_states(t, schemes, lines), ["StateCode"], ["StateCode"])},
         "PolicyID",
         part_rows=None,
     ).select("PolicyID", "states")
     groups = nest_lists(
         {
             "groups": ChildList(
-                scheme_groups(t, schemes), GROUP_FIELDS, ["GroupCode", "StyleCode"]
+                scheme_groups(t, schemes, lines), GROUP_FIELDS, ["GroupCode", "StyleCode"]
             )
         },
         "PolicyID",
         part_rows,
+        scheme_group_counts(t, lines),
     )
     docs = headers.join(states, "PolicyID", "left").join(groups, "PolicyID", "left")
     no_product = {"ProductCode": None, "SizeCode": None, "ColorCode": None}

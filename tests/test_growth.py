@@ -4,7 +4,11 @@ from itertools import groupby
 
 from pyspark.sql import functions as F
 
+from outledger.functions.dates import moment
 from outledger.operators import joins
+from outledger.plans import schemes
+from outledger.queries.sample_rules import RULES
+from outledger.session import pin
 from outledger.sources.pages import linked_pages
 
 
@@ -50,3 +54,24 @@ def test_pages_of_a_year_are_linked_without_meeting_in_one_task(spark):
         if node.nodeName() == "Window":
             windows.append(node.output().mkString(" "))
     assert len(windows) == 1 and "records" not in windows[0]
+
+
+def test_lines_of_schemes_are_made_once_and_groups_counted_unformed(spark):
+    line = "DocEntry bigint, LineId int, U_Qual string, U_bran string, U_Discunt string, U_Stat string, " \
+           "U_BillsQty decimal(18,6), U_OffersQty decimal(18,6), made_by int"
+    rows = [(d, i, f"G{i % 3}" + " " * (i % 2), "B", "Quantity", None, None, None, 1) for d in (1, 2, 9) for i in range(6)]
+    made = pin(spark.createDataFrame(rows, line).repartition(1))
+    items = spark.createDataFrame(
+        [("Y", "G0", "s1"), ("Y", "G0 ", "s2"), ("Y", "G1", "s1"), ("N", "G2", "s1"), ("Y", "G2", None)],
+        "validFor string, U_SubGrp7 string, U_SubGrp4 string",
+    )
+    wanted = spark.createDataFrame([(i, "S", str(i)) for i in (1, 2, 3)], "DocEntry bigint, Object string, Remark string")
+    states = spark.createDataFrame([("1", "one")], "Code string, Name string")
+    t = {"scheme_lines": made, "items": items, "states": states}
+    counts = schemes.scheme_group_counts(t, schemes.lines_of(t, wanted)).collect()
+    formed = schemes.scheme_groups(t, wanted).groupBy("PolicyID").count().collect()
+    assert {tuple(r) for r in counts} == {tuple(r) for r in formed} == {(1, 3), (2, 3)}
+    docs = schemes.scheme_documents(t, wanted, RULES, moment("2024-01-01 00:00:00"))
+    assert {r.PolicyID: len(r.Policy.SC_ProdGroupMapping) for r in docs.collect()} == {1: 3, 2: 3}
+    files = {f.rsplit("/", 2)[-2] for f in docs.inputFiles() if "pinned-" in f}
+    assert made.pinned_at.rsplit("/", 1)[1] not in files and len(files) == 1
