@@ -68,6 +68,16 @@ def where_in(df: DataFrame, column: str, sub: DataFrame, sub_column: str) -> Dat
     return where_exists(df, sub.select(F.col(sub_column).alias(column)), column)
 
 
+def where_listed(df: DataFrame, column: str, sub: DataFrame) -> DataFrame:
+    """``where_exists`` on one column, tested on the rows that ``df`` is made from.
+
+    Spark moves an IN filter below joins and groupings that keep ``column``, which it does not do
+    with a semi-join: rows without a match are gone before those shuffle.
+    """
+    text = f"select * from {{df}} where `{column}` in (select `{column}` from {{keys}})"
+    return df.sparkSession.sql(text, df=df, keys=_keys(sub, column))
+
+
 def anti(new: DataFrame, existing: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Rows without a match: the insert half of insert-if-absent."""
     return new.join(_keys(existing, key), key, "left_anti")

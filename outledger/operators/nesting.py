@@ -86,7 +86,12 @@ def nest_lists(
 
 
 def _folded(tall: DataFrame, key: str, lists: Mapping[str, ChildList]) -> DataFrame:
-    return tall.groupBy(key, "part_no").agg(*[_ordered(name).alias(name) for name in lists])
+    return tall.groupBy(key, "part_no").agg(*[_ordered(F.col(name)).alias(name) for name in lists])
+
+
+def ordered_list(order: Sequence[str], fields: Sequence[str]) -> Column:
+    """Aggregate: all rows of a group, bounded by a constant, as one ordered list of ``fields``."""
+    return _ordered(F.struct(F.struct(*order).alias("o"), F.struct(*fields).alias("v")))
 
 
 def heads(docs: DataFrame) -> DataFrame:
@@ -100,8 +105,8 @@ def places(docs: DataFrame, name: str, part_rows: int = PART_ROWS) -> DataFrame:
     return rows.withColumn("pos", F.col("part_no") * part_rows + F.col("_at")).drop("_at")
 
 
-def _ordered(name: str) -> Column:
-    sorted_rows = F.array_sort(F.collect_list(name))
+def _ordered(element: Column) -> Column:
+    sorted_rows = F.array_sort(F.collect_list(element))
     return none_if_empty(F.transform(sorted_rows, lambda row: row["v"]))
 
 

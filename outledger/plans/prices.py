@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from outledger.functions.choose import null_default, pick
 from outledger.functions.dates import moment
 from outledger.operators.filters import exclude_values, valid_at
-from outledger.operators.joins import where_exists
-from outledger.operators.nesting import ChildList, distinct_children, nest_lists
-from outledger.operators.ranking import first_by, prefer
+from outledger.operators.joins import where_exists, where_listed
+from outledger.operators.nesting import ChildList, nest_lists, ordered_list
+from outledger.operators.ranking import first_by, union_sources
 from outledger.plans.items import SIZE_KEY, Tables, item_size_key, size_key
 from outledger.rules import Rules
 
@@ -26,21 +26,25 @@ def size_prices(t: Tables, rules: Rules, as_of: str) -> DataFrame:
     The books are reduced to that before any item is joined: which row wins does not depend on the
     item, so items sharing a key never multiply price rows. Nor does it depend on the state within a
     document, which offers all its prices in all its states: the best price per document and size key
-    is taken first, and only these meet the document's states.
+    is taken first, and only these meet the document's states. Lines, prices and states of other than
+    valid books are dropped before anything else is done with them.
     """
-    prices = t["size_book_prices"].filter("U_MRP > 0 and U_SelPrice > 0").select(
+    books = valid_at(t["size_books"], "U_ValidFrom", "U_ValidTo", moment(as_of)).select("DocEntry")
+
+    def valid(role: str) -> DataFrame:
+        return where_listed(t[role], "DocEntry", books)
+
+    prices = valid("size_book_prices").filter("U_MRP > 0 and U_SelPrice > 0").select(
         "DocEntry", _c("U_UniqID").alias("PriceID"), "U_Size",
         _c("U_SelPrice").alias("Price"), _c("U_MRP").alias("MRP"),
     )
-    books = valid_at(t["size_books"], "U_ValidFrom", "U_ValidTo", moment(as_of)).select("DocEntry")
-    states = t["size_book_states"].filter("U_Selected = 'Y'").select(
+    states = valid("size_book_states").filter("U_Selected = 'Y'").select(
         _c("DocEntry").alias("PriceListID"), _c("U_Code").alias("SubBrandCode")
     )
-    lines = exclude_values(t["size_book_lines"], "U_SubGroup1", rules.excluded_brands, trimmed=True)
-    valid = where_exists(lines, books, "DocEntry").select(
-        "DocEntry", _c("LineId").alias("PriceID"), "U_SubGroup7", "U_SubGroup4", "U_SubGroup1"
-    )
-    rows = prices.join(valid, ["DocEntry", "PriceID"]).select(
+    lines = exclude_values(
+        valid("size_book_lines"), "U_SubGroup1", rules.excluded_brands, trimmed=True
+    ).select("DocEntry", _c("LineId").alias("PriceID"), "U_SubGroup7", "U_SubGroup4", "U_SubGroup1")
+    rows = prices.join(lines, ["DocEntry", "PriceID"]).select(
         _c("DocEntry").alias("PriceListID"), "PriceID", "Price", "MRP",
         *size_key("U_SubGroup7", "U_SubGroup4", "U_SubGroup1", "U_Size"),
     )
@@ -73,9 +77,17 @@ def item_prices(t: Tables, rules: Rules) -> DataFrame:
 
 
 def price_rows(t: Tables, rules: Rules, as_of: str) -> DataFrame:
-    """One price per item and state: the size book where it has one, else the item book."""
-    items = t["items"].filter("validFor = 'Y'").select(
-        "ItemCode", "ItemName", "U_SubGrp1", *item_size_key()
+    """One price per item and state: the size book where it has one, else the item book.
+
+    All rows of an item are in one partition, so grouping them further by item shuffles nothing.
+    """
+    # Equal keys fold first: repeated items, also those without a code, do not multiply prices.
+    items = (
+        t["items"]
+        .filter("validFor = 'Y'")
+        .select("ItemCode", "ItemName", "U_SubGrp1", *item_size_key())
+        .groupBy("ItemCode", "U_SubGrp1", *SIZE_KEY)
+        .agg(F.min("ItemName").alias("ItemName"))
     )
     no_code = F.lit(None).cast("string")
     from_size = items.join(size_prices(t, rules, as_of), SIZE_KEY).withColumn(
@@ -83,28 +95,36 @@ def price_rows(t: Tables, rules: Rules, as_of: str) -> DataFrame:
     )
     from_item = items.join(item_prices(t, rules), "ItemCode")
 
-    def shaped(df: DataFrame) -> DataFrame:
+    # Items x states are shuffled once, and without the columns that are the same in every row.
+    def narrow(df: DataFrame) -> DataFrame:
         by_code = F.rtrim("U_SubGrp1") == F.lit(rules.catalogue_brand.rstrip(" "))
         return df.select(
             _c("ItemCode").alias("ProductCode"),
             "PriceListID",
             "SubBrandCode",
             pick(by_code, _c("U_CatalgCode"), _c("ItemName")).alias("BPProductName"),
-            _c("SubBrandCode").alias("PriceListCode"),
-            no_code.alias("EffectiveFrom"),
-            no_code.alias("EffectiveTo"),
-            F.lit(1).alias("PriceListIsActive"),
-            F.lit(rules.dealer_name).alias("BPCategory"),
             "Price",
             "MRP",
             "PriceID",
-            F.lit(1).alias("PriceIsActive"),
         )
 
-    best = prefer(
-        [shaped(from_size), shaped(from_item)], ["ProductCode", "SubBrandCode"], PRICE_ORDER
+    offers = union_sources([narrow(from_size), narrow(from_item)]).repartition("ProductCode")
+    best = first_by(offers, ["ProductCode", "SubBrandCode"], ["source_priority", *PRICE_ORDER])
+    return best.select(
+        "ProductCode",
+        "PriceListID",
+        "SubBrandCode",
+        "BPProductName",
+        _c("SubBrandCode").alias("PriceListCode"),
+        no_code.alias("EffectiveFrom"),
+        no_code.alias("EffectiveTo"),
+        F.lit(1).alias("PriceListIsActive"),
+        F.lit(rules.dealer_name).alias("BPCategory"),
+        "Price",
+        "MRP",
+        "PriceID",
+        F.lit(1).alias("PriceIsActive"),
     )
-    return best.drop("source_priority")
 
 
 def book_entries(t: Tables, rules: Rules) -> DataFrame:
@@ -153,35 +173,11 @@ def price_documents(
 ) -> DataFrame:
     """Item -> price lists -> prices, as two successive groupings.
 
-    ``part_rows=None`` suits the full extract: one price per item and state. Rows
+    ``part_rows=None`` suits the full extract: one price per item and state. Rows are then read once,
+    and every grouping keeps to partitions by ``ProductCode`` if the rows have them. Otherwise rows
     are read more than once, so an expensive extract is pinned first.
     """
-    entry = F.struct(
-        _c("ProductCode").alias("product"),
-        _c("PriceListID").alias("id"),
-        F.coalesce("PriceListCode", F.lit("")).alias("code"),
-    )
-    keyed = rows.withColumn("entry", entry)
-    order = ["PriceID", "SubBrandCode", "Price", "MRP"]
-    # A price without an id is its own child key, so null must compare like a value.
-    prices = distinct_children(
-        keyed.select(
-            "entry", "PriceID", "SubBrandCode", "BPCategory", "Price", "MRP", "PriceIsActive"
-        ),
-        "entry",
-        ["PriceID"],
-        order[1:],
-    ).select(
-        "entry",
-        _c("entry.id").alias("PriceListID"),
-        "PriceID",
-        "BPCategory",
-        null_default(_c("Price"), F.lit(0)).alias("Price"),
-        null_default(_c("MRP"), F.lit(0)).alias("MRP"),
-        null_default(_c("PriceIsActive"), F.lit(1)).alias("IsActive"),
-    )
-    fields = ["PriceListID", "PriceID", "BPCategory", "Price", "MRP", "IsActive"]
-    inner = nest_lists({"Prices": ChildList(prices, fields, ["PriceID"])}, "entry", part_rows)
+    entry = ["ProductCode", "PriceListID", "_code"]
     head_fields = [
         "SubBrandCode",
         "BPProductName",
@@ -190,16 +186,40 @@ def price_documents(
         "EffectiveTo",
         "PriceListIsActive",
     ]
-    heads = keyed.groupBy("entry").agg(
-        F.min_by(F.struct(*head_fields), F.struct(*order)).alias("h")
+    order = ["PriceID", "SubBrandCode", "Price", "MRP"]
+    keyed = rows.withColumn("_code", F.coalesce("PriceListCode", F.lit("")))
+    # A price without an id is its own child key, so null must compare like a value. The first price
+    # of a list is also the first of its rows, which gives the list its head.
+    kept = [*head_fields, "BPCategory", "Price", "MRP", "PriceIsActive"]
+    best = keyed.groupBy(*entry, "PriceID").agg(
+        F.min_by(F.struct(*kept), F.struct(*order[1:])).alias("_row")
+    )
+    prices = best.select(
+        *entry,
+        "PriceID",
+        F.struct(*[_c(f"_row.{c}").alias(c) for c in head_fields]).alias("_head"),
+        _c("_row.BPCategory").alias("BPCategory"),
+        null_default(_c("_row.Price"), F.lit(0)).alias("Price"),
+        null_default(_c("_row.MRP"), F.lit(0)).alias("MRP"),
+        null_default(_c("_row.PriceIsActive"), F.lit(1)).alias("IsActive"),
     )
-    lists = heads.join(inner, "entry").select(
-        _c("entry.product").alias("ProductCode"),
-        _c("entry.id").alias("PriceListID"),
-        _c("entry.code").alias("_code"),
+    fields = ["PriceListID", "PriceID", "BPCategory", "Price", "MRP", "IsActive"]
+    head = F.min_by("_head", F.struct("PriceID")).alias("h")
+    if part_rows is None:
+        inner = prices.groupBy(*entry).agg(
+            head, ordered_list(["PriceID"], fields).alias("Prices")
+        ).withColumn("part_no", F.lit(0))
+    else:
+        keys = prices.withColumn("entry", F.struct(*entry))
+        chunks = nest_lists({"Prices": ChildList(keys, fields, ["PriceID"])}, "entry", part_rows)
+        inner = keys.groupBy("entry").agg(head).join(chunks, "entry").select("*", "entry.*")
+    lists = inner.select(
+        "ProductCode",
+        "PriceListID",
+        "_code",
         _c("part_no").alias("_part"),
         _c("h.SubBrandCode").alias("SubBrandCode"),
-        null_default(_c("h.BPProductName"), _c("entry.product")).alias("BPProductName"),
+        null_default(_c("h.BPProductName"), _c("ProductCode")).alias("BPProductName"),
         _c("h.PriceListCode").alias("PriceLisCode"),
         null_default(_c("h.EffectiveFrom"), F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss")).alias(
             "EffectiveFrom"

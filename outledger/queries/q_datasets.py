@@ -97,9 +97,9 @@ def pipe_items(spark, folder):
 )
 def pipe_prices(spark, folder):
     t = erp(spark, folder)
-    # Stored once, read twice. An item has one price per state, so its lists are
-    # bounded by the state dimension and need no parts.
-    rows = pin(prices.price_rows(t, RULES, AS_OF))
+    # An item has one price per state, so its lists are bounded by the state dimension and
+    # need no parts. The rows are read once and stay in the partitions of their item.
+    rows = prices.price_rows(t, RULES, AS_OF)
     return flat_prices(prices.price_documents(rows, RULES, moment(AS_OF), part_rows=None))
 
 
