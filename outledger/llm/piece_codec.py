@@ -2,8 +2,9 @@
 
 In a vocabulary whose pieces never hold the marker after another character, no merge crosses from
 one marked word to the next, so a text is a sequence of independent chunks: markers followed by
-other characters. Each distinct chunk is segmented once and its ids are joined back by position.
-A vocabulary for which this does not hold is refused.
+other characters. Nor does a merge cross a place whose two neighbours stand side by side in no piece,
+so chunks are cut there too. Each distinct part is segmented once and its ids are joined back by
+position. A vocabulary whose pieces hold the marker after another character is refused.
 
 Segmentation is the library's: all characters are symbols, the adjacent pair whose merged piece
 has the best score is merged first (the leftmost of equals), and a symbol without a piece becomes
@@ -20,6 +21,8 @@ import hashlib
 import heapq
 import re
 from dataclasses import dataclass
+from itertools import repeat
+from operator import add
 
 from pyspark.sql import DataFrame
 
@@ -36,13 +39,15 @@ DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Pieces with ids and scores, the 256 byte pieces both ways, and the pieces by id."""
+    """Pieces with ids and scores, the 256 byte pieces both ways, the pieces by id, and all pairs of
+    characters that are neighbours in a piece."""
 
     ids: dict[str, int]
     scores: dict[str, float]
     bytes_: dict[int, int]
     byte_of: dict[int, int]
     pieces: list[str]
+    neighbours: frozenset[str]
 
     @classmethod
     def load(cls, model_path: str) -> Vocabulary:
@@ -65,22 +70,33 @@ class Vocabulary:
             elif p.type == p.BYTE:
                 bytes_[int(p.piece[3:-1], 16)] = i
         byte_of = {i: b for b, i in bytes_.items()}
-        return cls(ids, scores, bytes_, byte_of, [p.piece for p in model.pieces])
+        neighbours = frozenset(pair for piece in ids for pair in map(add, piece, piece[1:]))
+        return cls(ids, scores, bytes_, byte_of, [p.piece for p in model.pieces], neighbours)
+
+    def parts(self, chunk: str) -> list[str]:
+        """The chunk cut wherever no merge can join what stands left and right."""
+        held, out, start = self.neighbours, [], 0
+        for at, pair in enumerate(map(add, chunk, chunk[1:]), 1):
+            if pair not in held:
+                out.append(chunk[start:at])
+                start = at
+        out.append(chunk[start:])
+        return out
 
     def segment(self, chunk: str) -> list[str]:
         """Pieces of one chunk; short chunks by the scores of their pairs, long ones by a heap."""
         parts, score = list(chunk), self.scores.get
         if len(parts) > 64:
             return self._segment_long(parts)
-        pairs = [score(a + b, NO_PAIR) for a, b in zip(parts, parts[1:], strict=False)]
+        pairs = list(map(score, map(add, chunk, chunk[1:]), repeat(NO_PAIR)))
         while pairs and (best := max(pairs)) > NO_PAIR:
             at = pairs.index(best)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            merged = parts[at] = parts[at] + parts.pop(at + 1)
             del pairs[at]
             if at:
-                pairs[at - 1] = score(parts[at - 1] + parts[at], NO_PAIR)
+                pairs[at - 1] = score(parts[at - 1] + merged, NO_PAIR)
             if at < len(pairs):
-                pairs[at] = score(parts[at] + parts[at + 1], NO_PAIR)
+                pairs[at] = score(merged + parts[at + 1], NO_PAIR)
         return parts
 
     def _segment_long(self, parts: list[str]) -> list[str]:
@@ -110,8 +126,12 @@ class Vocabulary:
 
     def encode_chunk(self, chunk: str) -> list[int]:
         """Ids of one chunk, with byte pieces where a symbol has no piece."""
+        parts = self.segment(chunk)
+        found = list(map(self.ids.get, parts))
+        if None not in found:
+            return found
         out: list[int] = []
-        for part in self.segment(chunk):
+        for part in parts:
             known = self.ids.get(part)
             if known is None:
                 out.extend(self.bytes_[b] for b in part.encode("utf-8", "replace"))
@@ -143,25 +163,49 @@ class Vocabulary:
         return "".join(out).replace(MARK, " ")
 
 
-class ChunkTable:
-    """Distinct chunks of a task: ids, their text form and their decoding; cleared when full."""
+class ChunkTable(dict):
+    """Distinct chunks of a task: ids, their text form and their decoding.
+
+    A chunk is kept under what follows its first marker, which for most is the word as it stands in
+    the text. One that is not held is put together when it is asked for, from the rows of its parts:
+    a word is segmented once, whatever punctuation stands around it. ``most`` bounds the chunks and
+    the parts, each table by itself; a full one is cleared, and chunks then find their parts again.
+    """
 
     def __init__(self, vocabulary: Vocabulary, most: int):
-        self.vocabulary, self.most = vocabulary, most
-        self.rows: dict[str, tuple[list[int], str, str]] = {}
+        super().__init__()
+        self.vocabulary, self.most, self.parts = vocabulary, most, {}
+
+    def __missing__(self, rest: str) -> tuple[list[int], str, str]:
+        # Cutting is never needed for the result: letters alone are left whole.
+        parts = [MARK + rest] if rest.isalpha() else self.vocabulary.parts(MARK + rest)
+        held = self.parts
+        rows = [held.get(part) or self._segmented(part) for part in parts]
+        row = rows[0]
+        if len(rows) > 1:
+            ids = [i for r in rows for i in r[0]]
+            row = (ids, ",".join([r[1] for r in rows]), "".join([r[2] for r in rows]))
+        self[rest] = row
+        return row
+
+    def _segmented(self, part: str) -> tuple[list[int], str, str]:
+        if len(self.parts) > self.most:
+            self.parts.clear()
+        ids = self.vocabulary.encode_chunk(part)
+        row = self.parts[part] = (ids, ",".join(map(str, ids)), self.vocabulary.decode_chunk(ids))
+        return row
 
     def look_up(self, text: str | None) -> list[tuple[list[int], str, str]]:
         """Table rows of a text's chunks, in order of position."""
         if not text:
             return []
-        chunks = CHUNK.findall(MARK + text.replace(" ", MARK))
-        if len(self.rows) > self.most:
-            self.rows.clear()
-        rows = self.rows
-        for chunk in set(chunks).difference(rows):
-            ids = self.vocabulary.encode_chunk(chunk)
-            rows[chunk] = (ids, ",".join(map(str, ids)), self.vocabulary.decode_chunk(ids))
-        return [rows[chunk] for chunk in chunks]
+        if len(self) > self.most:
+            self.clear()
+        if text[0] == " " or "  " in text or MARK in text:
+            rests = [chunk[1:] for chunk in CHUNK.findall(MARK + text.replace(" ", MARK))]
+        else:  # every blank is the one marker of a chunk
+            rests = text.split(" ")
+        return list(map(self.__getitem__, rests))
 
 
 def _table(df: DataFrame, model_path: str, remembered: int):
@@ -183,7 +227,8 @@ def encode(
     text: str = "text",
     remembered: int = 400_000,
 ) -> DataFrame:
-    """``ids`` of each row's text. A task keeps at most about ``remembered`` distinct chunks."""
+    """``ids`` of each row's text. A task keeps at most about ``remembered`` distinct chunks,
+    and as many parts of them."""
     get = _table(df, model_path, remembered)
 
     def run(rows):

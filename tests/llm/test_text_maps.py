@@ -72,6 +72,31 @@ def test_segment_long_and_short_agree():
         assert v.segment(chunk) == v._segment_long(list(chunk))
 
 
+def test_chunks_are_cut_where_no_merge_crosses_and_words_segmented_once():
+    v = piece_codec.Vocabulary.load(MODEL)
+    rng = random.Random(5)
+    for _ in range(300):
+        chunk = "▁" + "".join(rng.choice("▁abethnion.,;\n\"(12\U0001f600ß") for _ in range(rng.randint(0, 40)))
+        parts = v.parts(chunk)
+        assert "".join(parts) == chunk and all(parts)
+        assert [p for part in parts for p in v.segment(part)] == v._segment_long(list(chunk))
+    table = piece_codec.ChunkTable(v, 100)
+    segmented = []
+    encode = v.encode_chunk
+    object.__setattr__(v, "encode_chunk", lambda chunk: segmented.append(chunk) or encode(chunk))
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    for text in ("one\nword two\nwords", "two\nwords one\nwords", " one  two\nwords", "words ", "▁one word", "one\n\n"):
+        rows = table.look_up(text)
+        assert [i for r in rows for i in r[0]] == library.encode(text)
+        assert "".join(r[2] for r in rows)[1:] == library.decode(library.encode(text))
+    # Each word once, with and without a marker before it, however it stands beside line ends.
+    assert len(segmented) == len(set(segmented)) and "words" in segmented
+    assert not any("\n" in part and part != "\n" for part in segmented)
+    for i in range(300):
+        table.look_up(f"w{i} one")
+        assert len(table) <= 102 and len(table.parts) <= 102
+
+
 def greedy(word, pieces):
     """Longest match first, by trying every length."""
     n, at, first = 0, 0, True
