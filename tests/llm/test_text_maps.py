@@ -97,6 +97,35 @@ def test_chunks_are_cut_where_no_merge_crosses_and_words_segmented_once():
         assert len(table) <= 102 and len(table.parts) <= 102
 
 
+def test_runs_are_kept_without_the_punctuation_around_them():
+    v = piece_codec.Vocabulary.load(MODEL)
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    words = [a + b for a in ("wor", "thin", "na\u00efv", "\u0434\u043e") for b in ("der", "ing", "X", "\u00df")]
+    ends = ["", ".", ",", "!", ".\n", "...", ")", "\u201d", "%", "1", "\t", "\U0001f600", "\u2014", "_", "^]"]
+    table = piece_codec.ChunkTable(v, 10_000)
+    for word in words:
+        for end in ends:
+            for text in (f"{word}{end}", f"{end}{word}", f" {word}{end}{word}  {end} ", f"\u2581{end} \u2581{word}"):
+                rows, ids = table.look_up(text), library.encode(text)
+                assert [i for r in rows for i in r[0]] == ids
+                assert ",".join(r[1] for r in rows) == ",".join(map(str, ids))
+                assert "".join(r[2] for r in rows)[1:] == library.decode(ids)
+    # Words and punctuation add up, they are not multiplied by each other.
+    assert len(table) + len(table.parts) < len(words) * len(ends)
+
+    rng = random.Random(11)
+    for _ in range(300):
+        text = " " + "".join(rng.choice("  abzE\u00e9\u0436.,;\n\"^]-\\(12\u65e5\U0001f600") for _ in range(rng.randint(0, 30)))
+        runs = v.runs.findall(text)
+        assert "".join(runs) == text
+        for left, right in zip(runs, runs[1:], strict=False):
+            assert right[0] == " " or left[-1] + right[0] not in v.neighbours
+    # Pieces decide what a run is: an apostrophe that they link to a letter stays with the word.
+    linked = piece_codec.runs_pattern(["ab", "b'", "'s", "-]", "\u2581a"])
+    assert linked.findall(" ab's-] b  'c^") == [" ab's", "-]", " b", "  '", "c", "^"]
+    assert piece_codec.runs_pattern([]).findall(" ab ") == [" a", "b", " "]
+
+
 def greedy(word, pieces):
     """Longest match first, by trying every length."""
     n, at, first = 0, 0, True
